@@ -83,11 +83,9 @@ def is_abnormal_lab(test_name: Column, value: Column) -> Column:
     NaN never compares >= on the JVM, but Spark SQL orders NaN above every
     number, so NaN is excluded explicitly; a NULL value is not abnormal.
     """
-    name = F.lower(test_name)
-    expr = F.lit(False)
-    for lab, threshold in reversed(list(ABNORMAL_LAB_THRESHOLDS.items())):
-        expr = F.when(name == F.lit(lab), value >= F.lit(threshold)).otherwise(expr)
-    return F.coalesce(expr & ~F.isnan(value), F.lit(False))
+    thresholds = F.create_map(*[F.lit(x) for kv in ABNORMAL_LAB_THRESHOLDS.items() for x in kv])
+    threshold = F.try_element_at(thresholds, F.lower(test_name))
+    return F.coalesce((value >= threshold) & ~F.isnan(value), F.lit(False))
 
 
 def is_normal_glucose_lab(test_name: Column, value: Column) -> Column:

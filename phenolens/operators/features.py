@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from phenolens.operators.indexing import dense_index
 from phenolens.operators.joins import join_small
+from phenolens.session import materialize
 
 Candidates = DataFrame | list[str] | set[str] | tuple[str, ...] | None
 
@@ -122,18 +123,25 @@ def feature_dictionary(tuples: DataFrame, keys: tuple[str, ...] = ("domain", "fe
 
 
 def indexed_features(tuples: DataFrame, dictionary: DataFrame,
-                     keys: tuple[str, ...] = ("domain", "feature")) -> DataFrame:
+                     keys: tuple[str, ...] = ("domain", "feature"), known_rows: int | None = None) -> DataFrame:
     """(patient_id, feature_id, value); duplicates of a key are summed."""
     keys = [k for k in keys if k in tuples.columns and k in dictionary.columns]
-    joined = join_small(tuples, dictionary.select(*keys, "feature_id"), keys, "inner")
+    joined = join_small(tuples, dictionary.select(*keys, "feature_id"), keys, "inner", known_rows=known_rows)
     return joined.groupBy("patient_id", "feature_id").agg(F.sum("value").alias("value"))
 
 
 def feature_matrix(tuples: DataFrame, keys: tuple[str, ...] = ("domain", "feature")):
-    """C2 core: returns (long (patient_id, feature_id, value), dictionary, n_features)."""
-    dictionary = feature_dictionary(tuples, keys)
+    """C2 core: returns (long (patient_id, feature_id, value), dictionary, n_features).
+
+    The tuples are read twice (dictionary, then the id join), so they are
+    persisted once; the dictionary is persisted and counted (the count is the
+    proven bound used for broadcasting it).
+    """
+    tuples = materialize(tuples)
+    dictionary = materialize(feature_dictionary(tuples, keys))
     n_features = dictionary.count()
-    return indexed_features(tuples, dictionary, keys), dictionary, n_features
+    long = indexed_features(tuples, dictionary, keys, known_rows=n_features)
+    return long, dictionary, n_features
 
 
 def dense_feature_arrays(long: DataFrame, n_features: int, value_col: str = "value",

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from phenolens.session import cut_lineage
+from phenolens.session import materialize
 
 
 def dense_index(df: DataFrame, order_cols: list[str], id_col: str = "id",
@@ -26,9 +26,11 @@ def dense_index(df: DataFrame, order_cols: list[str], id_col: str = "id",
               .sortWithinPartitions(*order_cols)
               .select("*", F.spark_partition_id().alias("_pid"),
                       F.monotonically_increasing_id().alias("_mid")))
-    # Materialise once so both uses below see the same partition layout,
-    # even if a task is recomputed after an executor loss.
-    ranged = cut_lineage(ranged)
+    # Materialise once so both uses below read the same rows. A lost block is
+    # recomputed deterministically: the range bounds are fixed in the shuffle
+    # dependency and the keys are distinct, so each partition's sorted
+    # content (and hence every id) is the same on recomputation.
+    ranged = materialize(ranged)
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(

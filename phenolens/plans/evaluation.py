@@ -24,7 +24,7 @@ from phenolens.operators import metrics as me
 from phenolens.operators import nmf
 from phenolens.operators import reduce as rd
 from phenolens.operators.indexing import dense_index
-from phenolens.session import cut_lineage
+from phenolens.session import cut_lineage, materialize
 from phenolens.streaming import kmeans as sk
 
 ALGORITHMS = ("kmeans", "gmm", "streaming_kmeans", "nmf")
@@ -42,11 +42,11 @@ class ClusteringInputs:
 
 def prepare(tuples: DataFrame) -> ClusteringInputs:
     long, dictionary, n = fe.feature_matrix(tuples)
-    long = cut_lineage(long)
-    vectors = fe.dense_feature_vectors(long, n)
+    long = materialize(long)
+    vectors = materialize(fe.dense_feature_vectors(long, n))   # read by the scaler fit, PCA fit, transform
     scaled, _ = rd.standardize(vectors)
     reduced, _ = rd.principal_components(scaled, n)
-    reduced = cut_lineage(reduced.select("patient_id", "features", "scaled", "pca"))
+    reduced = materialize(reduced.select("patient_id", "features", "scaled", "pca"))
     return ClusteringInputs(long=long, dictionary=dictionary, n_features=n, reduced=reduced)
 
 
@@ -121,7 +121,7 @@ def evaluate(labels: DataFrame, tuples: DataFrame, algorithms=ALGORITHMS) -> Dat
 def report(labels: DataFrame, all_tuples: DataFrame, filtered_tuples: DataFrame,
            algorithms=ALGORITHMS) -> DataFrame:
     """C4/K2: (feature_set, algorithm, purity) for all and for filtered features."""
-    labels = cut_lineage(labels)
+    labels = materialize(labels)
     a = evaluate(labels, all_tuples, algorithms).select(F.lit("all").alias("feature_set"), "*")
     b = evaluate(labels, filtered_tuples, algorithms).select(F.lit("filtered").alias("feature_set"), "*")
     return a.unionByName(b).select("feature_set", "algorithm", F.round("purity", 5).alias("purity"), "n_rows")

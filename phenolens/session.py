@@ -13,6 +13,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -72,6 +73,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Persist (memory, spilling to disk) and compute once, for a result read by
+    several later jobs. Lineage stays (fixed length), so a lost block is
+    recomputed; iterative loops use ``cut_lineage`` instead."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df.count()
+    return df
+
+
+_SCAN_SPLITS: dict = {}
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Round-robin repartition a scan that yields fewer partitions than the
+    cluster has task slots (e.g. one small single-row-group file), so the
+    per-row work after it runs in parallel. A no-op for large inputs, whose
+    scans already have at least that many splits. ``key`` (e.g. the file
+    path) memoises the split count so the scan is planned only once."""
+    spark = df.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    memo_key = (spark.sparkContext.applicationId, key) if key else None
+    if memo_key is not None and memo_key in _SCAN_SPLITS:
+        splits = _SCAN_SPLITS[memo_key]
+    else:
+        splits = df.rdd.getNumPartitions()
+        if memo_key is not None:
+            _SCAN_SPLITS[memo_key] = splits
+    return df.repartition(slots) if splits < slots else df
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (never a local one)."""
     checkpoint_dir(df.sparkSession)
