@@ -29,3 +29,20 @@ def join_small(big: DataFrame, small: DataFrame, on: str | list[str] | Column, h
     """
     side, _ = bounded_broadcast(small, max_rows, known_rows)
     return big.join(side, on, how)
+
+
+def subtract_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Rows of ``left`` whose key is absent from ``right`` (every copy removed).
+
+    NULL keys compare equal (as RDD set operations do), so a NULL-key row is
+    removed when ``right`` has one. Left duplicates are kept, unlike
+    ``exceptAll``, which removes one copy per match.
+    """
+    r = right.select(F.col(key).alias("_k")).distinct()
+    return left.join(r, left[key].eqNullSafe(r["_k"]), "left_anti")
+
+
+def intersect_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Distinct keys of ``left`` that also occur in ``right`` (null-safe)."""
+    r = right.select(F.col(key).alias("_k")).distinct()
+    return left.select(key).distinct().join(r, F.col(key).eqNullSafe(r["_k"]), "left_semi")

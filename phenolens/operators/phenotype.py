@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phenolens.functions import rules
+from phenolens.operators.joins import intersect_keys, subtract_keys
 
 EVENT_LOG_COLUMNS = ("patient_id", "domain", "event_ts", "name", "value")
 
@@ -53,14 +54,22 @@ def event_log(medication: DataFrame | None = None, lab: DataFrame | None = None,
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def patient_flags(events: DataFrame) -> DataFrame:
-    """One row per patient with the rule flags (single shuffle on patient_id)."""
+def patient_flags(events: DataFrame, strict: bool = False) -> DataFrame:
+    """One row per patient with the rule flags (single shuffle on patient_id).
+
+    ``strict=False`` keeps the published rule: the T1DM exclusion applies per
+    diagnosis row (so a patient with both a T1DM and a T2DM code still
+    qualifies). ``strict=True`` excludes such a patient altogether.
+    """
     dom, name, value, ts = F.col("domain"), F.col("name"), F.col("value"), F.col("event_ts")
     is_dx, is_med, is_lab = dom == "dx", dom == "med", dom == "lab"
     t1_med = is_med & rules.is_t1dm_med(name)
     t2_med = is_med & rules.is_t2dm_med(name)
+    t2dx = _flag(is_dx & rules.is_t2dm_dx(name))
+    if strict:
+        t2dx = F.least(t2dx, F.lit(1) - _flag(is_dx & name.isin(list(dict.fromkeys(rules.T1DM_DX)))))
     return events.groupBy("patient_id").agg(
-        _flag(is_dx & rules.is_t2dm_dx(name)).alias("has_t2dx"),
+        t2dx.alias("has_t2dx"),
         _flag(is_dx & rules.is_dm_related_dx(name)).alias("has_dm"),
         _flag(t1_med).alias("has_m1"),
         _flag(t2_med).alias("has_m2"),
@@ -79,14 +88,41 @@ def label_expr() -> Column:
             .otherwise(F.lit(rules.OTHER)))
 
 
-def label_events(events: DataFrame) -> DataFrame:
+def label_events(events: DataFrame, strict: bool = False) -> DataFrame:
     """C1 on a tagged event log -> (patient_id, label int)."""
-    return patient_flags(events).select("patient_id", label_expr().cast("int").alias("label"))
+    return patient_flags(events, strict).select("patient_id", label_expr().cast("int").alias("label"))
 
 
-def label_cohort(medication: DataFrame, lab: DataFrame, diagnostic: DataFrame) -> DataFrame:
+def label_cohort(medication: DataFrame, lab: DataFrame, diagnostic: DataFrame, strict: bool = False) -> DataFrame:
     """(patient_id, label) for every patient found in any of the tables."""
-    return label_events(event_log(medication, lab, diagnostic))
+    return label_events(event_log(medication, lab, diagnostic), strict)
+
+
+def label_cohort_by_sets(medication: DataFrame, lab: DataFrame, diagnostic: DataFrame) -> DataFrame:
+    """C1 written rule by rule as set operations.
+
+    Same result as ``label_cohort``; it needs about a dozen shuffles instead
+    of one, and exists to cross-check the single-aggregate rewrite and to
+    expose the set operators. Every intermediate is a distinct key set, so
+    no group is ever collected.
+    """
+    pid = "patient_id"
+    t2dx = t2dm_dx_patients(diagnostic)
+    med = F.col("medicine")
+    med1 = medication.where(rules.is_t1dm_med(med)).select(pid)
+    med2 = medication.where(rules.is_t2dm_med(med)).select(pid)
+    cond1 = subtract_keys(t2dx, med1, pid)
+    cond2 = subtract_keys(intersect_keys(t2dx, med1, pid), med2, pid)
+    cond3 = intersect_keys(t2dx, t2_med_before_t1_med(medication), pid)
+    cases = cond1.unionByName(cond2).unionByName(cond3).distinct()
+    controls = subtract_keys(subtract_keys(normal_glucose_patients(lab), dm_related_patients(diagnostic), pid),
+                             cases, pid)
+    everyone = (medication.select(pid).unionByName(lab.select(pid)).unionByName(diagnostic.select(pid))
+                .distinct())
+    others = subtract_keys(subtract_keys(everyone, cases, pid), controls, pid)
+    return (cases.select(pid, F.lit(rules.CASE).alias("label"))
+            .unionByName(controls.select(pid, F.lit(rules.CONTROL).alias("label")))
+            .unionByName(others.select(pid, F.lit(rules.OTHER).alias("label"))))
 
 
 def label_counts(labels: DataFrame) -> DataFrame:

@@ -52,6 +52,22 @@ def q_cohort_labels(spark, sf_dir):
     return labels(spark, sf_dir)
 
 
+@register("cohort_labels_by_sets", o.labelled("SELECT patient_id, label FROM labels"))
+def q_cohort_labels_by_sets(spark, sf_dir):
+    return ph.label_cohort_by_sets(ss.medication(spark, sf_dir), ss.lab(spark, sf_dir),
+                                   ss.diagnostic(spark, sf_dir))
+
+
+@register("cohort_labels_strict", o.labelled(
+    "SELECT patient_id, CASE WHEN label = 1 AND patient_id IN (SELECT patient_id FROM diagnostic "
+    f"WHERE code IN {rules.sql_list(rules.T1DM_DX)}) THEN "
+    "(CASE WHEN patient_id IN (SELECT patient_id FROM normal_gl) "
+    "AND patient_id NOT IN (SELECT patient_id FROM dm_related) THEN 2 ELSE 3 END) "
+    "ELSE label END AS label FROM labels"))
+def q_cohort_labels_strict(spark, sf_dir):
+    return ph.label_events(ss.clinical_event_log(spark, sf_dir), strict=True)
+
+
 @register("label_counts", o.labelled(
     "SELECT label, COUNT(*) AS n_patients FROM labels GROUP BY label"))
 def q_label_counts(spark, sf_dir):

@@ -110,3 +110,26 @@ def test_rule_parts(spark):
     assert sorted(r[0] for r in ph.dm_related_patients(dx).collect()) == ["p", "q"]
     assert [r[0] for r in ph.t2_med_before_t1_med(med).collect()] == ["p"]
     assert [r[0] for r in ph.normal_glucose_patients(lab).collect()] == ["p"]
+
+
+def test_set_formulation_equals_aggregate(spark):
+    for sf in ("0.001", "0.01"):
+        d = SF[sf]
+        args = (ss.medication(spark, d), ss.lab(spark, d), ss.diagnostic(spark, d))
+        assert labels_of(ph.label_cohort_by_sets(*args)) == labels_of(ph.label_cohort(*args))
+
+
+def test_strict_excludes_mixed_type_patients(spark):
+    t = D(2010, 1, 1)
+    med, lab, dx = frames(spark, [("p", t, "250.00"), ("p", t, "250.01"), ("q", t, "250.00")], [], [])
+    assert labels_of(ph.label_cohort(med, lab, dx)) == {"p": 1, "q": 1}
+    assert labels_of(ph.label_cohort(med, lab, dx, strict=True)) == {"p": 3, "q": 1}
+
+
+def test_subtract_keys_null_safe_keeps_duplicates(spark):
+    from phenolens.operators.joins import intersect_keys, subtract_keys
+    left = spark.createDataFrame([("a",), ("a",), (None,), ("b",)], "patient_id string")
+    right = spark.createDataFrame([(None,), ("b",)], "patient_id string")
+    assert sorted(r[0] for r in subtract_keys(left, right, "patient_id").collect()) == ["a", "a"]
+    got = sorted((r[0] is None, r[0] or "") for r in intersect_keys(left, right, "patient_id").collect())
+    assert got == [(False, "b"), (True, "")]
