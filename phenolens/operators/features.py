@@ -123,11 +123,22 @@ def feature_dictionary(tuples: DataFrame, keys: tuple[str, ...] = ("domain", "fe
 
 
 def indexed_features(tuples: DataFrame, dictionary: DataFrame,
-                     keys: tuple[str, ...] = ("domain", "feature"), known_rows: int | None = None) -> DataFrame:
-    """(patient_id, feature_id, value); duplicates of a key are summed."""
+                     keys: tuple[str, ...] = ("domain", "feature"), known_rows: int | None = None,
+                     sum_duplicates: bool | None = None) -> DataFrame:
+    """(patient_id, feature_id, value).
+
+    When the dictionary key drops the ``domain`` tag that the tuples carry,
+    two families can map to one id; those values are summed (one more
+    shuffle). Otherwise tuples that are unique per (patient, key), as the
+    feature aggregations produce, map one-to-one and no aggregation runs.
+    """
     keys = [k for k in keys if k in tuples.columns and k in dictionary.columns]
     joined = join_small(tuples, dictionary.select(*keys, "feature_id"), keys, "inner", known_rows=known_rows)
-    return joined.groupBy("patient_id", "feature_id").agg(F.sum("value").alias("value"))
+    if sum_duplicates is None:
+        sum_duplicates = "domain" in tuples.columns and "domain" not in keys
+    if sum_duplicates:
+        return joined.groupBy("patient_id", "feature_id").agg(F.sum("value").alias("value"))
+    return joined.select("patient_id", "feature_id", F.col("value").cast("double"))
 
 
 def feature_matrix(tuples: DataFrame, keys: tuple[str, ...] = ("domain", "feature")):

@@ -282,12 +282,12 @@ def q_abs_features(spark, sf_dir):
 
 
 @register("feature_vectors", o.with_ctes(o.adapter_ctes(), tuples_sql(), body=f"""
-SELECT p.patient_id,
-       list(COALESCE(ROUND(m.value, {o.ROUND}), 0.0) ORDER BY d.feature_id) AS features
-FROM (SELECT DISTINCT patient_id FROM fm) p
-CROSS JOIN dict d
-LEFT JOIN fm m ON m.patient_id = p.patient_id AND m.feature_id = d.feature_id
-GROUP BY p.patient_id"""))
+SELECT g.patient_id,
+       list(COALESCE(ROUND(m.value, {o.ROUND}), 0.0) ORDER BY g.feature_id) AS features
+FROM (SELECT patient_id, unnest(range((SELECT COUNT(*) FROM dict))) AS feature_id
+      FROM (SELECT DISTINCT patient_id FROM fm)) g
+LEFT JOIN fm m ON m.patient_id = g.patient_id AND m.feature_id = g.feature_id
+GROUP BY g.patient_id"""))
 def q_feature_vectors(spark, sf_dir):
     long, _, n = fe.feature_matrix(feature_tuples(spark, sf_dir))
     arr = fe.dense_feature_arrays(long, n)

@@ -122,3 +122,31 @@ def test_domain_keeps_families_apart(spark):
     long, dictionary, n = fe.feature_matrix(t)
     assert n == 2
     assert sorted(r["value"] for r in long.collect()) == [1.0, 2.0]
+
+
+def test_dense_index_matches_row_number(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from phenolens.operators.indexing import dense_index
+    df = spark.range(0, 5000, numPartitions=7).select((F.col("id") * 7919 % 10007).cast("string").alias("k"))
+    got = {r["k"]: r["id"] for r in dense_index(df, ["k"], "id", num_partitions=5).collect()}
+    want = {r["k"]: r["rn"] for r in df.select("k", (F.row_number().over(Window.orderBy("k")) - 1).alias("rn"))
+            .collect()}
+    assert got == want
+
+
+def test_join_small_fallback_equals_broadcast(spark):
+    from phenolens.operators.joins import join_small
+    big = spark.range(100).selectExpr("id % 10 AS k", "id")
+    small = spark.range(10).selectExpr("id AS k", "id * 2 AS v")
+    a = sorted(tuple(r) for r in join_small(big, small, "k").collect())
+    b = sorted(tuple(r) for r in join_small(big, small, "k", max_rows=0).collect())
+    assert a == b and len(a) == 100
+
+
+def test_duplicate_names_across_families_are_summed_without_domain(spark):
+    t = spark.createDataFrame([("p1", "dx", "x", 1.0), ("p1", "med", "x", 2.0)],
+                              "patient_id string, domain string, feature string, value double")
+    long, _, n = fe.feature_matrix(t, keys=("feature",))
+    assert n == 1 and [(r["feature_id"], r["value"]) for r in long.collect()] == [(0, 3.0)]

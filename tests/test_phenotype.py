@@ -133,3 +133,17 @@ def test_subtract_keys_null_safe_keeps_duplicates(spark):
     assert sorted(r[0] for r in subtract_keys(left, right, "patient_id").collect()) == ["a", "a"]
     got = sorted((r[0] is None, r[0] or "") for r in intersect_keys(left, right, "patient_id").collect())
     assert got == [(False, "b"), (True, "")]
+
+
+def test_hot_patient_is_combined_map_side(spark):
+    # one patient owns a third of all rows: labels stay right and the plan
+    # aggregates partially before the shuffle (no whole group in one task)
+    t = D(2010, 1, 1)
+    hot = [("hot", t, "250.00")] * 600
+    cold = [(f"p{i}", t, "401.9") for i in range(1200)]
+    med, lab, dx = frames(spark, hot + cold, [("hot", t, "metformin")], [("p1", t, "Glucose", 80.0)])
+    out = ph.label_cohort(med, lab, dx)
+    got = labels_of(out)
+    assert got["hot"] == 1 and got["p1"] == 2 and got["p2"] == 3 and len(got) == 1201
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan
