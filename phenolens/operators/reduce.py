@@ -6,20 +6,25 @@ assignments are joined back to labels by patient id, never by position.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.feature import PCA, StandardScaler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # FIXED VALUE: number of principal components kept before clustering.
 N_COMPONENTS = 10
 
 
-def standardize(df: DataFrame, input_col: str = "features", output_col: str = "scaled"):
+def standardize(df: DataFrame, input_col: str = "features", output_col: str = "scaled",
+                with_mean: bool = True):
     """M1: subtract the column mean, divide by the sample standard deviation.
 
     Statistics are one distributed summary pass (partial aggregation);
-    a constant column maps to 0.
+    a constant column maps to 0. ``with_mean=False`` only divides, which
+    keeps sparse vectors sparse (see ``centered_pca``).
     """
-    model = StandardScaler(withMean=True, withStd=True, inputCol=input_col, outputCol=output_col).fit(df)
+    model = StandardScaler(withMean=with_mean, withStd=True, inputCol=input_col, outputCol=output_col).fit(df)
     return model.transform(df), model
 
 
@@ -33,3 +38,24 @@ def principal_components(df: DataFrame, n_features: int, k: int = N_COMPONENTS,
     model = PCA(k=min(k, n_features), inputCol=input_col, outputCol=output_col).fit(df)
     return model.transform(df), model
 
+
+
+def centered_pca(scaled: DataFrame, scaler_model, n_features: int, k: int = N_COMPONENTS,
+                 input_col: str = "scaled", output_col: str = "pca"):
+    """M1-M3 on SPARSE input: same result as centring, scaling, PCA and projection.
+
+    ``scaled`` holds x / std without centring (still sparse). The principal
+    components do not depend on a shift (the covariance is centred inside the
+    fit), and the projection of the centred row is
+        pcᵀ (x - mean) / std  =  pcᵀ (x / std)  -  pcᵀ (mean / std),
+    so one constant k-vector (computed from model-sized values: the n means
+    and stds and the n x k components) is subtracted after projecting. Rows
+    are never densified to the dictionary width.
+    """
+    model = PCA(k=min(k, n_features), inputCol=input_col, outputCol="_raw_pca").fit(scaled)
+    pc = model.pc.toArray()
+    mean, std = scaler_model.mean.toArray(), scaler_model.std.toArray()
+    shift = np.divide(mean, std, out=np.zeros_like(mean), where=std != 0) @ pc
+    offset = F.array(*[F.lit(float(x)) for x in shift])
+    centred = F.zip_with(vector_to_array("_raw_pca"), offset, lambda a, b: a - b)
+    return model.transform(scaled).withColumn(output_col, array_to_vector(centred)).drop("_raw_pca"), model

@@ -60,8 +60,12 @@ SELECT g.patient_id, CAST(g.feature_id AS BIGINT) AS feature_id,
 FROM grid g JOIN stats s ON s.feature_id = g.feature_id
 LEFT JOIN fm ON fm.patient_id = g.patient_id AND fm.feature_id = g.feature_id"""))
 def q_scaled_features(spark, sf_dir):
-    red = inputs(spark, sf_dir).reduced
-    return (red.select("patient_id", F.posexplode(vector_to_array("scaled")).alias("feature_id", "value"))
+    # M1 itself (centred, dense): the clustering path keeps vectors sparse instead
+    from phenolens.operators import features as fe
+    from phenolens.operators import reduce as rd
+    long, _, n = fe.feature_matrix(feature_tuples(spark, sf_dir))
+    scaled, _ = rd.standardize(fe.dense_feature_vectors(long, n))
+    return (scaled.select("patient_id", F.posexplode(vector_to_array("scaled")).alias("feature_id", "value"))
             .select("patient_id", F.col("feature_id").cast("long"), _r("value")))
 
 

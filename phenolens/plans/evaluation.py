@@ -40,12 +40,24 @@ class ClusteringInputs:
     reduced: DataFrame       # (patient_id, features, scaled, pca) — checkpointed
 
 
-def prepare(tuples: DataFrame) -> ClusteringInputs:
+def prepare(tuples: DataFrame, sparse: bool = True) -> ClusteringInputs:
+    """Feature matrix -> standardised -> 10 principal components, keyed by patient_id.
+
+    ``sparse=True`` (default) keeps patient vectors sparse end to end
+    (``reduce.centered_pca``); ``sparse=False`` densifies to the dictionary
+    width first, as the textbook formulation does. Both give the same
+    components up to the sign of each principal axis.
+    """
     long, dictionary, n = fe.feature_matrix(tuples)
     long = materialize(long)
-    vectors = materialize(fe.dense_feature_vectors(long, n))   # read by the scaler fit, PCA fit, transform
-    scaled, _ = rd.standardize(vectors)
-    reduced, _ = rd.principal_components(scaled, n)
+    if sparse:
+        vectors = materialize(fe.sparse_feature_vectors(long, n))   # read by scaler fit, PCA fit, transform
+        scaled, scaler = rd.standardize(vectors, with_mean=False)
+        reduced, _ = rd.centered_pca(scaled, scaler, n)
+    else:
+        vectors = materialize(fe.dense_feature_vectors(long, n))
+        scaled, _ = rd.standardize(vectors)
+        reduced, _ = rd.principal_components(scaled, n)
     reduced = materialize(reduced.select("patient_id", "features", "scaled", "pca"))
     return ClusteringInputs(long=long, dictionary=dictionary, n_features=n, reduced=reduced)
 

@@ -100,3 +100,18 @@ def test_argmax_first_wins(spark):
     w = rows_df(spark, [[1, 3, 3], [5, 1, 5], [0, 0, 1]])
     got = {r["row_id"]: r["cluster"] for r in nmf.assign_clusters(w).collect()}
     assert got == {0: 1, 1: 0, 2: 2}
+
+
+def test_sparse_pca_equals_dense_pca(spark):
+    from conftest import SF
+    from phenolens.operators import features as fe
+    from phenolens.plans import evaluation as ev
+    from phenolens.sources import starschema as ss
+    tuples = fe.event_feature_tuples(ss.clinical_event_log(spark, SF["0.001"]))
+    a = {r["patient_id"]: r["pca"].toArray() for r in ev.prepare(tuples, sparse=True).reduced.collect()}
+    b = {r["patient_id"]: r["pca"].toArray() for r in ev.prepare(tuples, sparse=False).reduced.collect()}
+    assert set(a) == set(b)
+    ids = sorted(a)
+    ma, mb = np.array([a[i] for i in ids]), np.array([b[i] for i in ids])
+    signs = np.sign(np.sum(ma * mb, axis=0))          # each principal axis is defined up to its sign
+    assert np.allclose(ma, mb * signs, atol=1e-7)
