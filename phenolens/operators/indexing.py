@@ -20,9 +20,10 @@ from phenolens.session import materialize
 def dense_index(df: DataFrame, order_cols: list[str], id_col: str = "id",
                 num_partitions: int | None = None) -> DataFrame:
     """Append a 0-based dense id ordered by ``order_cols`` (rows must be distinct on them)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols)
+    # without an explicit count AQE may merge adjacent range partitions, which
+    # keeps them in key order, so the offsets below stay correct
+    parts = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
+    ranged = (parts
               .sortWithinPartitions(*order_cols)
               .select("*", F.spark_partition_id().alias("_pid"),
                       F.monotonically_increasing_id().alias("_mid")))

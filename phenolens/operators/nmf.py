@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from phenolens.functions.vectors import argmax
 from phenolens.operators import matrix as mx
-from phenolens.session import cut_lineage
+from phenolens.session import cut_lineage, materialize, partitions_for
 
 # FIXED VALUES: linear-congruential start values in (0, 1], see init_value.
 LCG_MULT, LCG_STEP, LCG_MOD = 1103515245, 12345, 2147483648
@@ -155,6 +155,7 @@ def assign_clusters(w: DataFrame) -> DataFrame:
 # (k doubles each); beyond it ``run`` falls back to ``run_keyed``.
 BROADCAST_MAX_FEATURES = 1_000_000
 CHECKPOINT_INTERVAL = 5
+ROWS_PER_PARTITION = 20_000
 
 ROW_SCHEMA = T.StructType([
     T.StructField("row_id", T.LongType(), False),
@@ -258,10 +259,13 @@ def run(v_long: DataFrame, k: int, max_iterations: int = 100, tol: float = 1e-4,
     if n_cols > BROADCAST_MAX_FEATURES:
         cols = spark.range(n_cols).withColumnRenamed("id", "col_id")
         return run_keyed(v_long, k, max_iterations, tol, seed, row_ids, cols)
-    v = prepare_v(v_long)
-    ids = row_ids if row_ids is not None else v.select("row_id").distinct()
-    rows = cut_lineage(patient_rows(v, ids, k, seed))
-    sq = mx.squared_norm(v)
+    v = v_long.select("row_id", "col_id", F.col("value").cast("double"))
+    ids = materialize(row_ids if row_ids is not None else v.select("row_id").distinct())
+    # one partition per ROWS_PER_PARTITION patients: every round is one pass over these rows
+    n_parts = partitions_for(ids.count(), ROWS_PER_PARTITION)
+    rows = cut_lineage(patient_rows(v, ids, k, seed).repartition(n_parts))
+    sq = float(rows.select(F.aggregate("vals", F.lit(0.0), lambda acc, x: acc + x * x).alias("s"))
+               .agg(F.sum("s")).first()[0] or 0.0)
     h = init_matrix(np.arange(n_cols), k, seed + H_SALT)
     wtv, wtw = _row_stats(rows, k, n_cols)
     hht = h.T @ h

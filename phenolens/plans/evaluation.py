@@ -30,6 +30,7 @@ from phenolens.streaming import kmeans as sk
 ALGORITHMS = ("kmeans", "gmm", "streaming_kmeans", "nmf")
 NMF_K, NMF_MAX_ITERATIONS, NMF_TOL = 3, 100, 1e-4   # FIXED VALUES of the NMF run
 STREAM_BATCHES = 4
+ROWS_PER_PARTITION = 50_000   # patient rows per partition for the iterative fits
 
 
 @dataclass
@@ -51,11 +52,11 @@ def prepare(tuples: DataFrame, sparse: bool = True) -> ClusteringInputs:
     long, dictionary, n = fe.feature_matrix(tuples)
     long = materialize(long)
     if sparse:
-        vectors = materialize(fe.sparse_feature_vectors(long, n))   # read by scaler fit, PCA fit, transform
+        vectors = materialize(fe.sparse_feature_vectors(long, n), ROWS_PER_PARTITION)   # read by 3 fits/passes
         scaled, scaler = rd.standardize(vectors, with_mean=False)
         reduced, _ = rd.centered_pca(scaled, scaler, n)
     else:
-        vectors = materialize(fe.dense_feature_vectors(long, n))
+        vectors = materialize(fe.dense_feature_vectors(long, n), ROWS_PER_PARTITION)
         scaled, _ = rd.standardize(vectors)
         reduced, _ = rd.principal_components(scaled, n)
     reduced = materialize(reduced.select("patient_id", "features", "scaled", "pca"))

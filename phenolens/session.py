@@ -73,15 +73,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, rows_per_partition: int | None = None) -> DataFrame:
     """Persist (memory, spilling to disk) and compute once, for a result read by
     several later jobs. Lineage stays (fixed length), so a lost block is
-    recomputed; iterative loops use ``cut_lineage`` instead."""
+    recomputed; iterative loops use ``cut_lineage`` instead.
+
+    With ``rows_per_partition``, a result spread over more partitions than its
+    row count needs is coalesced (no shuffle) so iterative readers such as
+    the ML fits do not schedule thousands of near-empty tasks per pass.
+    """
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    df.count()
+    rows = df.count()
+    if rows_per_partition:
+        target = max(1, -(-rows // rows_per_partition))
+        if df.rdd.getNumPartitions() > target:
+            small = df.coalesce(target).persist(StorageLevel.MEMORY_AND_DISK)
+            small.count()
+            df.unpersist()
+            return small
     return df
 
 
+def partitions_for(rows: int, rows_per_partition: int) -> int:
+    """Partition count that gives about ``rows_per_partition`` rows each."""
+    return max(1, -(-rows // rows_per_partition))
+
+
 _SCAN_SPLITS: dict = {}
 
 
@@ -104,6 +121,16 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder (never a local one)."""
+    """Reliable checkpoint into the shared folder (never a local one).
+
+    The input is persisted first so the checkpoint write (a second job that
+    Spark runs after the materialising one) reads the cached blocks instead
+    of recomputing the plan; the cache is released once the files exist.
+    """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    if not eager:
+        return df.checkpoint(eager=False)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
