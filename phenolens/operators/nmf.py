@@ -262,7 +262,7 @@ def run(v_long: DataFrame, k: int, max_iterations: int = 100, tol: float = 1e-4,
     v = v_long.select("row_id", "col_id", F.col("value").cast("double"))
     ids = materialize(row_ids if row_ids is not None else v.select("row_id").distinct())
     # one partition per ROWS_PER_PARTITION patients: every round is one pass over these rows
-    n_parts = partitions_for(ids.count(), ROWS_PER_PARTITION)
+    n_parts = partitions_for(ids.count(), ROWS_PER_PARTITION, spark)
     rows = cut_lineage(patient_rows(v, ids, k, seed).repartition(n_parts))
     sq = float(rows.select(F.aggregate("vals", F.lit(0.0), lambda acc, x: acc + x * x).alias("s"))
                .agg(F.sum("s")).first()[0] or 0.0)

@@ -78,14 +78,15 @@ def materialize(df: DataFrame, rows_per_partition: int | None = None) -> DataFra
     several later jobs. Lineage stays (fixed length), so a lost block is
     recomputed; iterative loops use ``cut_lineage`` instead.
 
-    With ``rows_per_partition``, a result spread over more partitions than its
-    row count needs is coalesced (no shuffle) so iterative readers such as
-    the ML fits do not schedule thousands of near-empty tasks per pass.
+    With ``rows_per_partition``, a result spread over more partitions than it
+    needs (more than both the task slots and rows / rows_per_partition) is
+    coalesced (no shuffle), so iterative readers such as the ML fits do not
+    schedule hundreds of near-empty tasks per pass.
     """
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     rows = df.count()
     if rows_per_partition:
-        target = max(1, -(-rows // rows_per_partition))
+        target = partitions_for(rows, rows_per_partition, df.sparkSession)
         if df.rdd.getNumPartitions() > target:
             small = df.coalesce(target).persist(StorageLevel.MEMORY_AND_DISK)
             small.count()
@@ -94,9 +95,11 @@ def materialize(df: DataFrame, rows_per_partition: int | None = None) -> DataFra
     return df
 
 
-def partitions_for(rows: int, rows_per_partition: int) -> int:
-    """Partition count that gives about ``rows_per_partition`` rows each."""
-    return max(1, -(-rows // rows_per_partition))
+def partitions_for(rows: int, rows_per_partition: int, spark: SparkSession | None = None) -> int:
+    """About ``rows_per_partition`` rows per partition, but never fewer
+    partitions than the cluster has task slots (so no core idles)."""
+    slots = spark.sparkContext.defaultParallelism if spark is not None else 1
+    return max(slots, -(-rows // rows_per_partition))
 
 
 _SCAN_SPLITS: dict = {}
