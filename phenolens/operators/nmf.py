@@ -7,16 +7,17 @@ k-vector per patient, H one k-vector per feature (k is small).
 
 Default plan (``run``), used when the feature dictionary is within the
 broadcast bound: each patient row carries its sparse V entries AND its W
-vector, ``(row_id, cols, vals, w)``, so per round
-
-1. W update  : row-local ``mapInPandas`` against the broadcast H and the
-               k x k literal H Hᵀ — V is never shuffled or joined;
-2. Wᵀ V      : explode + partial sums by col_id (<= features x partitions
-               rows cross the network), Wᵀ W: k*k sums;
+vector, ``(row_id, cols, vals, w)``. One round is ONE Spark job:
+
+1. a row-local ``mapInPandas`` pass updates W against the broadcast H and
+   the k x k literal H Hᵀ, and accumulates the partition's partial Wᵀ V and
+   Wᵀ W in numpy, emitted as one extra record per partition — V is never
+   shuffled, joined or exploded;
+2. those partial records are summed by index (at most (features + k) * k
+   numbers per partition cross the network);
 3. H update, H Hᵀ and the error ||V - WH||² (by the identity in
-   ``matrix.frobenius_error``) on the driver over the k x features model.
+   ``matrix.frobenius_error``) run on the driver over the k x features model.
 
-So V is read once per round from cache, and only model-sized data moves.
 Rounds are cached and reliably checkpointed every ``checkpoint_interval``
 rounds into the shared checkpoint folder; the broadcasts needed to
 recompute the rounds since the last checkpoint are kept alive.
@@ -33,6 +34,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -215,6 +217,53 @@ def _w_update(h_bc, hht: np.ndarray, eps: float):
     return apply
 
 
+def _w_update_with_stats(h_bc, hht: np.ndarray, eps: float, n_cols: int):
+    """mapInPandas body: the W update, plus this partition's partial Wᵀ V and Wᵀ W.
+
+    Updated patient rows pass through unchanged in shape; after the last
+    batch one extra record (row_id -1) carries the partition's partial sums,
+    flattened: entry (c, j) of Wᵀ V at c * k + j, entry (a, b) of Wᵀ W at
+    n_cols * k + a * k + b. So the statistics of a round cost no second pass
+    over V, and at most (n_cols + k) * k numbers per partition are shuffled.
+    """
+    update = _w_update(h_bc, hht, eps)
+
+    def apply(batches):
+        k = hht.shape[0]
+        wtv = np.zeros((n_cols, k))
+        wtw = np.zeros((k, k))
+        for pdf in update(batches):
+            if len(pdf):
+                lens = pdf["cols"].map(len).to_numpy()
+                w = np.stack(pdf["w"].to_numpy()).astype(np.float64)
+                if lens.sum():
+                    cols = np.concatenate(pdf["cols"].to_numpy()).astype(np.int64)
+                    vals = np.concatenate(pdf["vals"].to_numpy()).astype(np.float64)
+                    owner = np.repeat(np.arange(len(pdf)), lens)
+                    for j in range(k):
+                        wtv[:, j] += np.bincount(cols, weights=vals * w[owner, j], minlength=n_cols)
+                wtw += w.T @ w
+            yield pdf
+        nz = np.nonzero(np.any(wtv != 0.0, axis=1))[0]
+        idx = np.concatenate([(nz[:, None] * k + np.arange(k)).ravel(), n_cols * k + np.arange(k * k)])
+        val = np.concatenate([wtv[nz].ravel(), wtw.ravel()])
+        yield pd.DataFrame({"row_id": [-1], "cols": [idx.astype(np.int64)], "vals": [val],
+                            "w": [np.zeros(0)]})
+    return apply
+
+
+def _partial_stats(out: DataFrame, k: int, n_cols: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sum the per-partition partial records (row_id -1) of a fused round."""
+    parts = (out.where(F.col("row_id") < 0)
+             .select(F.explode(F.arrays_zip("cols", "vals")).alias("e"))
+             .groupBy(F.col("e.cols").alias("i")).agg(F.sum("e.vals").alias("s"))
+             .collect())   # <= (n_cols + k) * k rows: bounded by the dictionary
+    flat = np.zeros(n_cols * k + k * k)
+    for r in parts:
+        flat[r["i"]] = r["s"]
+    return flat[: n_cols * k].reshape(n_cols, k), flat[n_cols * k:].reshape(k, k)
+
+
 def _row_stats(rows: DataFrame, k: int, n_cols: int) -> tuple[np.ndarray, np.ndarray]:
     """Wᵀ V (n_cols x k) and Wᵀ W (k x k) of the current rows in ONE scan and ONE job.
 
@@ -279,18 +328,19 @@ def run(v_long: DataFrame, k: int, max_iterations: int = 100, tol: float = 1e-4,
         hht = h.T @ h
         h_bc = sc.broadcast(h)
         live_broadcasts.append(h_bc)
-        new_rows = rows.mapInPandas(_w_update(h_bc, hht, mx.EPS), ROW_SCHEMA)
+        out = rows.mapInPandas(_w_update_with_stats(h_bc, hht, mx.EPS, n_cols), ROW_SCHEMA)
         if it % checkpoint_interval == 0:
-            new_rows = cut_lineage(new_rows)       # lineage cut: older broadcasts no longer needed
+            out = cut_lineage(out)                 # lineage cut: older broadcasts no longer needed
             for b in live_broadcasts[:-1]:
                 b.unpersist()
             live_broadcasts = live_broadcasts[-1:]
         else:
-            new_rows = new_rows.cache()
-        wtv, wtw = _row_stats(new_rows, k, n_cols)  # first action materialises the round
+            out = out.cache()
+        wtv, wtw = _partial_stats(out, k, n_cols)   # the one job of the round (fills the cache)
         if prev is not None:
             prev.unpersist()
-        prev, rows = (new_rows if new_rows.is_cached else None), new_rows
+        prev = out if out.is_cached else None
+        rows = out.where(F.col("row_id") >= 0)
         new_err = _error(sq, h, wtv, wtw, hht)
         errors.append(new_err)
         drop = (err - new_err) / max(err, 1.0)

@@ -73,3 +73,19 @@ def load_diagnostic(spark: SparkSession, dx_path: str, encounter_path: str,
     return (joined.select(F.col("Member_ID").alias("patient_id"),
                           parse_ts("Encounter_DateTime").alias("event_ts"), "code")
             .na.drop(subset=["event_ts"]))
+
+
+# FIXED VALUES: file names of a clinical extract folder.
+MEDICATION_FILE = "medication_orders_INPUT.csv"
+LAB_FILE = "lab_results_INPUT.csv"
+DX_FILE = "encounter_dx_INPUT.csv"
+ENCOUNTER_FILE = "encounter_INPUT.csv"
+CANDIDATE_FILES = {"med": "med_filter.txt", "lab": "lab_filter.txt", "dx": "icd9_filter.txt"}
+
+
+def load_clinical_folder(spark: SparkSession, data_dir: str):
+    """S3–S5 on a folder holding the four extracts -> (medication, lab, diagnostic)."""
+    d = data_dir.rstrip("/")
+    return (load_medication(spark, f"{d}/{MEDICATION_FILE}"),
+            load_lab(spark, f"{d}/{LAB_FILE}"),
+            load_diagnostic(spark, f"{d}/{DX_FILE}", f"{d}/{ENCOUNTER_FILE}"))
