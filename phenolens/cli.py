@@ -30,8 +30,8 @@ def report(spark: SparkSession, data_dir: str):
     d = data_dir.rstrip("/")
     candidates = {dom: ca.load_candidate_list(spark, f"{d}/{name}") for dom, name in cs.CANDIDATE_FILES.items()}
     labels = ph.label_cohort(medication, lab, diagnostic)
-    all_tuples = fe.feature_tuples(diagnostic, lab, medication)
-    filtered = fe.feature_tuples(diagnostic, lab, medication, candidates, normalize="lower")
+    all_tuples = materialize(fe.feature_tuples(diagnostic, lab, medication))
+    filtered = fe.filter_tuples(all_tuples, candidates, normalize="lower")
     return ev.report(labels, all_tuples, filtered)
 
 

@@ -115,6 +115,18 @@ def event_feature_tuples(events: DataFrame, candidates: dict[str, Candidates] |
                       .otherwise(F.col("_n").cast("double")).alias("value"))
 
 
+def filter_tuples(tuples: DataFrame, candidates: dict[str, Candidates], normalize: str | None = None) -> DataFrame:
+    """F8 after aggregation: keep tuples whose (domain, feature) is a candidate.
+
+    Filtering by name commutes with grouping by name, so this equals
+    ``event_feature_tuples(events, candidates)`` without a second pass over
+    the events.
+    """
+    parts = [filter_candidates(tuples.where(F.col("domain") == dom), "feature", candidates.get(dom), normalize)
+             for dom in ("dx", "lab", "med")]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def feature_dictionary(tuples: DataFrame, keys: tuple[str, ...] = ("domain", "feature")) -> DataFrame:
     """Distinct feature keys with alphabetical 0-based ``feature_id``."""
     keys = tuple(k for k in keys if k in tuples.columns)

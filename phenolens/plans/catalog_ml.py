@@ -290,15 +290,15 @@ def q_streaming_kmeans_purity(spark, sf_dir):
 
 # ----------------------------------------------------------------- full report
 
-def filtered_tuples(spark, sf_dir) -> DataFrame:
+def filtered_tuples(spark, sf_dir, tuples: DataFrame | None = None) -> DataFrame:
     """Feature tuples restricted to the candidate lists (names compared lower-cased)."""
     from phenolens.operators import features as fe
-    cands = ca.derive_candidate_lists(ss.diagnostic(spark, sf_dir), ss.lab(spark, sf_dir),
-                                      ss.medication(spark, sf_dir))
-    return fe.event_feature_tuples(ss.clinical_event_log(spark, sf_dir), cands, normalize="lower")
+    tuples = tuples if tuples is not None else feature_tuples(spark, sf_dir)
+    return fe.filter_tuples(tuples, ca.derive_candidates_from_tuples(tuples), normalize="lower")
 
 
 @register("clustering_report")
 def q_clustering_report(spark, sf_dir):
-    return ev.report(labels(spark, sf_dir), feature_tuples(spark, sf_dir), filtered_tuples(spark, sf_dir))
-
+    from phenolens.session import materialize
+    tuples = materialize(feature_tuples(spark, sf_dir))   # one pass over the events for both feature sets
+    return ev.report(labels(spark, sf_dir), tuples, filtered_tuples(spark, sf_dir, tuples))

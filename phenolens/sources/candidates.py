@@ -56,3 +56,18 @@ def infer_table_name(path: str) -> str:
     """View name from a path (``data/foo.csv`` -> ``foo``); no match -> the path."""
     m = _TABLE_NAME.search(path)
     return m.group(1) if m else path
+
+
+def derive_candidates_from_tuples(tuples: DataFrame) -> dict[str, DataFrame]:
+    """Same lists as ``derive_candidate_lists``, read off feature tuples
+    ``(patient_id, domain, feature, value)``: every event name appears as a
+    feature of its domain, so no second pass over the events is needed."""
+    names = tuples.select("domain", "feature").distinct()
+    f = F.col("feature")
+    keep = {
+        "dx": f.isin(list(dict.fromkeys(rules.T1DM_DX + rules.T2DM_DX))) | rules.is_dm_related_dx(f),
+        "lab": rules.is_glucose_lab(f) | F.lower(f).isin(list(rules.ABNORMAL_LAB_THRESHOLDS)),
+        "med": rules.is_t1dm_med(f) | rules.is_t2dm_med(f),
+    }
+    return {dom: names.where((F.col("domain") == dom) & cond).select(F.lower(f).alias("name")).distinct()
+            for dom, cond in keep.items()}

@@ -150,3 +150,20 @@ def test_duplicate_names_across_families_are_summed_without_domain(spark):
                               "patient_id string, domain string, feature string, value double")
     long, _, n = fe.feature_matrix(t, keys=("feature",))
     assert n == 1 and [(r["feature_id"], r["value"]) for r in long.collect()] == [(0, 3.0)]
+
+
+def test_filter_after_aggregation_equals_filter_before(spark):
+    from conftest import SF
+    from phenolens.sources import candidates as ca
+    from phenolens.sources import starschema as ss
+    d = SF["0.001"]
+    events = ss.clinical_event_log(spark, d)
+    tuples = fe.event_feature_tuples(events)
+    c1 = ca.derive_candidate_lists(ss.diagnostic(spark, d), ss.lab(spark, d), ss.medication(spark, d))
+    c2 = ca.derive_candidates_from_tuples(tuples)
+    for dom in ("dx", "lab", "med"):
+        assert sorted(r[0] for r in c1[dom].collect()) == sorted(r[0] for r in c2[dom].collect())
+    a = fe.event_feature_tuples(events, c1, normalize="lower")
+    b = fe.filter_tuples(tuples, c2, normalize="lower")
+    key = lambda df: sorted(tuple(r) for r in df.select("patient_id", "domain", "feature", "value").collect())
+    assert key(a) == key(b)
