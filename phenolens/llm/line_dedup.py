@@ -8,10 +8,13 @@ many partitions.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from phenolens.llm.common import NULL_ID, ascii_lower
+from phenolens.llm.common import NULL_ID, ascii_lower, shared_table
 
 # Fixed values of the line key: ASCII space, tab, newline, VT, FF, CR.
 STRIPPED = " \t\n\x0b\x0c\r"
@@ -24,7 +27,9 @@ def split_lines(text: Column) -> Column:
 
 
 def line_key(line: Column) -> Column:
-    return ascii_lower(F.btrim(line, F.lit(STRIPPED)))
+    # btrim goes through the whole line, so it is left to the lines that need it
+    ends = [f(line, F.lit(c)) for c in STRIPPED for f in (F.startswith, F.endswith)]
+    return ascii_lower(F.when(reduce(or_, ends), F.btrim(line, F.lit(STRIPPED))).otherwise(line))
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -52,6 +57,8 @@ def drop_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     lines = (rows.select("id", "text_hash", F.posexplode_outer(hashes).alias("pos", "h"))
              .filter(F.col("h").isNotNull())
              .select(F.col("h.a").alias("h1"), F.col("h.b").alias("h2"), "id", "text_hash", "pos"))
+    # range partitioning samples its input first, and the holders are read twice: hash the texts only once
+    lines = shared_table(lines, "line_hashes")
     sorted_lines = (lines.repartitionByRange("h1", "h2", "id", "text_hash")
                     .sortWithinPartitions("h1", "h2", "id", "text_hash", "pos"))
     # one row per line key, document and bitmap word, reduced in the order of the range partitions

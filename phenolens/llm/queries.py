@@ -82,3 +82,84 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark")).select(
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated")
+
+
+@register("op1_packing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from phenolens.llm.packing import pack_documents
+    return pack_documents(documents(spark, sf_dir))
+
+
+@register("op4_html_extraction")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from phenolens.llm.html_extraction import extract_main
+    return extract_main(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@register("op8_quality_classifier")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from phenolens.llm.quality import classify
+    return classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def url_list_events(pages: DataFrame) -> DataFrame:
+    """Dated events of three lists about the hosts of ``pages``; days and choices follow from
+    the hosts' MD5: hosts that a block list adds, removes and sometimes adds again, whole
+    domains that a second list holds for some days, and sections that an allow list excepts."""
+    from phenolens.llm.url_filters import host, path
+
+    def digits(col):
+        return F.conv(F.substring(F.md5(col), 1, 6), 16, 10).cast("int")
+
+    urls = pages.select(host(F.col("url")).alias("host"), path(F.col("url")).alias("path")).filter("host is not null")
+    hosts = urls.select("host").distinct().withColumn("x", digits(F.col("host")))
+    day = F.col("x") % 200
+    block = [hosts.filter("x % 2 = 0").select(F.col("host").alias("pattern"), F.lit("block").alias("list"),
+                                              F.lit(False).alias("allow"), d.alias("day"), F.lit(a).alias("added"))
+             for d, a in ((day, True), (day + 40 + F.col("x") % 50, False))]
+    block.append(hosts.filter("x % 4 = 0").select(
+        F.col("host").alias("pattern"), F.lit("block").alias("list"), F.lit(False).alias("allow"),
+        (day + 120).alias("day"), F.lit(True).alias("added")))
+    domains = (hosts.select(F.substring_index("host", ".", -2).alias("pattern")).distinct()
+               .withColumn("x", digits(F.col("pattern"))))
+    domain = [domains.select("pattern", F.lit("domain").alias("list"), F.lit(False).alias("allow"), d.alias("day"),
+                             F.lit(a).alias("added")) for d, a in ((F.col("x") % 300, True), (F.col("x") % 300 + 20, False))]
+    sections = (urls.select(F.concat("host", F.lit("/"), F.split("path", "/")[1], F.lit("/")).alias("pattern")).distinct()
+                .withColumn("x", digits(F.col("pattern"))).filter("x % 3 = 0"))
+    allow = [sections.select("pattern", F.lit("allow").alias("list"), F.lit(True).alias("allow"), d.alias("day"),
+                             F.lit(a).alias("added")) for d, a in ((F.col("x") % 250, True), (F.col("x") % 250 + 100, False))]
+    out = None
+    for part in block + domain + allow:
+        part = part.select("list", "pattern", "allow", "day", "added")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+_HOST = """nullif(regexp_replace(regexp_replace(lower(regexp_extract(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#\\\\]*)', 1)),
+ '^.*@', ''), '\\.?(:[0-9]*)?$', ''), '')"""
+_PATH = """regexp_extract(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#\\\\]*([^?#]*)', 1)"""
+
+
+@register("op10_url_filters", f"""
+WITH c AS (SELECT page_id, url, ((page_id * 37) % 365)::INT AS day, {_HOST} AS host,
+                  CASE WHEN {_PATH} = '' THEN '/' ELSE {_PATH} END AS path FROM pages),
+h AS (SELECT DISTINCT host, ('0x' || substr(md5(host), 1, 6))::INT AS x FROM c WHERE host IS NOT NULL),
+dm AS (SELECT DISTINCT array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS pattern FROM h),
+dx AS (SELECT pattern, ('0x' || substr(md5(pattern), 1, 6))::INT AS x FROM dm),
+s AS (SELECT DISTINCT host || '/' || string_split(path, '/')[2] || '/' AS pattern FROM c WHERE host IS NOT NULL),
+sx AS (SELECT pattern, ('0x' || substr(md5(pattern), 1, 6))::INT AS x FROM s),
+e AS (SELECT 'block' AS list, host AS pattern, false AS allow, x % 200 AS a, x % 200 + 40 + x % 50 AS z FROM h WHERE x % 2 = 0
+      UNION ALL SELECT 'block', host, false, x % 200 + 120, 1000000 FROM h WHERE x % 4 = 0
+      UNION ALL SELECT 'domain', pattern, false, x % 300, x % 300 + 20 FROM dx
+      UNION ALL SELECT 'allow', pattern, true, x % 250, x % 250 + 100 FROM sx WHERE x % 3 = 0),
+m AS (SELECT c.page_id, e.list, e.allow FROM c JOIN e ON day >= a AND day < z AND CASE WHEN contains(pattern, '/')
+        THEN starts_with(host || path, pattern) ELSE host = pattern OR ends_with(host, '.' || pattern) END),
+g AS (SELECT page_id, count(*) AS n, list_sort(list(DISTINCT list)) AS lists, bool_or(allow) AS allow FROM m GROUP BY page_id)
+SELECT c.page_id, url, day, host, coalesce(n, 0)::BIGINT AS n_active, coalesce(array_to_string(lists, ','), '') AS lists,
+       coalesce(allow, true) AS allowed FROM c LEFT JOIN g ON c.page_id = g.page_id""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from phenolens.llm.url_filters import judge
+    pages = table(spark, sf_dir, "pages")
+    captures = pages.select("page_id", "url", ((F.col("page_id") * 37) % 365).cast("int").alias("day"))
+    return judge(captures, url_list_events(pages)).withColumn("lists", F.array_join("lists", ","))
