@@ -163,3 +163,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     captures = pages.select("page_id", "url", ((F.col("page_id") * 37) % 365).cast("int").alias("day"))
     return judge(captures, url_list_events(pages)).withColumn("lists", F.array_join("lists", ","))
+
+
+@register("op7_near_dedup", f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+f AS (SELECT g FROM s GROUP BY g HAVING count(*) > 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM (SELECT * FROM s WHERE g IN (SELECT g FROM f)) a
+      JOIN (SELECT * FROM s WHERE g IN (SELECT g FROM f)) b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)),
+u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id AS node, doc_id AS seen FROM d UNION SELECT r.node, u.b FROM r JOIN u ON r.seen = u.a)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(seen) AS component_id, d.doc_id = min(seen) AS kept
+FROM d JOIN r ON d.doc_id = r.node LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id, n""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from phenolens.llm.near_dedup import near_dedup
+    return near_dedup(documents(spark, sf_dir))
