@@ -181,3 +181,10 @@ FROM d JOIN r ON d.doc_id = r.node LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from phenolens.llm.near_dedup import near_dedup
     return near_dedup(documents(spark, sf_dir))
+
+
+@register("op6_suffix_array_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from phenolens.llm.suffix_dedup import remove_repeats
+    return remove_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
