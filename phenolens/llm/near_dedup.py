@@ -194,7 +194,8 @@ def near_links(docs: DataFrame, representatives: DataFrame, id_col: str, text_co
         F.ceil(F.sum(F.col("n_shingles") * 8 + 1024) / F.lit(block_bytes)).cast("int").alias("n_blocks"))
     members = (sized.join(n_blocks, "group").select("id", "group", "n_blocks").distinct()
                .withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int")))
-    texts = _narrow(docs, id_col, text_col).join(members, "id")
+    # one plan at every size: without the hint a small table of members would be broadcast
+    texts = _narrow(docs, id_col, text_col).join(members.hint("merge"), "id")
 
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[bytes, int] = {}
