@@ -21,35 +21,42 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from phenolens.llm.common import NULL_ID
+from phenolens.llm.common import NULL_ID, broadcast_if_small, shared_table
 
 LENGTH, GRAM = 50, 20
 WIDTH = LENGTH - GRAM + 1
 #: {0, 1, 3} is a difference cover modulo 7; ranked cover strings have RANKED bytes.
 PERIOD, COVER, RANKED = 7, (0, 1, 3), 32
 #: Bytes of text a block of documents holds, and of text hashed at once.
-BLOCK_BYTES, CHUNK = 8 << 20, 1 << 20
+BLOCK_BYTES, CHUNK = 8 << 20, 1 << 19
+#: The sizes of blocks are broadcast up to this size.
+BROADCAST_BYTES = 32 << 20
 #: Strings sorted at once, in whole buckets.
 SORTED = 400_000
 
 _TABLE = np.random.default_rng(20240301).integers(1, 1 << 63, 256, dtype=np.uint64)
-_ODD = np.random.default_rng(20240302).integers(1, 1 << 63, 6, dtype=np.uint64) | np.uint64(1)
+_ODD = np.random.default_rng(20240302).integers(1, 1 << 63, 13, dtype=np.uint64) | np.uint64(1)
 _AHEAD = np.array([min(d for d in range(PERIOD) if (phase + d) % PERIOD in COVER) for phase in range(PERIOD)])
 _BACK = np.array([min(d for d in range(PERIOD) if (phase - d) % PERIOD in COVER) for phase in range(PERIOD)])
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the GRAM bytes at each position of ``data`` (uint8)."""
-    h1 = _TABLE[data]
-    h2 = h1[:-1] * _ODD[0] + h1[1:]
-    h4 = h2[:-2] * _ODD[1] + h2[2:]
-    h8 = h4[:-4] * _ODD[2] + h4[4:]
-    h16 = h8[:-8] * _ODD[3] + h8[8:]
-    h = h16[:-4] * _ODD[4] + h4[16:]
-    h ^= h >> np.uint64(32)
-    h *= _ODD[5]
-    h ^= h >> np.uint64(29)
-    return h
+def gram_hashes(data: np.ndarray, length: int = GRAM) -> np.ndarray:
+    """Hash of the ``length`` bytes at each position of ``data`` (uint8), put together from powers of two."""
+    power, size, level = _TABLE[data], 1, 0
+    whole, done = None, 0
+    n = len(data) - length + 1
+    while done < length:
+        if length & size:
+            part = power[done:done + n]
+            whole = part.copy() if whole is None else whole * _ODD[-1 - level] + part
+            done += size
+        if done < length:
+            power = power[:-size] * _ODD[level] + power[size:]
+            size, level = 2 * size, level + 1
+    whole ^= whole >> np.uint64(32)
+    whole *= _ODD[6]
+    whole ^= whole >> np.uint64(29)
+    return whole
 
 
 def contexts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -179,8 +186,8 @@ def _buckets(f: pd.DataFrame) -> pd.DataFrame:
 
 
 def _block_contexts(f: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
-    """Contexts of a block that other blocks or documents may repeat, once each, for the smallest
-    id of the block; for larger ids they are repeats already, which is told by rows without a string."""
+    """Contexts of a block that other blocks may repeat, once each, for the smallest id of the
+    block. What repeats within the block is found here, and told by rows without a string."""
     ids, texts = _sorted_texts(f)
     elsewhere = np.sort(shared["bucket"].to_numpy())
     parts = list(_all_contexts(texts))
@@ -188,70 +195,103 @@ def _block_contexts(f: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
         return _rows([])
     text, start, end, anchor, bucket = (np.concatenate(x) for x in zip(*parts))
     held = np.searchsorted(elsewhere, bucket)
-    wanted = (held < len(elsewhere)) & (elsewhere[np.minimum(held, len(elsewhere) - 1)] == bucket) if len(
+    outside = (held < len(elsewhere)) & (elsewhere[np.minimum(held, len(elsewhere) - 1)] == bucket) if len(
         elsewhere) else np.zeros(len(bucket), bool)
+    wanted = outside.copy()
     if len(bucket):  # or two documents of this block hold the bucket
         order = np.lexsort((ids[text], bucket))
         first = np.concatenate([[True], np.diff(bucket[order]) != 0])
         low = np.minimum.reduceat(ids[text][order], np.flatnonzero(first))[np.cumsum(first) - 1]
         high = np.maximum.reduceat(ids[text][order], np.flatnonzero(first))[np.cumsum(first) - 1]
         wanted[order] |= low < high
-    groups: dict[tuple[int, bytes], list[int]] = {}
-    for i in np.flatnonzero(wanted):
-        groups.setdefault((bucket[i], texts[text[i]][start[i]:end[i]]), []).append(i)
-    rows, spans = [], {}
-    for (key, string), members in groups.items():
-        least = min(ids[text[i]] for i in members)
-        starts = []
-        for i in members:
-            if ids[text[i]] == least:
-                starts.append((text[i], start[i]))
-            else:
-                spans.setdefault(text[i], []).append((start[i], end[i]))
-        for t in dict.fromkeys(t for t, _ in starts):
-            rows.append((key, string, anchor[members[0]], least, _digest(texts[t]), [s for u, s in starts if u == t]))
+    wanted = np.flatnonzero(wanted)
+    wanted = wanted[np.argsort(ids[text[wanted]], kind="stable")]  # the first mention of a context has the smallest id
+    known: dict[bytes, int] = {}
+    rows: list[list] = [[] for _ in range(7)]
+    block = f["block"].iloc[0] if len(f) else 0
+    digests: dict[int, int] = {}
+    spans: dict[int, list] = {}
+
+    def digest(t: int) -> int:
+        if t not in digests:
+            digests[t] = _digest(texts[t])
+        return digests[t]
+
+    own = ids.tolist()
+    inside: dict[int, list[tuple]] = {}
+    for t, a, b, where, key, sent in zip(*(x[wanted].tolist() for x in (text, start, end, anchor, bucket, outside))):
+        string = texts[t][a:b]
+        if known.setdefault(string, own[t]) != own[t]:
+            spans.setdefault(t, []).append((a, b))
+        elif sent:
+            for column, value in zip(rows, (key, string, where, own[t], digest(t), a, block)):
+                column.append(value)
+        else:
+            inside.setdefault(key, []).append((key, string, where, own[t], a, t))
+    for part in _sortable(c for members in inside.values() if len(members) > 1 for c in members):
+        for c, a, b in repeated(*_columns(part)):
+            spans.setdefault(part[c][5], []).append((part[c][4] + a, part[c][4] + b))
     for t, found in spans.items():
         for a, b in _union(found):
-            rows.append((int(ids[t]), None, b - a, ids[t], _digest(texts[t]), [a]))
+            for column, value in zip(rows, (own[t], None, b - a, own[t], digest(t), a, block)):
+                column.append(value)
     return _rows(rows)
 
 
-CONTEXT = "bucket long, string binary, anchor long, id long, text_hash long, starts array<long>"
+CONTEXT = "bucket long, string binary, anchor long, id long, text_hash long, start long, block long"
+SPAN = "id long, text_hash long, start long, stop long, block long"
 
 
-def _rows(rows: list) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=[c.split()[0] for c in CONTEXT.split(", ")])
+def _rows(columns: list[list]) -> pd.DataFrame:
+    return pd.DataFrame(dict(zip((c.split()[0] for c in CONTEXT.split(", ")), columns or [[]] * 7)))
 
 
 def _digest(text: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
 
 
-def _sort_buckets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Spans (id, text_hash, start, stop) from contexts that come in order of their buckets."""
+def _sortable(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Rows (bucket, string, ...) that come bucket by bucket, cut between buckets into lists of about SORTED bytes."""
     waiting: list[tuple] = []
     size = 0
+    for row in rows:
+        if size >= SORTED and row[0] != waiting[-1][0]:
+            yield waiting
+            waiting, size = [], 0
+        waiting.append(row)
+        size += len(row[1])
+    if waiting:
+        yield waiting
+
 
-    def solve() -> pd.DataFrame:
+def _columns(rows: list[tuple]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    buckets, strings, anchors, ids = zip(*(r[:4] for r in rows))
+    return np.array(buckets), list(strings), np.array(anchors), np.array(ids)
+
+
+def _sort_buckets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Spans from contexts that come in order of their buckets."""
+    names = [c.split()[0] for c in SPAN.split(", ")]
+    told: list[pd.DataFrame] = []
+
+    def contexts_of() -> Iterator[tuple]:
+        for f in frames:
+            without = f[f["string"].isna()]
+            if len(without):
+                told.append(pd.DataFrame({
+                    "id": without["id"], "text_hash": without["text_hash"], "start": without["start"],
+                    "stop": without["start"] + without["anchor"], "block": without["block"]}))
+            yield from f[f["string"].notna()].itertuples(index=False, name=None)
+
+    for part in _sortable(contexts_of()):
         found = []
-        if waiting:
-            buckets, strings, anchors, ids, hashes, starts = zip(*waiting)
-            for c, a, b in repeated(np.array(buckets), list(strings), np.array(anchors), np.array(ids)):
-                found += [(ids[c], hashes[c], int(s) + a, int(s) + b) for s in starts[c]]
-        return pd.DataFrame(found, columns=["id", "text_hash", "start", "stop"])
-
-    for f in frames:
-        told = f[f["string"].isna()]
-        if len(told):
-            at = told["starts"].str[0]
-            yield pd.DataFrame({"id": told["id"], "text_hash": told["text_hash"], "start": at, "stop": at + told["anchor"]})
-        for row in f[f["string"].notna()].itertuples(index=False, name=None):
-            if size >= SORTED and row[0] != waiting[-1][0]:
-                yield solve()
-                waiting, size = [], 0
-            waiting.append(row)
-            size += len(row[1])
-    yield solve()
+        for c, a, b in repeated(*_columns(part)):
+            _, _, _, doc, digest, start, block = part[c]
+            found.append((doc, digest, start + a, start + b, block))
+        yield pd.DataFrame(found, columns=names)
+        yield from told
+        told.clear()
+    yield from told
 
 
 def _remove(f: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
@@ -282,24 +322,31 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     smallest. Rows that share an id are one document, whose rows never shorten each
     other. Other columns are not looked at, and an empty table gives an empty one.
 
-    Documents are dealt into blocks by their ids. A block tells its buckets once
+    Documents are dealt into blocks that copies tend to share. A block tells its buckets once
     each, however often its documents repeat a passage, and gets back those that
     other blocks hold too; then it sends its contexts of these, again once each. So
     neither a passage nor a document makes a task large, and a task holds one block,
     or the strings of some buckets.
     """
-    total = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
-    n_blocks = max(1, -(-total // block_bytes))
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.col(text_col).alias("text"))
-    blocks = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n_blocks))).repartition("block")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    total = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+    # copies are dealt alike: by the smallest hash of a line; what gets too large is dealt on by id
+    deal = F.pmod(F.array_min(F.transform(F.split(text, "\n"), lambda line: F.xxhash64(line))),
+                  F.lit(max(1, -(-total // block_bytes))))
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), text.alias("text"),
+                       deal.alias("deal"))
+    parts = shared_table(rows.groupBy("deal").agg(F.ceil(
+        (F.sum(F.octet_length("text").cast("long")) + 1) / F.lit(block_bytes)).alias("parts")), "blocks")
+    blocks = (rows.join(broadcast_if_small(parts, BROADCAST_BYTES, 16), "deal")
+              .select("id", "text", F.xxhash64("deal", F.pmod(F.xxhash64("id"), F.col("parts"))).alias("block"))
+              .repartition("block"))
     buckets = blocks.groupBy("block").applyInPandas(lambda f: _buckets(f), "bucket long, block long")
     shared = (buckets.withColumn("n", F.count("*").over(Window.partitionBy("bucket"))).filter("n > 1")
               .select("block", "bucket"))
     sent = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInPandas(
         lambda f, s: _block_contexts(f, s), CONTEXT)
     spans = (sent.repartition("bucket").sortWithinPartitions("bucket")
-             .mapInPandas(lambda frames: _sort_buckets(frames), "id long, text_hash long, start long, stop long")
-             .withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n_blocks))))
+             .mapInPandas(lambda frames: _sort_buckets(frames), SPAN))
     out = blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInPandas(
         lambda f, s: _remove(f, s), "id long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<long>")
     return out.select(F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id"), "n_bytes", "n_removed", "n_spans",
