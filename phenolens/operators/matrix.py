@@ -53,11 +53,11 @@ def multiply_by_columns(long: DataFrame, col_factor: DataFrame, k: int, out: str
         .select("row_id", _pack(k, out))
 
 
-def transpose_times(long: DataFrame, row_factor: DataFrame, k: int, out: str = "vec",
-                    broadcast_max_rows: int | None = None) -> DataFrame:
-    """Wᵀ V as a column factor (col_id, vec) = sum over rows i of v_ic * w_i."""
-    kw = {} if broadcast_max_rows is None else {"max_rows": broadcast_max_rows}
-    joined = join_small(long, row_factor.select("row_id", F.col("vec").alias("_w")), "row_id", **kw)
+def transpose_times(long: DataFrame, row_factor: DataFrame, k: int, out: str = "vec") -> DataFrame:
+    """Wᵀ V as a column factor (col_id, vec) = sum over rows i of v_ic * w_i.
+
+    The row factor grows with the patients, so it is joined by its key and never marked for broadcasting."""
+    joined = long.join(row_factor.select("row_id", F.col("vec").alias("_w")), "row_id")
     return joined.groupBy("col_id").agg(*_sum_products(F.col("value"), F.col("_w"), k)) \
         .select("col_id", _pack(k, out))
 

@@ -5,8 +5,7 @@
 V is the patient x feature matrix (``(row_id, col_id, value)``), W has one
 k-vector per patient, H one k-vector per feature (k is small).
 
-Default plan (``run``), used when the feature dictionary is within the
-broadcast bound: each patient row carries its sparse V entries AND its W
+Plan of ``run``: each patient row carries its sparse V entries AND its W
 vector, ``(row_id, cols, vals, w)``. One round is ONE Spark job:
 
 1. a row-local ``mapInPandas`` pass updates W against the broadcast H and
@@ -22,8 +21,10 @@ Rounds are cached and reliably checkpointed every ``checkpoint_interval``
 rounds into the shared checkpoint folder; the broadcasts needed to
 recompute the rounds since the last checkpoint are kept alive.
 
-Fallback (``run_keyed``) for dictionaries beyond the bound: W and H are both
-keyed DataFrames and every product is a join + aggregation (``matrix``).
+``run`` holds H (features x k) on the driver, like its callers' other models.
+``run_keyed`` is the same algorithm for models that no driver can hold: W and
+H are both keyed DataFrames and every product is a join + aggregation
+(``matrix``). The caller chooses; nothing switches by size.
 
 Start values are deterministic arithmetic on the integer ids (``init_value``)
 so a run is reproducible and SQL can repeat a round.
@@ -103,11 +104,7 @@ def prepare_v(v_long: DataFrame) -> DataFrame:
 
 def run_keyed(v_long: DataFrame, k: int, max_iterations: int = 100, tol: float = 1e-4, seed: int = 8803,
               row_ids: DataFrame | None = None, col_ids: DataFrame | None = None) -> NMFResult:
-    """M7 (keyed fallback): iterate until the relative error drop is below ``tol`` or the cap is hit.
-
-    Stop rule: (last - this) / max(last, 1) < tol, with the same error
-    definition on every round.
-    """
+    """M7 with keyed factors: same rounds and stop rule as ``run``."""
     v = prepare_v(v_long)
     w, h = start_factors(v, k, seed, row_ids, col_ids)
     w, h = cut_lineage(w), cut_lineage(h)
@@ -128,9 +125,8 @@ def run_keyed(v_long: DataFrame, k: int, max_iterations: int = 100, tol: float =
         wtw = mx.gram(w, k)
         new_err = mx.frobenius_error(sq, wtv, h, wtw, hht)
         errors.append(new_err)
-        drop = (err - new_err) / max(err, 1.0)
-        err = new_err
-        if drop < tol:
+        change, err = abs(err - new_err), new_err
+        if change <= tol:
             break
     wtv.unpersist()
     return NMFResult(w=w, h=h, errors=errors, iterations=it)
@@ -153,10 +149,7 @@ def assign_clusters(w: DataFrame) -> DataFrame:
 # Default plan: W co-located with the patient's V entries, H broadcast.
 # --------------------------------------------------------------------------
 
-# H is broadcast only when the dictionary has at most this many features
-# (k doubles each); beyond it ``run`` falls back to ``run_keyed``.
-BROADCAST_MAX_FEATURES = 1_000_000
-CHECKPOINT_INTERVAL = 5
+CHECKPOINT_INTERVAL = 20
 ROWS_PER_PARTITION = 20_000
 
 ROW_SCHEMA = T.StructType([
@@ -253,14 +246,13 @@ def _w_update_with_stats(h_bc, hht: np.ndarray, eps: float, n_cols: int):
 
 
 def _partial_stats(out: DataFrame, k: int, n_cols: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sum the per-partition partial records (row_id -1) of a fused round."""
+    """Sum the per-partition partial records (row_id -1) of a fused round by index."""
     parts = (out.where(F.col("row_id") < 0)
              .select(F.explode(F.arrays_zip("cols", "vals")).alias("e"))
              .groupBy(F.col("e.cols").alias("i")).agg(F.sum("e.vals").alias("s"))
-             .collect())   # <= (n_cols + k) * k rows: bounded by the dictionary
+             .toPandas())   # <= (n_cols + k) * k numbers, in Arrow batches
     flat = np.zeros(n_cols * k + k * k)
-    for r in parts:
-        flat[r["i"]] = r["s"]
+    flat[parts["i"].to_numpy(np.int64)] = parts["s"].to_numpy()
     return flat[: n_cols * k].reshape(n_cols, k), flat[n_cols * k:].reshape(k, k)
 
 
@@ -299,20 +291,19 @@ def run(v_long: DataFrame, k: int, max_iterations: int = 100, tol: float = 1e-4,
         checkpoint_interval: int = CHECKPOINT_INTERVAL) -> NMFResult:
     """M7: NMF of V = (row_id, col_id, value) with dense col ids 0..n_cols-1.
 
-    Stop rule: (last - this) / max(last, 1) < tol, same error definition on
-    every round, at most ``max_iterations`` rounds.
+    Stop rule: the error changes by no more than ``tol`` (absolutely) in a
+    round, or ``max_iterations`` rounds are done. A relative rule would end on
+    the first plateau, long before the factors settle.
     """
     spark = v_long.sparkSession
     if n_cols is None:
         n_cols = int(v_long.agg(F.max("col_id")).first()[0]) + 1
-    if n_cols > BROADCAST_MAX_FEATURES:
-        cols = spark.range(n_cols).withColumnRenamed("id", "col_id")
-        return run_keyed(v_long, k, max_iterations, tol, seed, row_ids, cols)
     v = v_long.select("row_id", "col_id", F.col("value").cast("double"))
     ids = materialize(row_ids if row_ids is not None else v.select("row_id").distinct())
     # one partition per ROWS_PER_PARTITION patients: every round is one pass over these rows
-    n_parts = partitions_for(ids.count(), ROWS_PER_PARTITION, spark)
-    rows = cut_lineage(patient_rows(v, ids, k, seed).repartition(n_parts))
+    n_parts = partitions_for(ids.count(), ROWS_PER_PARTITION)
+    rows = cut_lineage(patient_rows(v, ids, k, seed).repartition(n_parts, "row_id").sortWithinPartitions("row_id"))
+    ids.unpersist()
     sq = float(rows.select(F.aggregate("vals", F.lit(0.0), lambda acc, x: acc + x * x).alias("s"))
                .agg(F.sum("s")).first()[0] or 0.0)
     h = init_matrix(np.arange(n_cols), k, seed + H_SALT)
@@ -343,9 +334,8 @@ def run(v_long: DataFrame, k: int, max_iterations: int = 100, tol: float = 1e-4,
         rows = out.where(F.col("row_id") >= 0)
         new_err = _error(sq, h, wtv, wtw, hht)
         errors.append(new_err)
-        drop = (err - new_err) / max(err, 1.0)
-        err = new_err
-        if drop < tol:
+        change, err = abs(err - new_err), new_err
+        if change <= tol:
             break
     w_df = rows.select("row_id", F.col("w").alias("vec"))
     h_df = spark.createDataFrame([(i, [float(x) for x in h[i]]) for i in range(n_cols)],

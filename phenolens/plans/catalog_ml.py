@@ -1,7 +1,8 @@
 """Registered queries of the reduce / cluster / matrix / NMF / streaming steps.
 
-Fitted results (feature inputs, NMF runs) are memoised per (session, sf_dir)
-so the several queries that read one fitted model do not refit it.
+Fitted results (feature inputs, NMF runs) are memoised per session and state of
+the source files, so the several queries that read one fitted model do not refit
+it, and a rewritten table is read anew. ``forget`` releases them.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from phenolens.operators import matrix as mx
 from phenolens.operators import nmf
 from phenolens.plans import evaluation as ev
 from phenolens.plans import oracle as o
-from phenolens.plans.catalog import _r, feature_tuples, labels, register, tuples_sql
+from phenolens.plans.catalog import _candidate_sql, _r, feature_tuples, labels, register, tuples_sql
 from phenolens.sources import candidates as ca
 from phenolens.sources import starschema as ss
 from phenolens.sources.tables import read_table
@@ -25,18 +26,33 @@ _MEMO: dict = {}
 
 
 def _memo(spark: SparkSession, sf_dir: str, name: str, build):
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    changed = [read_table(spark, sf_dir, t).agg(F.max("_metadata.file_modification_time")).first()[0]
+               for t in ("orders", "lineitem", "events")]
+    key = (spark.sparkContext.applicationId, sf_dir, name, *changed)
     if key not in _MEMO:
         _MEMO[key] = build()
     return _MEMO[key]
 
 
+def forget() -> None:
+    """Release all fitted results."""
+    for value in _MEMO.values():
+        if isinstance(value, ev.ClusteringInputs):
+            value.release()
+    _MEMO.clear()
+
+
 def inputs(spark, sf_dir) -> ev.ClusteringInputs:
     return _memo(spark, sf_dir, "inputs", lambda: ev.prepare(feature_tuples(spark, sf_dir)))
 
 
+def matrix_inputs(spark, sf_dir) -> ev.ClusteringInputs:
+    """The feature matrix without scaling and reduction."""
+    return _memo(spark, sf_dir, "matrix", lambda: ev.feature_inputs(feature_tuples(spark, sf_dir)))
+
+
 def nmf_run(spark, sf_dir):
-    return _memo(spark, sf_dir, "nmf", lambda: ev.nmf_clusters(inputs(spark, sf_dir)))
+    return _memo(spark, sf_dir, "nmf", lambda: ev.nmf_clusters(matrix_inputs(spark, sf_dir)))
 
 
 def _long(df: DataFrame, key: str, vec: str = "vec") -> DataFrame:
@@ -131,7 +147,7 @@ def _nmf_sql(body: str) -> str:
 
 def nmf_start(spark, sf_dir):
     """V (abs features, dense ids) and the deterministic start factors W0, H0."""
-    inp = inputs(spark, sf_dir)
+    inp = matrix_inputs(spark, sf_dir)
     v, rid = ev.nmf_input(inp)
     w0 = nmf.init_factor(rid.select("row_id"), "row_id", K, SEED)
     h0 = nmf.init_factor(inp.dictionary.select(F.col("feature_id").alias("col_id")), "col_id", K,
@@ -198,18 +214,43 @@ def q_nmf_error(spark, sf_dir):
     return tot.select(F.round((F.col("e") + F.lit(trace)) / F.col("sq"), 9).alias("rel_error"))
 
 
+def nmf_round_ctes(t: int) -> str:
+    """Round ``t`` (2 or more) from the factors of round t - 1, as the first round in ``nmf_ctes``."""
+    w, h, wt, ht = f"w{t - 1}", f"h{t - 1}", f"w{t}", f"h{t}"
+    return f"""
+wtv_{t} AS (SELECT v.col_id, f.j, SUM(v.value * f.w) AS s FROM v JOIN {w} f USING (row_id) GROUP BY v.col_id, f.j),
+wtw_{t} AS (SELECT a.j AS a, b.j AS b, SUM(a.w * b.w) AS g FROM {w} a JOIN {w} b ON a.row_id = b.row_id GROUP BY a.j, b.j),
+hd_{t} AS (SELECT f.col_id, g.a AS j, SUM(g.g * f.h) AS d FROM {h} f JOIN wtw_{t} g ON g.b = f.j GROUP BY f.col_id, g.a),
+{ht} AS (SELECT f.col_id, f.j, f.h * COALESCE(n.s, 0) / (hd_{t}.d + {mx.EPS}) AS h
+       FROM {h} f JOIN hd_{t} USING (col_id, j) LEFT JOIN wtv_{t} n USING (col_id, j)),
+vht_{t} AS (SELECT v.row_id, f.j, SUM(v.value * f.h) AS s FROM v JOIN {ht} f USING (col_id) GROUP BY v.row_id, f.j),
+hht_{t} AS (SELECT a.j AS a, b.j AS b, SUM(a.h * b.h) AS g FROM {ht} a JOIN {ht} b ON a.col_id = b.col_id GROUP BY a.j, b.j),
+wd_{t} AS (SELECT f.row_id, g.a AS j, SUM(f.w * g.g) AS d FROM {w} f JOIN hht_{t} g ON g.b = f.j GROUP BY f.row_id, g.a),
+{wt} AS (SELECT f.row_id, f.j, f.w * COALESCE(n.s, 0) / (wd_{t}.d + {mx.EPS}) AS w
+       FROM {w} f JOIN wd_{t} USING (row_id, j) LEFT JOIN vht_{t} n USING (row_id, j))"""
+
+
+def nmf_rounds(spark, sf_dir, rounds: int) -> nmf.NMFResult:
+    """The shipped iteration, stopped after ``rounds``."""
+    inp = matrix_inputs(spark, sf_dir)
+    v, rid = ev.nmf_input(inp)
+    return nmf.run(v, K, rounds, 0.0, SEED, row_ids=rid.select("row_id"), n_cols=inp.n_features)
+
+
 @register("nmf_step_h", _nmf_sql(f"SELECT col_id, j AS comp, ROUND(h, {o.ROUND}) AS value FROM h1"))
 def q_nmf_step_h(spark, sf_dir):
-    v, w0, h0 = nmf_start(spark, sf_dir)
-    h1 = nmf.update_h(h0, mx.transpose_times(v, w0, K), mx.gram(w0, K))
-    return _long(h1, "col_id")
+    return _long(nmf_rounds(spark, sf_dir, 1).h, "col_id")
 
 
 @register("nmf_step_w", _nmf_sql(f"SELECT row_id, j AS comp, ROUND(w, {o.ROUND}) AS value FROM w1"))
 def q_nmf_step_w(spark, sf_dir):
-    v, w0, h0 = nmf_start(spark, sf_dir)
-    h1, w1 = nmf.one_round(v, w0, h0, K)
-    return _long(w1, "row_id")
+    return _long(nmf_rounds(spark, sf_dir, 1).w, "row_id")
+
+
+@register("nmf_two_rounds", o.with_ctes(o.adapter_ctes(), tuples_sql(), nmf_ctes(), nmf_round_ctes(2),
+                                        body=f"SELECT row_id, j AS comp, ROUND(w, {o.ROUND}) AS value FROM w2"))
+def q_nmf_two_rounds(spark, sf_dir):
+    return _long(nmf_rounds(spark, sf_dir, 2).w, "row_id")
 
 
 @register("nmf_factors")
@@ -274,6 +315,37 @@ def q_center_update(spark, sf_dir):
     return upd.select("cluster", "dim", _r("value"), _r("weight"))
 
 
+def _replay_ctes(batches: int) -> str:
+    """Assignment and update once per batch (vec_id % batches), from the start centres."""
+    dim = f"""e AS (SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS d,
+             CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+m0 AS (SELECT k, d, c, {sk.START_WEIGHT}::DOUBLE AS n FROM ctr)"""
+    parts = [_centers_sql(sk.K, EMB_DIM, sk.SEED), dim]
+    for t in range(batches):
+        parts.append(f"""
+d{t} AS (SELECT e.vec_id, m.k, SUM((e.x - m.c) * (e.x - m.c)) AS dist FROM e JOIN m{t} m ON e.d = m.d
+        WHERE e.vec_id % {batches} = {t} GROUP BY e.vec_id, m.k),
+a{t} AS (SELECT vec_id, arg_min(k, dist) AS k FROM d{t} GROUP BY vec_id),
+s{t} AS (SELECT a.k, e.d, SUM(e.x) AS s, COUNT(*) AS m FROM e JOIN a{t} a USING (vec_id) GROUP BY a.k, e.d),
+m{t + 1} AS (SELECT m.k, m.d, CASE WHEN s.m > 0 THEN (m.c * m.n * {sk.DECAY} + s.s) / (m.n * {sk.DECAY} + s.m)
+                                  ELSE m.c END AS c, m.n * {sk.DECAY} + COALESCE(s.m, 0) AS n
+        FROM m{t} m LEFT JOIN s{t} s ON s.k = m.k AND s.d = m.d)""")
+    return ",".join(parts)
+
+
+@register("streaming_centers", o.with_ctes(_replay_ctes(ev.STREAM_BATCHES), body=f"""
+SELECT k AS cluster, d AS dim, ROUND(c, {o.ROUND}) AS value, ROUND(n, {o.ROUND}) AS weight FROM m{ev.STREAM_BATCHES}"""))
+def q_streaming_centers(spark, sf_dir):
+    """The model after the whole stream, on the embeddings."""
+    emb = read_table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
+    batch = (F.col("vec_id") % ev.STREAM_BATCHES).cast("int")
+    state = sk.replay(emb, batch, ev.STREAM_BATCHES, emb.schema, "x", _embedding_state(spark), sk.DECAY)
+    rows = [(i, c, float(w)) for i, (c, w) in enumerate(zip(state.centers, state.weights))]   # k rows
+    return (spark.createDataFrame(rows, "cluster int, center array<double>, weight double")
+            .select("cluster", F.posexplode("center").alias("dim", "value"), _r("weight"))
+            .select("cluster", F.col("dim").cast("int"), _r("value"), "weight"))
+
+
 def stream_run(spark, sf_dir):
     return _memo(spark, sf_dir, "stream", lambda: ev.streaming_kmeans_clusters(inputs(spark, sf_dir)))
 
@@ -299,6 +371,23 @@ def filtered_tuples(spark, sf_dir, tuples: DataFrame | None = None) -> DataFrame
 
 @register("clustering_report")
 def q_clustering_report(spark, sf_dir):
+    return _memo(spark, sf_dir, "report", lambda: _report(spark, sf_dir))
+
+
+def _report(spark, sf_dir):
     from phenolens.session import materialize
     tuples = materialize(feature_tuples(spark, sf_dir))   # one pass over the events for both feature sets
-    return ev.report(labels(spark, sf_dir), tuples, filtered_tuples(spark, sf_dir, tuples))
+    out = ev.report(labels(spark, sf_dir), tuples, filtered_tuples(spark, sf_dir, tuples))
+    tuples.unpersist()
+    return out
+
+
+@register("report_rows", o.with_ctes(o.adapter_ctes(), _candidate_sql(), tuples_sql(), body="""
+SELECT feature_set, algorithm, n_rows FROM (
+  SELECT 'all' AS feature_set, COUNT(DISTINCT patient_id) AS n_rows FROM tuples
+  UNION ALL SELECT 'filtered', COUNT(DISTINCT patient_id) FROM tuples
+  WHERE lower(feature) IN (SELECT name FROM cand WHERE cand.domain = tuples.domain)),
+ (VALUES ('kmeans'), ('gmm'), ('streaming_kmeans'), ('nmf')) AS t(algorithm)"""))
+def q_report_rows(spark, sf_dir):
+    """How many patients each clustering of the report places."""
+    return q_clustering_report(spark, sf_dir).select("feature_set", "algorithm", "n_rows")
