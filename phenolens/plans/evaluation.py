@@ -24,12 +24,12 @@ from phenolens.operators import metrics as me
 from phenolens.operators import nmf
 from phenolens.operators import reduce as rd
 from phenolens.operators.indexing import dense_index
-from phenolens.session import cut_lineage, materialize
+from phenolens.session import materialize, partitions_for
 from phenolens.streaming import kmeans as sk
 
 ALGORITHMS = ("kmeans", "gmm", "streaming_kmeans", "nmf")
 NMF_K, NMF_MAX_ITERATIONS, NMF_TOL = 3, 100, 1e-4   # FIXED VALUES of the NMF run
-STREAM_BATCHES = 4
+STREAM_BATCHES = 4            # micro-batches of the replayed stream, dealt by patient
 ROWS_PER_PARTITION = 50_000   # patient rows per partition for the iterative fits
 
 
@@ -38,7 +38,18 @@ class ClusteringInputs:
     long: DataFrame          # (patient_id, feature_id, value)
     dictionary: DataFrame    # (domain, feature, feature_id)
     n_features: int
-    reduced: DataFrame       # (patient_id, features, scaled, pca) — checkpointed
+    reduced: DataFrame | None   # (patient_id, features, scaled, pca); None if there is nothing to reduce
+
+    def release(self) -> None:
+        for df in (self.long, self.dictionary, self.reduced):
+            if df is not None:
+                df.unpersist()
+
+
+def feature_inputs(tuples: DataFrame) -> ClusteringInputs:
+    """The feature matrix alone, which is all that NMF needs."""
+    long, dictionary, n = fe.feature_matrix(tuples)
+    return ClusteringInputs(long=materialize(long), dictionary=dictionary, n_features=n, reduced=None)
 
 
 def prepare(tuples: DataFrame, sparse: bool = True) -> ClusteringInputs:
@@ -48,19 +59,27 @@ def prepare(tuples: DataFrame, sparse: bool = True) -> ClusteringInputs:
     (``reduce.centered_pca``); ``sparse=False`` densifies to the dictionary
     width first, as the textbook formulation does. Both give the same
     components up to the sign of each principal axis.
+
+    Vectors are dealt by patient into partitions whose number follows from the
+    patients alone and sorted in them: fits that sample per partition then give
+    the same model on any number of cores.
     """
-    long, dictionary, n = fe.feature_matrix(tuples)
-    long = materialize(long)
+    inputs = feature_inputs(tuples)
+    n = inputs.n_features
+    if not n:
+        return inputs
+    vectors = fe.sparse_feature_vectors(inputs.long, n) if sparse else fe.dense_feature_vectors(inputs.long, n)
+    parts = partitions_for(inputs.long.select("patient_id").distinct().count(), ROWS_PER_PARTITION)
+    vectors = materialize(vectors.repartition(parts, "patient_id").sortWithinPartitions("patient_id"))
     if sparse:
-        vectors = materialize(fe.sparse_feature_vectors(long, n), ROWS_PER_PARTITION)   # read by 3 fits/passes
         scaled, scaler = rd.standardize(vectors, with_mean=False)
         reduced, _ = rd.centered_pca(scaled, scaler, n)
     else:
-        vectors = materialize(fe.dense_feature_vectors(long, n), ROWS_PER_PARTITION)
         scaled, _ = rd.standardize(vectors)
         reduced, _ = rd.principal_components(scaled, n)
-    reduced = materialize(reduced.select("patient_id", "features", "scaled", "pca"))
-    return ClusteringInputs(long=long, dictionary=dictionary, n_features=n, reduced=reduced)
+    inputs.reduced = materialize(reduced.select("patient_id", "features", "scaled", "pca"))
+    vectors.unpersist()
+    return inputs
 
 
 def kmeans_clusters(inputs: ClusteringInputs) -> DataFrame:
@@ -75,12 +94,12 @@ def streaming_kmeans_clusters(inputs: ClusteringInputs, batches: int = STREAM_BA
     spark = inputs.reduced.sparkSession
     arr = inputs.reduced.select("patient_id", vector_to_array("pca").alias("x"))
     dim = len(arr.first()["x"]) if inputs.n_features else sk.DIM
-    source = sk.stage_batches(arr, batches, key="patient_id")
+    batch = F.pmod(F.xxhash64("patient_id"), F.lit(batches)).cast("int")
     schema = T.StructType([T.StructField("patient_id", T.StringType()),
                            T.StructField("x", T.ArrayType(T.DoubleType()))])
     start = sk.random_centers(spark, k=sk.K, dim=dim, weight=sk.START_WEIGHT, seed=sk.SEED)
-    state = sk.run_stream(spark, source, schema, "x", start, decay=sk.DECAY)
-    return sk.assign(spark.read.schema(schema).parquet(source), "x", state).select("patient_id", "cluster")
+    state = sk.replay(arr, batch, batches, schema, "x", start, decay=sk.DECAY)
+    return sk.assign(arr, "x", state).select("patient_id", "cluster")
 
 
 def nmf_input(inputs: ClusteringInputs) -> tuple[DataFrame, DataFrame]:
@@ -121,20 +140,26 @@ def purity_against(clusters: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def evaluate(labels: DataFrame, tuples: DataFrame, algorithms=ALGORITHMS) -> DataFrame:
-    """(algorithm, purity, n_rows), one row per algorithm."""
+    """(algorithm, purity, n_rows), one row per algorithm.
+
+    Without any feature there is nothing to cluster: NULL purity, 0 rows. The
+    rows (one per algorithm) are computed here, so that what the fits keep in
+    memory can be released."""
+    spark = labels.sparkSession
     inputs = prepare(tuples)
-    frames = [purity_against(c, labels).select(F.lit(alg).alias("algorithm"), "purity", "n_rows")
-              for alg, c in cluster_all(inputs, algorithms).items()]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    rows = [(alg, None, 0) for alg in algorithms]
+    if inputs.n_features:
+        rows = [(alg, *purity_against(clusters, labels).select("purity", "n_rows").first())
+                for alg, clusters in cluster_all(inputs, algorithms).items()]
+    inputs.release()
+    return spark.createDataFrame(rows, "algorithm string, purity double, n_rows long")
 
 
 def report(labels: DataFrame, all_tuples: DataFrame, filtered_tuples: DataFrame,
            algorithms=ALGORITHMS) -> DataFrame:
-    """C4/K2: (feature_set, algorithm, purity) for all and for filtered features."""
+    """C4/K2: (feature_set, algorithm, purity, n_rows) for all and for filtered features."""
     labels = materialize(labels)
     a = evaluate(labels, all_tuples, algorithms).select(F.lit("all").alias("feature_set"), "*")
     b = evaluate(labels, filtered_tuples, algorithms).select(F.lit("filtered").alias("feature_set"), "*")
+    labels.unpersist()
     return a.unionByName(b).select("feature_set", "algorithm", F.round("purity", 5).alias("purity"), "n_rows")

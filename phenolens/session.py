@@ -10,6 +10,7 @@ runs in local mode (tests, bench).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -58,7 +59,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not conf:
-        if not sc.master.startswith("local"):
+        if re.fullmatch(r"local(\[.*\])?", sc.master) is None:  # local-cluster is a cluster
             raise RuntimeError(
                 f"{CHECKPOINT_CONF} is not set; point it at a shared folder "
                 "(HDFS/S3/ABFS) visible to every executor")
@@ -73,54 +74,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, rows_per_partition: int | None = None) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
     """Persist (memory, spilling to disk) and compute once, for a result read by
     several later jobs. Lineage stays (fixed length), so a lost block is
-    recomputed; iterative loops use ``cut_lineage`` instead.
-
-    With ``rows_per_partition``, a result spread over more partitions than it
-    needs (more than both the task slots and rows / rows_per_partition) is
-    coalesced (no shuffle), so iterative readers such as the ML fits do not
-    schedule hundreds of near-empty tasks per pass.
-    """
+    recomputed; iterative loops use ``cut_lineage`` instead. The caller
+    unpersists."""
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = df.count()
-    if rows_per_partition:
-        target = partitions_for(rows, rows_per_partition, df.sparkSession)
-        if df.rdd.getNumPartitions() > target:
-            small = df.coalesce(target).persist(StorageLevel.MEMORY_AND_DISK)
-            small.count()
-            df.unpersist()
-            return small
+    df.count()
     return df
 
 
-def partitions_for(rows: int, rows_per_partition: int, spark: SparkSession | None = None) -> int:
-    """About ``rows_per_partition`` rows per partition, but never fewer
-    partitions than the cluster has task slots (so no core idles)."""
-    slots = spark.sparkContext.defaultParallelism if spark is not None else 1
-    return max(slots, -(-rows // rows_per_partition))
-
-
-_SCAN_SPLITS: dict = {}
-
-
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Round-robin repartition a scan that yields fewer partitions than the
-    cluster has task slots (e.g. one small single-row-group file), so the
-    per-row work after it runs in parallel. A no-op for large inputs, whose
-    scans already have at least that many splits. ``key`` (e.g. the file
-    path) memoises the split count so the scan is planned only once."""
-    spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
-    memo_key = (spark.sparkContext.applicationId, key) if key else None
-    if memo_key is not None and memo_key in _SCAN_SPLITS:
-        splits = _SCAN_SPLITS[memo_key]
-    else:
-        splits = df.rdd.getNumPartitions()
-        if memo_key is not None:
-            _SCAN_SPLITS[memo_key] = splits
-    return df.repartition(slots) if splits < slots else df
+def partitions_for(rows: int, rows_per_partition: int) -> int:
+    """Partitions of ``rows_per_partition`` rows: from the data alone, so that
+    what is fitted on them is the same on any number of cores."""
+    return max(1, -(-rows // rows_per_partition))
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phenolens.sources.tables import read_spread, read_table
+from phenolens.sources.tables import read_table
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES of the adapter (must match the SQL oracle exactly).
@@ -64,7 +64,7 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encounter_dx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_spread(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey"]).select(
+    return read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").select(
         F.col("l_orderkey").alias("encounter_id"),
         dx_code(F.col("l_orderkey"), F.col("l_partkey")).alias("code"))
 
@@ -79,7 +79,7 @@ def diagnostic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def medication(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_spread(spark, sf_dir, "lineitem", ["l_orderkey", "l_suppkey", "l_shipdate"])
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_shipdate")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
             .select(F.col("o_custkey").cast("string").alias("patient_id"),
@@ -89,7 +89,7 @@ def medication(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_spread(spark, sf_dir, "events", ["user_id", "ts", "event_type", "value"])
+    ev = read_table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "value")
     return (ev.select(F.col("user_id").cast("string").alias("patient_id"),
                       F.col("ts").alias("event_ts"),
                       lab_test_name(F.col("event_type")).alias("test_name"),
@@ -105,7 +105,7 @@ def clinical_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     shuffle of the biggest table compared with unioning the two frames.
     Columns: patient_id, domain ('dx' | 'med' | 'lab'), event_ts, name, value.
     """
-    li = read_spread(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_shipdate"])
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     joined = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     null_value = F.lit(None).cast("double")

@@ -15,11 +15,3 @@ def table_path(sf_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Plain Parquet scan: Catalyst prunes columns and pushes filters into it."""
     return spark.read.parquet(table_path(sf_dir, name))
-
-
-def read_spread(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
-    """Scan of the named columns, spread over all task slots if the files give
-    fewer splits than that (see ``session.spread``)."""
-    from phenolens.session import spread
-    path = table_path(sf_dir, name)
-    return spread(spark.read.parquet(path).select(*columns), key=path)

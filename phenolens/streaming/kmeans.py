@@ -146,13 +146,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def run_stream(spark: SparkSession, source_path: str, schema: T.StructType, features_col: str,
-               start: KMeansState, decay: float = DECAY, work_path: str | None = None,
-               max_files_per_trigger: int = 1) -> KMeansState:
-    """Train on every file under ``source_path`` (one or more files per micro-batch).
+               start: KMeansState, decay: float = DECAY, work_path: str | None = None) -> KMeansState:
+    """Train on the files under ``source_path`` that the stream hasn't seen, as one micro-batch.
 
     ``work_path`` (default: a fresh folder under the shared checkpoint dir)
     holds the stream checkpoint and the versioned state table; pass the same
-    path again to resume after a failure.
+    path again for the next files, or to resume after a failure.
     """
     work = work_path or scratch_path(spark, "streaming-kmeans")
     state_path = f"{work}/state"
@@ -169,21 +168,27 @@ def run_stream(spark: SparkSession, source_path: str, schema: T.StructType, feat
         _write_state(df.sparkSession, new, state_path)
         holder["state"] = new
 
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-              .parquet(source_path))
-    q = (stream.writeStream.foreachBatch(on_batch)
+    q = (spark.readStream.schema(schema).parquet(source_path).writeStream.foreachBatch(on_batch)
          .option("checkpointLocation", f"{work}/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return holder["state"]
 
 
-def stage_batches(df: DataFrame, n_batches: int, path: str | None = None, key: str | None = None) -> str:
-    """Write a DataFrame as ``n_batches`` Parquet files (one per micro-batch) for replay as a stream."""
-    out = path or scratch_path(df.sparkSession, "stream-source")
-    parts = df.repartition(n_batches, key) if key else df.repartition(n_batches)
-    parts.write.mode("overwrite").parquet(out)
-    return out
+def replay(df: DataFrame, batch: Column, n_batches: int, schema: T.StructType, features_col: str,
+           start: KMeansState, decay: float = DECAY) -> KMeansState:
+    """Replay a table as a stream of ``n_batches`` micro-batches, numbered by the column ``batch``.
+
+    The rows of a batch, in as many files as their size asks for, are given to the
+    stream only after it has taken the batch before: the order, on which the model
+    depends, follows from the keys and not from file times."""
+    spark = df.sparkSession
+    source, work = scratch_path(spark, "stream-source"), scratch_path(spark, "streaming-kmeans")
+    state = start
+    for number in range(n_batches):
+        df.where(batch == number).select(*schema.names).write.mode("append").parquet(source)
+        state = run_stream(spark, source, schema, features_col, start, decay, work)
+    return state
 
 
 def assign(df: DataFrame, features_col: str, state: KMeansState) -> DataFrame:
@@ -192,4 +197,4 @@ def assign(df: DataFrame, features_col: str, state: KMeansState) -> DataFrame:
 
 
 __all__ = ["KMeansState", "random_centers", "center_update", "apply_update", "run_stream",
-           "stage_batches", "assign", "read_latest_state", "batch_sums"]
+           "replay", "assign", "read_latest_state", "batch_sums"]

@@ -17,9 +17,8 @@ def test_zero_weight_decay_one_equals_batch_means(spark):
     # fixed assignment: two well separated groups; start weight 0 -> centre = mean of all rows seen
     rows = [[0, 0], [0, 2], [10, 10], [12, 10], [0, 1], [11, 13]]
     df = points(spark, rows)
-    src = sk.stage_batches(df, 3, key="id")
     start = sk.KMeansState(centers=[[0.0, 0.0], [10.0, 10.0]], weights=[0.0, 0.0])
-    state = sk.run_stream(spark, src, SCHEMA, "x", start, decay=1.0)
+    state = sk.replay(df, F.col("id") % 3, 3, SCHEMA, "x", start, decay=1.0)
     a = np.array([r for r in rows if r[0] < 5]).mean(axis=0)
     b = np.array([r for r in rows if r[0] >= 5]).mean(axis=0)
     assert np.allclose(state.centers[0], a) and np.allclose(state.centers[1], b)
@@ -28,7 +27,8 @@ def test_zero_weight_decay_one_equals_batch_means(spark):
 
 def test_replay_is_idempotent(spark):
     df = points(spark, [[0, 0], [4, 4]])
-    src = sk.stage_batches(df, 1)
+    src = scratch_path(spark, "source")
+    df.write.parquet(src)
     work = scratch_path(spark, "replay")
     start = sk.KMeansState(centers=[[1.0, 1.0], [5.0, 5.0]], weights=[1.0, 1.0])
     s1 = sk.run_stream(spark, src, SCHEMA, "x", start, work_path=work)
@@ -38,6 +38,19 @@ def test_replay_is_idempotent(spark):
     assert stored.centers == s1.centers
 
 
+def test_same_model_every_time(spark):
+    rng = np.random.default_rng(4)
+    df = points(spark, rng.normal(size=(400, 3)).tolist())
+    start = sk.random_centers(spark, 3, 3, 1.0, 1)
+    seen = []
+    for parts, shuffles in ((1, "8"), (7, "32"), (3, "8")):
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+        seen.append(sk.replay(df.repartition(parts), (F.col("id") % 4).cast("int"), 4, SCHEMA, "x", start, 0.9))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    for s in seen[1:]:
+        assert np.allclose(s.centers, seen[0].centers, atol=1e-12) and s.weights == seen[0].weights
+
+
 def test_center_update_frame_matches_driver_update(spark):
     df = points(spark, [[0, 0], [0, 2], [9, 9], [-1, 5]])
     st = sk.KMeansState(centers=[[0.0, 1.0], [10.0, 10.0], [100.0, 100.0]], weights=[2.0, 1.0, 5.0])
@@ -58,4 +71,3 @@ def test_random_centers_deterministic(spark):
     assert all(-1 <= x <= 1 for c in a.centers for x in c)
     assign = sk.assign(points(spark, [[0] * 10]), "x", a).select("cluster").first()[0]
     assert assign in (0, 1, 2)
-    assert F is not None
