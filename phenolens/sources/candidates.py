@@ -49,6 +49,7 @@ def write_candidate_lists(lists: dict[str, DataFrame], base_path: str) -> dict[s
     return paths
 
 
+# FIXED VALUE: which part of a path names its table.
 _TABLE_NAME = re.compile(r"(\w+)(\.csv)?$", re.ASCII)
 
 
@@ -58,6 +59,13 @@ def infer_table_name(path: str) -> str:
     return m.group(1) if m else path
 
 
+def view_name(path: str) -> str:
+    """The inferred name as one that a view can have: no other characters than letters,
+    digits and underscores, and no leading digit (``2010.csv`` -> ``_2010``)."""
+    name = re.sub(r"\W", "_", infer_table_name(path), flags=re.ASCII)
+    return name if re.match(r"[A-Za-z_]", name) else f"_{name}"
+
+
 def derive_candidates_from_tuples(tuples: DataFrame) -> dict[str, DataFrame]:
     """Same lists as ``derive_candidate_lists``, read off feature tuples
     ``(patient_id, domain, feature, value)``: every event name appears as a

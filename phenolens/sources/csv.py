@@ -10,9 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from phenolens.sources.candidates import infer_table_name
+from phenolens.sources.candidates import view_name
 
 # FIXED VALUE: date layout of the clinical extracts (ISO date-time with offset).
 DATE_FORMAT = "yyyy-MM-dd'T'HH:mm:ssX"
@@ -22,14 +21,13 @@ def load_csv_as_table(spark: SparkSession, path: str, table_name: str | None = N
                       columns: list[str] | None = None) -> DataFrame:
     """Read a header CSV with every column as string, register a temp view.
 
-    ``columns`` pins the schema explicitly; otherwise the header names are
-    used, still all-string (no inference pass over the data).
+    ``columns`` names the columns to keep, found by their names in the header;
+    otherwise all are used. All-string either way (no inference pass over the data).
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
     if columns is not None:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType(), True) for c in columns]))
-    df = reader.csv(path)
-    df.createOrReplaceTempView(table_name or infer_table_name(path))
+        df = df.select(*[F.col(f"`{c}`") for c in columns])
+    df.createOrReplaceTempView(table_name or view_name(path))
     return df
 
 
@@ -37,42 +35,77 @@ def parse_ts(col: str):
     return F.try_to_timestamp(F.col(col), F.lit(DATE_FORMAT))
 
 
+# FIXED VALUES: column names of the clinical extracts.
+MEDICATION_COLUMNS = ["Member_ID", "Order_Date", "Drug_Name"]
+LAB_COLUMNS = ["Member_ID", "Date_Resulted", "Result_Name", "Numeric_Result"]
+DX_COLUMNS = ["Encounter_ID", "code"]
+ENCOUNTER_COLUMNS = ["Encounter_ID", "Member_ID", "Encounter_DateTime"]
+
+
+def _typed_medication(t: DataFrame) -> DataFrame:
+    """Typed rows with ``reason``: why a row is rejected, or null."""
+    return t.select(F.col("Member_ID").alias("patient_id"), parse_ts("Order_Date").alias("event_ts"),
+                    F.col("Drug_Name").alias("medicine")).withColumn(
+        "reason", F.when(F.col("patient_id").isNull(), "patient").when(F.col("event_ts").isNull(), "date"))
+
+
+def _typed_lab(t: DataFrame) -> DataFrame:
+    number = F.expr("try_cast(Numeric_Result AS DOUBLE)")
+    return t.select(F.col("Member_ID").alias("patient_id"), parse_ts("Date_Resulted").alias("event_ts"),
+                    F.col("Result_Name").alias("test_name"), number.alias("value")).withColumn(
+        "reason", F.when(F.col("patient_id").isNull(), "patient").when(F.col("event_ts").isNull(), "date")
+        .when(F.col("test_name").isNull(), "name").when(F.col("value").isNull() | F.isnan("value"), "value"))
+
+
+def _typed_diagnostic(dx: DataFrame, enc: DataFrame) -> DataFrame:
+    return dx.join(enc, "Encounter_ID", "inner").select(
+        F.col("Member_ID").alias("patient_id"), parse_ts("Encounter_DateTime").alias("event_ts"), "code").withColumn(
+        "reason", F.when(F.col("patient_id").isNull(), "patient").when(F.col("event_ts").isNull(), "date")
+        .when(F.col("code").isNull(), "name"))
+
+
+def _accepted(typed: DataFrame) -> DataFrame:
+    return typed.where("reason IS NULL").drop("reason")
+
+
 def load_medication(spark: SparkSession, path: str, table_name: str = "medication_orders") -> DataFrame:
     """S3: (Member_ID, Order_Date, Drug_Name) -> (patient_id, event_ts, medicine).
 
-    Rows whose id or date is missing/unparseable are dropped.
+    Rows whose id or date is missing/unparseable are dropped; ``rejected_rows`` counts them.
     """
-    t = load_csv_as_table(spark, path, table_name)
-    return (t.select(F.col("Member_ID").alias("patient_id"), parse_ts("Order_Date").alias("event_ts"),
-                     F.col("Drug_Name").alias("medicine"))
-            .na.drop(subset=["patient_id", "event_ts"]))
+    return _accepted(_typed_medication(load_csv_as_table(spark, path, table_name, MEDICATION_COLUMNS)))
 
 
 def load_lab(spark: SparkSession, path: str, table_name: str = "lab_results") -> DataFrame:
     """(Member_ID, Date_Resulted, Result_Name, Numeric_Result) -> typed lab rows.
 
     Rows with a null in any read column, or a value that is not a number
-    (empty, ``NaN``, ``"1,234"``) are dropped.
+    (empty, ``NaN``, ``"1,234"``) are dropped; ``rejected_rows`` counts them.
     """
-    t = load_csv_as_table(spark, path, table_name)
-    typed = (t.select("Member_ID", "Date_Resulted", "Result_Name", "Numeric_Result")
-             .withColumn("num", F.expr("try_cast(Numeric_Result AS DOUBLE)"))
-             .na.drop())
-    return (typed.select(F.col("Member_ID").alias("patient_id"), parse_ts("Date_Resulted").alias("event_ts"),
-                         F.col("Result_Name").alias("test_name"), F.col("num").alias("value"))
-            .na.drop(subset=["event_ts"]))
+    return _accepted(_typed_lab(load_csv_as_table(spark, path, table_name, LAB_COLUMNS)))
 
 
 def load_diagnostic(spark: SparkSession, dx_path: str, encounter_path: str,
                     dx_table: str = "encounter_dx", encounter_table: str = "encounter") -> DataFrame:
     """encounter_dx JOIN encounter on Encounter_ID -> (patient_id, event_ts, code)."""
-    dx = load_csv_as_table(spark, dx_path, dx_table).select("Encounter_ID", "code")
-    enc = load_csv_as_table(spark, encounter_path, encounter_table).select(
-        "Encounter_ID", "Member_ID", "Encounter_DateTime")
-    joined = dx.join(enc, "Encounter_ID", "inner").select("Member_ID", "Encounter_DateTime", "code").na.drop()
-    return (joined.select(F.col("Member_ID").alias("patient_id"),
-                          parse_ts("Encounter_DateTime").alias("event_ts"), "code")
-            .na.drop(subset=["event_ts"]))
+    return _accepted(_typed_diagnostic(load_csv_as_table(spark, dx_path, dx_table, DX_COLUMNS),
+                                       load_csv_as_table(spark, encounter_path, encounter_table, ENCOUNTER_COLUMNS)))
+
+
+def rejected_rows(spark: SparkSession, data_dir: str) -> DataFrame:
+    """(source, reason, n_rows): the rows of a folder's extracts that the loaders drop, by the first reason."""
+    d = data_dir.rstrip("/")
+    typed = {"medication": _typed_medication(load_csv_as_table(spark, f"{d}/{MEDICATION_FILE}", "medication_orders",
+                                                               MEDICATION_COLUMNS)),
+             "lab": _typed_lab(load_csv_as_table(spark, f"{d}/{LAB_FILE}", "lab_results", LAB_COLUMNS)),
+             "diagnostic": _typed_diagnostic(
+                 load_csv_as_table(spark, f"{d}/{DX_FILE}", "encounter_dx", DX_COLUMNS),
+                 load_csv_as_table(spark, f"{d}/{ENCOUNTER_FILE}", "encounter", ENCOUNTER_COLUMNS))}
+    out = None
+    for source, frame in typed.items():
+        part = frame.where("reason IS NOT NULL").select(F.lit(source).alias("source"), "reason")
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy("source", "reason").agg(F.count("*").alias("n_rows"))
 
 
 # FIXED VALUES: file names of a clinical extract folder.
