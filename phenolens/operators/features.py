@@ -125,13 +125,15 @@ def filter_tuples(tuples: DataFrame, candidates: dict[str, Candidates], normaliz
     partitioning instead of unioning one filtered copy per domain.
     """
     key = _key(F.col("feature"), normalize)
+    listed = [d for d, c in candidates.items() if c is not None]
+    unlisted = tuples.where(~F.col("domain").isin(listed)) if listed else tuples   # kept whole, as by the aggregates
     frames = {d: c for d, c in candidates.items() if isinstance(c, DataFrame)}
     lists = {d: c for d, c in candidates.items() if c is not None and not isinstance(c, DataFrame)}
     keep = F.lit(False)
     for dom, names in lists.items():
         keep = keep | ((F.col("domain") == dom) & key.isin(list(dict.fromkeys(names))))
     if not frames:
-        return tuples.where(keep)
+        return tuples.where(keep | ~F.col("domain").isin(listed)) if listed else tuples
     table = reduce(lambda a, b: a.unionByName(b),
                    [c.select(F.lit(d).alias("_dom"), F.col(c.columns[0]).alias("_cand")) for d, c in frames.items()])
     keyed = tuples.withColumn("_key", key)
@@ -139,7 +141,7 @@ def filter_tuples(tuples: DataFrame, candidates: dict[str, Candidates], normaliz
     matched = join_small(keyed, table.distinct(), cond, "left_semi").drop("_key")
     if lists:
         matched = matched.unionByName(tuples.where(keep))
-    return matched
+    return matched.unionByName(unlisted)
 
 
 def feature_dictionary(tuples: DataFrame, keys: tuple[str, ...] = ("domain", "feature")) -> DataFrame:

@@ -27,7 +27,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phenolens.functions import rules
-from phenolens.operators.joins import intersect_keys, subtract_keys
 
 EVENT_LOG_COLUMNS = ("patient_id", "domain", "event_ts", "name", "value")
 
@@ -98,31 +97,29 @@ def label_cohort(medication: DataFrame, lab: DataFrame, diagnostic: DataFrame, s
     return label_events(event_log(medication, lab, diagnostic), strict)
 
 
-def label_cohort_by_sets(medication: DataFrame, lab: DataFrame, diagnostic: DataFrame) -> DataFrame:
-    """C1 written rule by rule as set operations.
-
-    Same result as ``label_cohort``; it needs about a dozen shuffles instead
-    of one, and exists to cross-check the single-aggregate rewrite and to
-    expose the set operators. Every intermediate is a distinct key set, so
-    no group is ever collected.
-    """
-    pid = "patient_id"
-    t2dx = t2dm_dx_patients(diagnostic)
-    med = F.col("medicine")
-    med1 = medication.where(rules.is_t1dm_med(med)).select(pid)
-    med2 = medication.where(rules.is_t2dm_med(med)).select(pid)
-    cond1 = subtract_keys(t2dx, med1, pid)
-    cond2 = subtract_keys(intersect_keys(t2dx, med1, pid), med2, pid)
-    cond3 = intersect_keys(t2dx, t2_med_before_t1_med(medication), pid)
-    cases = cond1.unionByName(cond2).unionByName(cond3).distinct()
-    controls = subtract_keys(subtract_keys(normal_glucose_patients(lab), dm_related_patients(diagnostic), pid),
-                             cases, pid)
-    everyone = (medication.select(pid).unionByName(lab.select(pid)).unionByName(diagnostic.select(pid))
-                .distinct())
-    others = subtract_keys(subtract_keys(everyone, cases, pid), controls, pid)
-    return (cases.select(pid, F.lit(rules.CASE).alias("label"))
-            .unionByName(controls.select(pid, F.lit(rules.CONTROL).alias("label")))
-            .unionByName(others.select(pid, F.lit(rules.OTHER).alias("label"))))
+def label_cohort_by_facts(events: DataFrame) -> DataFrame:
+    """C1 from a long table of facts: which rules hold for a patient, as a set of their names.
+
+    Same labels as ``label_events``. The facts are a handful of names per patient,
+    collected after they are made distinct, so a set is bounded by the rules."""
+    name, dom = F.col("name"), F.col("domain")
+    fact = (F.when((dom == "dx") & rules.is_t2dm_dx(name), "diagnosed")
+            .when((dom == "med") & rules.is_t1dm_med(name), "drug1"))
+    second = (F.when((dom == "dx") & rules.is_dm_related_dx(name), "related")
+              .when((dom == "lab") & rules.is_normal_glucose_lab(name, F.col("value")), "normal")
+              .when((dom == "med") & rules.is_t2dm_med(name), "drug2"))
+    early = (t2_med_before_t1_med(events.where(dom == "med").select("patient_id", "event_ts", name.alias("medicine")))
+             .select("patient_id", F.lit("early").alias("fact")))
+    seen = events.select("patient_id", F.explode(F.array(fact, second, F.lit("seen"))).alias("fact"))
+    facts = seen.unionByName(early).where("fact is not null").distinct().groupBy("patient_id").agg(
+        F.collect_set("fact").alias("facts"))
+
+    def holds(f: str) -> Column:
+        return F.array_contains("facts", f)
+
+    case = holds("diagnosed") & (~holds("drug1") | ~holds("drug2") | holds("early"))
+    return facts.select("patient_id", F.when(case, rules.CASE).when(
+        holds("normal") & ~holds("related"), rules.CONTROL).otherwise(rules.OTHER).alias("label"))
 
 
 def label_counts(labels: DataFrame) -> DataFrame:

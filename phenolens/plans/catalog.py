@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from phenolens.functions import rules
 from phenolens.operators import features as fe
+from phenolens.operators import joins as jo
 from phenolens.operators import metrics as me
 from phenolens.operators import phenotype as ph
 from phenolens.plans import oracle as o
 from phenolens.session import scratch_path
 from phenolens.sources import candidates as ca
+from phenolens.sources import csv as cs
 from phenolens.sources import starschema as ss
 from phenolens.sources.tables import read_table
 
@@ -54,8 +56,25 @@ def q_cohort_labels(spark, sf_dir):
 
 @register("cohort_labels_by_sets", o.labelled("SELECT patient_id, label FROM labels"))
 def q_cohort_labels_by_sets(spark, sf_dir):
-    return ph.label_cohort_by_sets(ss.medication(spark, sf_dir), ss.lab(spark, sf_dir),
-                                   ss.diagnostic(spark, sf_dir))
+    return ph.label_cohort_by_facts(ss.clinical_event_log(spark, sf_dir))
+
+
+@register("subtract_keys", "SELECT CAST(o_custkey AS VARCHAR) AS patient_id, COUNT(*) AS n_orders FROM orders "
+          "WHERE o_custkey NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL) GROUP BY o_custkey")
+def q_subtract_keys(spark, sf_dir):
+    """Orders of customers without any event: every copy of a key stays or goes."""
+    orders = read_table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("patient_id"))
+    users = read_table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("patient_id"))
+    return jo.subtract_keys(orders, users, "patient_id").groupBy("patient_id").agg(F.count("*").alias("n_orders"))
+
+
+@register("intersect_keys", "SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS patient_id FROM orders "
+          "WHERE o_custkey IN (SELECT user_id FROM events)")
+def q_intersect_keys(spark, sf_dir):
+    """Customers with orders and events, once each."""
+    orders = read_table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("patient_id"))
+    users = read_table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("patient_id"))
+    return jo.intersect_keys(orders, users, "patient_id")
 
 
 @register("cohort_labels_strict", o.labelled(
@@ -106,6 +125,64 @@ def q_load_diagnostic(spark, sf_dir):
     return ss.diagnostic(spark, sf_dir)
 
 
+# The adapter's rows as clinical extracts, with broken copies of some of them: read back by the CSV loaders.
+
+_SECOND = "date_trunc('second', {0})"
+_BROKEN = "patient_id LIKE '%7'"   # patients whose rows are written a second time, broken
+
+
+def write_extracts(spark: SparkSession, sf_dir: str) -> str:
+    """Write the four extracts to the shared scratch folder; returns its path.
+
+    The rows of patients whose id ends in 7 appear twice, the second time with a
+    date that is none, and in the labs with a value that is none."""
+    def stamp(c: str):
+        return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+    base = scratch_path(spark, "extracts")
+    med = ss.medication(spark, sf_dir).select(F.col("patient_id").alias("Member_ID"), stamp("event_ts").alias("Order_Date"),
+                                              F.col("medicine").alias("Drug_Name"))
+    lab = ss.lab(spark, sf_dir).select(F.col("patient_id").alias("Member_ID"), stamp("event_ts").alias("Date_Resulted"),
+                                       F.col("test_name").alias("Result_Name"),
+                                       F.col("value").cast("string").alias("Numeric_Result"))
+    broken = F.col("Member_ID").endswith("7")
+    med = med.unionByName(med.where(broken).withColumn("Order_Date", F.lit("2010-13-45")))
+    lab = lab.unionByName(lab.where(broken).withColumn("Numeric_Result", F.lit("1,234")))
+    enc = ss.encounters(spark, sf_dir).select(F.col("encounter_id").alias("Encounter_ID"), F.col("patient_id").alias("Member_ID"),
+                                              stamp("encounter_ts").alias("Encounter_DateTime"))
+    dx = ss.encounter_dx(spark, sf_dir).select(F.col("encounter_id").alias("Encounter_ID"), "code")
+    for frame, name in ((med, cs.MEDICATION_FILE), (lab, cs.LAB_FILE), (dx, cs.DX_FILE), (enc, cs.ENCOUNTER_FILE)):
+        frame.write.option("header", True).csv(f"{base}/{name}")
+    return base
+
+
+@register("csv_medication", o.base(f"SELECT patient_id, {_SECOND.format('event_ts')} AS event_ts, medicine FROM medication"))
+def q_csv_medication(spark, sf_dir):
+    t = cs.load_medication(spark, f"{write_extracts(spark, sf_dir)}/{cs.MEDICATION_FILE}")
+    return t.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
+
+
+@register("csv_lab", o.base(f"SELECT patient_id, {_SECOND.format('event_ts')} AS event_ts, test_name, "
+                            f"ROUND(value, {o.ROUND}) AS value FROM lab"))
+def q_csv_lab(spark, sf_dir):
+    t = cs.load_lab(spark, f"{write_extracts(spark, sf_dir)}/{cs.LAB_FILE}")
+    return t.select("patient_id", F.col("event_ts").cast("timestamp_ntz"), "test_name", _r("value"))
+
+
+@register("csv_diagnostic", o.base(f"SELECT patient_id, {_SECOND.format('event_ts')} AS event_ts, code FROM diagnostic"))
+def q_csv_diagnostic(spark, sf_dir):
+    base = write_extracts(spark, sf_dir)
+    t = cs.load_diagnostic(spark, f"{base}/{cs.DX_FILE}", f"{base}/{cs.ENCOUNTER_FILE}")
+    return t.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
+
+
+@register("csv_rejects", o.base(f"""
+SELECT 'medication' AS source, 'date' AS reason, COUNT(*) AS n_rows FROM medication WHERE {_BROKEN} HAVING COUNT(*) > 0
+UNION ALL SELECT 'lab', 'value', COUNT(*) FROM lab WHERE {_BROKEN} HAVING COUNT(*) > 0"""))
+def q_csv_rejects(spark, sf_dir):
+    return cs.rejected_rows(spark, write_extracts(spark, sf_dir))
+
+
 def _candidate_sql() -> str:
     t12 = rules.sql_list(rules.T1DM_DX + rules.T2DM_DX)
     dmrel = rules.sql_list(rules.DM_RELATED_DX)
@@ -325,3 +402,14 @@ FROM (SELECT cluster, MAX(n) AS best, SUM(n) AS size
       GROUP BY cluster)""")
 def q_purity(spark, sf_dir):
     return me.purity(embedding_argmax(spark, sf_dir)).select(_r("purity"), "n_rows")
+
+
+@register("feature_tuples_filtered", o.with_ctes(o.adapter_ctes(), _candidate_sql(), tuples_sql(), body=f"""
+SELECT patient_id, domain, feature, ROUND(value, {o.ROUND}) AS value FROM tuples
+WHERE domain = 'lab' OR lower(feature) IN (SELECT name FROM cand WHERE cand.domain = tuples.domain)"""))
+def q_feature_tuples_filtered(spark, sf_dir):
+    """Lists for diagnoses and drugs alone: labs, which have none, stay whole."""
+    tuples = feature_tuples(spark, sf_dir)
+    lists = ca.derive_candidates_from_tuples(tuples)
+    kept = fe.filter_tuples(tuples, {"dx": lists["dx"], "med": lists["med"]}, normalize="lower")
+    return kept.select("patient_id", "domain", "feature", _r("value"))

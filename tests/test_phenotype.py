@@ -112,11 +112,10 @@ def test_rule_parts(spark):
     assert [r[0] for r in ph.normal_glucose_patients(lab).collect()] == ["p"]
 
 
-def test_set_formulation_equals_aggregate(spark):
+def test_labels_from_facts_equal_those_from_flags(spark):
     for sf in ("0.001", "0.01"):
-        d = SF[sf]
-        args = (ss.medication(spark, d), ss.lab(spark, d), ss.diagnostic(spark, d))
-        assert labels_of(ph.label_cohort_by_sets(*args)) == labels_of(ph.label_cohort(*args))
+        events = ss.clinical_event_log(spark, SF[sf])
+        assert labels_of(ph.label_cohort_by_facts(events)) == labels_of(ph.label_events(events))
 
 
 def test_strict_excludes_mixed_type_patients(spark):
