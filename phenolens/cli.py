@@ -20,6 +20,7 @@ from phenolens.session import materialize
 from phenolens.sources import candidates as ca
 from phenolens.sources import csv as cs
 
+# FIXED VALUES: names in the printed report.
 ALGORITHM_NAMES = {"kmeans": "kMeans", "gmm": "GMM", "streaming_kmeans": "StreamingKMeans", "nmf": "NMF"}
 SET_NAMES = {"all": "All feature", "filtered": "Filtered feature"}
 

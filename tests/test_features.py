@@ -1,26 +1,27 @@
-"""Feature construction: the reference's 17 single-operator examples."""
+"""Feature construction: counts, means, candidate lists, dictionary and vectors."""
 import datetime as dt
+from collections import Counter, defaultdict
 
 import pytest
-from pyspark.ml.linalg import Vectors
 
 from phenolens.operators import features as fe
 
 NOW = dt.datetime(2020, 1, 1)
+#: One made-up ward: (patient, name, value); names repeat within and across patients.
+WARD = [("ann", "k10", 3.0), ("ann", "k10", 5.0), ("ann", "m54", 1.5), ("bob", "k10", 7.0), ("bob", "r05", 2.0),
+        ("bob", "r05", 4.0), ("bob", "r05", 9.0), ("cat", "z00", -1.0)]
 
 
-def dx(spark, codes):
-    return spark.createDataFrame([("patient1", NOW, c) for c in codes],
-                                 "patient_id string, event_ts timestamp, code string")
+def dx(spark, rows):
+    return spark.createDataFrame([(p, NOW, c) for p, c, _ in rows], "patient_id string, event_ts timestamp, code string")
 
 
-def med(spark, names):
-    return spark.createDataFrame([("patient1", NOW, c) for c in names],
-                                 "patient_id string, event_ts timestamp, medicine string")
+def med(spark, rows):
+    return spark.createDataFrame([(p, NOW, c) for p, c, _ in rows], "patient_id string, event_ts timestamp, medicine string")
 
 
 def lab(spark, rows):
-    return spark.createDataFrame([("patient1", NOW, n, v) for n, v in rows],
+    return spark.createDataFrame([(p, NOW, n, v) for p, n, v in rows],
                                  "patient_id string, event_ts timestamp, test_name string, value double")
 
 
@@ -28,64 +29,28 @@ def as_map(df):
     return {(r["patient_id"], r["feature"]): r["value"] for r in df.collect()}
 
 
-@pytest.mark.parametrize("codes,expected", [
-    (["code1"], {"code1": 1.0}),
-    (["code1", "code2"], {"code1": 1.0, "code2": 1.0}),
-    (["code1", "code1"], {"code1": 2.0}),
-    (["code1", "code1", "code2"], {"code1": 2.0, "code2": 1.0}),
-])
-def test_diagnostic_counts(spark, codes, expected):
-    got = as_map(fe.diagnostic_feature_counts(dx(spark, codes)))
-    assert got == {("patient1", k): v for k, v in expected.items()}
+def counted(rows):
+    return {k: float(n) for k, n in Counter((p, c) for p, c, _ in rows).items()}
 
 
-def test_diagnostic_counts_filtered(spark):
-    d = dx(spark, ["code1", "code1", "code2"])
-    assert as_map(fe.diagnostic_feature_counts(d, {"code2"})) == {("patient1", "code2"): 1.0}
-    assert as_map(fe.diagnostic_feature_counts(d, {"code1"})) == {("patient1", "code1"): 2.0}
-
-
-@pytest.mark.parametrize("names,expected", [
-    (["code1"], {"code1": 1.0}),
-    (["code1", "code2"], {"code1": 1.0, "code2": 1.0}),
-    (["code1", "code1"], {"code1": 2.0}),
-    (["code1", "code2", "code2"], {"code1": 1.0, "code2": 2.0}),
-])
-def test_medication_counts(spark, names, expected):
-    got = as_map(fe.medication_feature_counts(med(spark, names)))
-    assert got == {("patient1", k): v for k, v in expected.items()}
-
-
-def test_medication_counts_filtered(spark):
-    m = med(spark, ["code1", "code2", "code2"])
-    assert as_map(fe.medication_feature_counts(m, {"code2"})) == {("patient1", "code2"): 2.0}
-    assert as_map(fe.medication_feature_counts(m, {"code1"})) == {("patient1", "code1"): 1.0}
-
-
-@pytest.mark.parametrize("rows,expected", [
-    ([("code1", 42.0)], {"code1": 42.0}),
-    ([("code1", 42.0), ("code2", 24.0)], {"code1": 42.0, "code2": 24.0}),
-    ([("code1", 42.0), ("code1", 24.0)], {"code1": 33.0}),
-    ([("code1", 42.0), ("code1", 24.0), ("code2", 7475.0)], {"code1": 33.0, "code2": 7475.0}),
-])
-def test_lab_means(spark, rows, expected):
-    got = as_map(fe.lab_feature_means(lab(spark, rows)))
-    assert got == {("patient1", k): v for k, v in expected.items()}
-
-
-def test_lab_means_filtered(spark):
-    lb = lab(spark, [("code1", 42.0), ("code1", 24.0), ("code2", 7475.0)])
-    assert as_map(fe.lab_feature_means(lb, {"code2"})) == {("patient1", "code2"): 7475.0}
-    assert as_map(fe.lab_feature_means(lb, {"code1"})) == {("patient1", "code1"): 66.0 / 2}
+@pytest.mark.parametrize("names", [None, {"r05"}, {"k10", "z00"}, {"absent"}])
+def test_counts_and_means_of_listed_names(spark, names):
+    rows = [r for r in WARD if names is None or r[1] in names]
+    assert as_map(fe.diagnostic_feature_counts(dx(spark, WARD), names)) == counted(rows)
+    assert as_map(fe.medication_feature_counts(med(spark, WARD), names)) == counted(rows)
+    sums = defaultdict(list)
+    for p, n, v in rows:
+        sums[p, n].append(v)
+    assert as_map(fe.lab_feature_means(lab(spark, WARD), names)) == {k: sum(v) / len(v) for k, v in sums.items()}
 
 
 def test_candidate_dataframe_and_case_rule(spark):
     # candidate lists are lower-cased; exact match drops mixed-case names unless normalised
-    m = med(spark, ["Metformin", "metformin", "Aspirin"])
+    m = med(spark, [("ann", n, 0.0) for n in ("Metformin", "metformin", "Aspirin")])
     cands = spark.createDataFrame([("metformin",)], "name string")
-    assert as_map(fe.medication_feature_counts(m, cands)) == {("patient1", "metformin"): 1.0}
+    assert as_map(fe.medication_feature_counts(m, cands)) == {("ann", "metformin"): 1.0}
     got = as_map(fe.medication_feature_counts(m, cands, normalize="lower"))
-    assert got == {("patient1", "Metformin"): 1.0, ("patient1", "metformin"): 1.0}
+    assert got == {("ann", "Metformin"): 1.0, ("ann", "metformin"): 1.0}
 
 
 def tuples(spark, rows):
@@ -98,15 +63,10 @@ def vectors(spark, rows):
     return {r["patient_id"]: r["features"] for r in fe.sparse_feature_vectors(long, n).collect()}
 
 
-def test_construct_unique_ids(spark):
-    got = vectors(spark, [("patient1", "code2", 42.0), ("patient1", "code1", 24.0)])
-    assert got == {"patient1": Vectors.dense(24.0, 42.0)}
-
-
-def test_construct_sparse(spark):
-    got = vectors(spark, [("patient1", "code0", 42.0), ("patient1", "code2", 24.0),
-                          ("patient2", "code1", 12.0)])
-    assert got == {"patient1": Vectors.dense(42.0, 0.0, 24.0), "patient2": Vectors.dense(0.0, 12.0, 0.0)}
+def test_vectors_follow_the_alphabet(spark):
+    got = vectors(spark, [("ann", "pear", 8.0), ("ann", "fig", 2.5), ("bob", "nut", 4.0), ("bob", "pear", 1.0)])
+    assert {p: v.toArray().tolist() for p, v in got.items()} == {"ann": [2.5, 0.0, 8.0], "bob": [0.0, 4.0, 1.0]}
+    assert got["ann"].indices.tolist() == [0, 2]
 
 
 def test_dense_arrays_match_sparse(spark):
@@ -167,3 +127,36 @@ def test_filter_after_aggregation_equals_filter_before(spark):
     b = fe.filter_tuples(tuples, c2, normalize="lower")
     key = lambda df: sorted(tuple(r) for r in df.select("patient_id", "domain", "feature", "value").collect())
     assert key(a) == key(b)
+
+
+def test_domains_without_a_list_stay_whole(spark):
+    rows = [("p", "dx", "a", 1.0), ("p", "dx", "b", 1.0), ("p", "lab", "a", 2.0), ("q", "med", "c", 3.0)]
+    t = spark.createDataFrame(rows, "patient_id string, domain string, feature string, value double")
+    listed = spark.createDataFrame([("a",)], "name string")
+    for candidates in ({"dx": ["a"]}, {"dx": listed}, {"dx": ["a"], "lab": None}, {"dx": listed, "lab": ["a"]}):
+        kept = sorted(tuple(r) for r in fe.filter_tuples(t, candidates).collect())
+        assert kept == [rows[0], rows[2], rows[3]]
+    assert fe.filter_tuples(t, {}).count() == 4
+
+
+def test_no_feature_gives_empty_report_rows(spark):
+    from phenolens.plans import evaluation as ev
+    t = spark.createDataFrame([], "patient_id string, domain string, feature string, value double")
+    labels = spark.createDataFrame([("p", 1)], "patient_id string, label int")
+    rows = ev.evaluate(labels, t).collect()
+    assert sorted((r["algorithm"], r["purity"], r["n_rows"]) for r in rows) == sorted((a, None, 0) for a in ev.ALGORITHMS)
+
+
+def test_kmeans_is_the_same_however_rows_arrive(spark):
+    from conftest import SF
+    from phenolens.plans import evaluation as ev
+    from phenolens.sources import starschema as ss
+    tuples = fe.event_feature_tuples(ss.clinical_event_log(spark, SF["0.001"]))
+    seen = []
+    for parts, shuffles in ((2, "8"), (9, "32")):
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+        inputs = ev.prepare(tuples.repartition(parts))
+        seen.append({r["patient_id"]: r["cluster"] for r in ev.kmeans_clusters(inputs).collect()})
+        inputs.release()
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert seen[0] == seen[1] and len(set(seen[0].values())) == 3

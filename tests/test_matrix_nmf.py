@@ -1,4 +1,4 @@
-"""Matrix operators and NMF: the reference's four examples plus properties."""
+"""Matrix operators against numpy, and properties of the NMF."""
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -22,26 +22,21 @@ def dense(df, key, n_rows, n_cols):
     return out
 
 
-def test_entries_row_major(spark):
-    e = {(r["row_id"], r["col_id"]): r["value"] for r in long_df(spark, [[1, 2, 3], [4, 5, 6]]).collect()}
-    assert len(e) == 6
-    assert e[(0, 0)] == 1 and e[(1, 1)] == 5 and e[(0, 2)] == 3
+RNG = np.random.default_rng(17)
 
 
-def test_wtv(spark):
-    w = rows_df(spark, [[1, 4], [2, 5], [3, 6]])
-    v = long_df(spark, [[7, 8], [9, 10], [11, 12]])
-    got = dense(mx.transpose_times(v, w, 2), "col_id", 2, 2).T   # k x n
-    assert got.tolist() == [[58, 64], [139, 154]]
+def test_entries_row_major(spark):
+    m = RNG.normal(size=(4, 5))
+    e = {(r["row_id"], r["col_id"]): r["value"] for r in long_df(spark, m).collect()}
+    assert e == {(i, j): m[i, j] for i in range(4) for j in range(5)}
 
 
-def test_multiply(spark):
-    x = long_df(spark, [[1, 2], [3, 4], [5, 6]])
-    # d is 2 x 3 (column-major 7,8,9,10,11,12); stored by column: col j of X <-> row j of d
-    d = np.array([[7.0, 9.0, 11.0], [8.0, 10.0, 12.0]])
-    d_by_col = spark.createDataFrame([(j, d[j].tolist()) for j in range(2)], "col_id long, vec array<double>")
-    got = dense(mx.multiply_by_columns(x, d_by_col, 3), "row_id", 3, 3)
-    assert got.tolist() == [[23, 29, 35], [53, 67, 81], [83, 105, 127]]
+def test_products_equal_numpy(spark):
+    v, w, h = RNG.normal(size=(6, 4)), RNG.normal(size=(6, 3)), RNG.normal(size=(4, 3))
+    long = long_df(spark, v)
+    assert np.allclose(dense(mx.transpose_times(long, rows_df(spark, w), 3), "col_id", 4, 3), v.T @ w)
+    by_col = rows_df(spark, h, key="col_id")
+    assert np.allclose(dense(mx.multiply_by_columns(long, by_col, 3), "row_id", 6, 3), v @ h)
 
 
 def test_hadamard_and_divide(spark):
@@ -52,30 +47,32 @@ def test_hadamard_and_divide(spark):
     assert np.allclose(got, [[0.5, 1.0], [0.75, 0.5]])
 
 
-def _two_clusters(res):
-    w = dense(res.w, "row_id", 4, 2)
-    assert w.shape == (4, 2)
-    assert (w[0, 0] - w[0, 1]) * (w[1, 0] - w[1, 1]) > 0
-    assert (w[2, 0] - w[2, 1]) * (w[3, 0] - w[3, 1]) > 0
-    assert np.all(w >= 0)
+# two groups of rows by which columns they use: rows 0, 2, 4 the first two, rows 1, 3 the others
+GROUPED = [[5, 4, 0, 0.2], [0, 0.1, 3, 6], [4, 6, 0.3, 0], [0.2, 0, 5, 5], [6, 5, 0.1, 0.1]]
+
+
+def test_nmf_groups_rows(spark):
+    res = nmf.run(long_df(spark, GROUPED), 2, 60, n_cols=4)
+    cluster = {r["row_id"]: r["cluster"] for r in nmf.assign_clusters(res.w).collect()}
+    assert cluster[0] == cluster[2] == cluster[4] != cluster[1] == cluster[3]
+    assert np.all(dense(res.w, "row_id", 5, 2) >= 0)
+    assert all(b <= a * (1 + 1e-9) for a, b in zip(res.errors, res.errors[1:]))   # error never rises
 
 
-def test_nmf_two_clusters(spark):
-    v = long_df(spark, [[1, 0.1], [1, 0.4], [0.2, 1], [0.3, 1]])
-    res = nmf.run(v, 2, 50, n_cols=2)
-    _two_clusters(res)
-    errs = res.errors
-    assert all(b <= a * (1 + 1e-9) for a, b in zip(errs, errs[1:]))   # error never rises
+def test_nmf_stops_when_the_error_settles_and_not_before(spark):
+    v = long_df(spark, GROUPED)
+    res = nmf.run(v, 2, 100, tol=1e-2, n_cols=4)
+    changes = -np.diff(res.errors)
+    assert 3 < res.iterations < 100 and changes[-1] <= 1e-2 and (changes[:-1] > 1e-2).all()
+    assert nmf.run(v, 2, 5, tol=0.0, n_cols=4).iterations == 5
 
 
 def test_nmf_keyed_equals_colocated(spark):
-    v = long_df(spark, [[1, 0.1, 0], [1, 0.4, 0.2], [0.2, 1, 3], [0.3, 1, 0]])
-    a = nmf.run(v, 2, 8, tol=0.0, n_cols=3)
-    b = nmf.run_keyed(v, 2, 8, tol=0.0)
+    v = long_df(spark, GROUPED)
+    a = nmf.run(v, 2, 6, tol=0.0, n_cols=4)
+    b = nmf.run_keyed(v, 2, 6, tol=0.0)
     assert np.allclose(a.errors, b.errors, rtol=1e-9)
-    assert np.allclose(dense(a.w, "row_id", 4, 2), dense(b.w, "row_id", 4, 2), rtol=1e-9)
-    _two_clusters_keyed = nmf.run_keyed(long_df(spark, [[1, 0.1], [1, 0.4], [0.2, 1], [0.3, 1]]), 2, 50)
-    _two_clusters(_two_clusters_keyed)
+    assert np.allclose(dense(a.w, "row_id", 5, 2), dense(b.w, "row_id", 5, 2), rtol=1e-9)
 
 
 def test_frobenius_identity(spark):

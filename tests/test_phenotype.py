@@ -146,3 +146,13 @@ def test_hot_patient_is_combined_map_side(spark):
     assert got["hot"] == 1 and got["p1"] == 2 and got["p2"] == 3 and len(got) == 1201
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan
+
+
+def test_rule_lists_are_those_of_the_definition():
+    """The SQL oracles render the same lists, so their length and ends are pinned here."""
+    from phenolens.functions import rules
+    assert (len(set(rules.T1DM_DX)), len(set(rules.T2DM_DX)), len(set(rules.DM_RELATED_DX))) == (20, 18, 17)
+    assert not set(rules.T1DM_DX) & set(rules.T2DM_DX) and not set(rules.T1DM_MED) & set(rules.T2DM_MED)
+    assert all(c.startswith("250.") for c in rules.T1DM_DX + rules.T2DM_DX)
+    assert {round(t, 1) for t in rules.ABNORMAL_LAB_THRESHOLDS.values()} == {6.0, 110.0}
+    assert all(m == m.lower() for m in rules.T1DM_MED + rules.T2DM_MED)

@@ -25,6 +25,21 @@ def test_load_csv_as_table_registers_view(spark, tmp_path):
     assert spark.table("encounter_INPUT").count() == 1
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    p = write(tmp_path, "2010.csv", "b,a,c\n1,2,3\n")
+    assert [r.asDict() for r in cs.load_csv_as_table(spark, p, columns=["a", "b"]).collect()] == [{"a": "2", "b": "1"}]
+    assert spark.table("_2010").columns == ["a", "b"]
+
+
+def test_rejected_rows_are_counted_by_reason(spark, tmp_path):
+    write(tmp_path, cs.MEDICATION_FILE, "Member_ID,Order_Date,Drug_Name\nm,2010-01-01T10:00:00Z,x\n,bad,y\nm,2010-01-01,z\n")
+    write(tmp_path, cs.LAB_FILE, "Member_ID,Date_Resulted,Result_Name,Numeric_Result\nm,2010-01-01T10:00:00Z,n,NaN\n")
+    write(tmp_path, cs.DX_FILE, "Encounter_ID,code\ne,\n")
+    write(tmp_path, cs.ENCOUNTER_FILE, "Encounter_ID,Member_ID,Encounter_DateTime\ne,m,2010-01-01T10:00:00Z\n")
+    got = {(r["source"], r["reason"]): r["n_rows"] for r in cs.rejected_rows(spark, str(tmp_path)).collect()}
+    assert got == {("medication", "patient"): 1, ("medication", "date"): 1, ("lab", "value"): 1, ("diagnostic", "name"): 1}
+
+
 def test_lab_loader_drops_bad_rows(spark, tmp_path):
     p = write(tmp_path, "lab_results_INPUT.csv",
               "Member_ID,Date_Resulted,Result_Name,Numeric_Result\n"
