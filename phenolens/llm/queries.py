@@ -183,7 +183,22 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(documents(spark, sf_dir))
 
 
-@register("op6_suffix_array_dedup")
+@register("op6_suffix_array_dedup", """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT *, unnest(range(0, len(h) // 2 - 49)) AS i FROM d)),
+m AS (SELECT s, min(doc_id) AS low FROM w GROUP BY s),
+x AS (SELECT doc_id, i FROM w JOIN m ON w.s = m.s AND doc_id > low),
+g AS (SELECT doc_id, i, i > lag(i, 1, -1000) OVER (PARTITION BY doc_id ORDER BY i) + 50 AS new FROM x),
+n AS (SELECT doc_id, i, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g),
+r AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS z FROM n GROUP BY doc_id, run),
+p AS (SELECT doc_id, a, z, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM r),
+k AS (SELECT p.doc_id, sum(z - a) AS n_removed, count(*) AS n_spans, max(z) AS last,
+             string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+      FROM p JOIN d ON p.doc_id = d.doc_id GROUP BY p.doc_id)
+SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN last IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id""")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from phenolens.llm.suffix_dedup import remove_repeats
     return remove_repeats(documents(spark, sf_dir)).select(
