@@ -7,8 +7,8 @@ patient. Vectors are only assembled at the ML boundary.
 Scale notes
 - A1–A6 are ``groupBy(patient, name)`` with count/avg: partial aggregation
   map-side, so a hot patient or hot code is combined before the shuffle.
-- Candidate lists (F8) are joined as a ``left_semi`` whose small side is
-  broadcast only after its row count is checked.
+- Candidate lists (F8) are joined as a plain ``left_semi``: AQE broadcasts the
+  list if its measured size allows.
 - Per-patient vectors are bounded by the dictionary size (one entry per
   (patient, feature) after aggregation), never by the raw event count.
 """
@@ -44,7 +44,7 @@ def filter_candidates(df: DataFrame, name_col: str, candidates: Candidates,
     Exact match by default (candidate lists are lower-cased on load, event
     names are not, so mixed-case names only match with ``normalize='lower'``).
     ``candidates`` is either a short Python collection (``isin`` -> InSet) or
-    a one-column DataFrame ``name`` (broadcast ``left_semi`` after a size check).
+    a one-column DataFrame ``name`` (``left_semi``).
     """
     if candidates is None:
         return df
@@ -52,7 +52,8 @@ def filter_candidates(df: DataFrame, name_col: str, candidates: Candidates,
     if isinstance(candidates, DataFrame):
         cand = candidates.select(F.col(candidates.columns[0]).alias("_cand")).distinct()
         keyed = df.withColumn("_key", key)
-        return join_small(keyed, cand, keyed["_key"] == cand["_cand"], "left_semi").drop("_key")
+        # no hint and no count, which would derive the list twice: AQE broadcasts it by its measured size
+        return keyed.join(cand, keyed["_key"] == cand["_cand"], "left_semi").drop("_key")
     return df.where(key.isin(list(dict.fromkeys(candidates))))
 
 
@@ -138,7 +139,7 @@ def filter_tuples(tuples: DataFrame, candidates: dict[str, Candidates], normaliz
                    [c.select(F.lit(d).alias("_dom"), F.col(c.columns[0]).alias("_cand")) for d, c in frames.items()])
     keyed = tuples.withColumn("_key", key)
     cond = (keyed["domain"] == table["_dom"]) & (keyed["_key"] == table["_cand"])
-    matched = join_small(keyed, table.distinct(), cond, "left_semi").drop("_key")
+    matched = keyed.join(table.distinct(), cond, "left_semi").drop("_key")
     if lists:
         matched = matched.unionByName(tuples.where(keep))
     return matched.unionByName(unlisted)
@@ -204,17 +205,23 @@ def dense_feature_vectors(long: DataFrame, n_features: int, out_col: str = "feat
     return arr.select("patient_id", array_to_vector("_arr").alias(out_col))
 
 
-@F.udf(VectorUDT())
-def _sparse_vector(size, entries):
-    # per patient, not per event: called once with that patient's (id, value) list
-    return SparseVector(size, [(int(e[0]), float(e[1])) for e in entries])
+@F.udf(VectorUDT(), useArrow=True)
+def _sparse_vector(size, ids, values):
+    # per patient, in Arrow batches: called with that patient's sorted ids and values
+    return SparseVector(int(size), [int(i) for i in ids], [float(v) for v in values])
 
 
-def sparse_feature_vectors(long: DataFrame, n_features: int, out_col: str = "features") -> DataFrame:
-    """A9 (sparse): ``SparseVector`` per patient (the one Python UDF, ML boundary only)."""
+def sparse_feature_arrays(long: DataFrame) -> DataFrame:
+    """A9 (sparse): each patient's feature ids in order and their values."""
     entries = F.sort_array(F.collect_list(F.struct("feature_id", "value")))
-    agg = long.groupBy("patient_id").agg(entries.alias("_e"))
-    return agg.select("patient_id", _sparse_vector(F.lit(n_features), F.col("_e")).alias(out_col))
+    return long.groupBy("patient_id").agg(entries.alias("_e")).select(
+        "patient_id", F.col("_e.feature_id").alias("ids"), F.col("_e.value").alias("vals"))
+
+
+def sparse_feature_vectors(long: DataFrame, n_features: int, out_col: str = "features") -> DataFrame:
+    """``sparse_feature_arrays`` as one ``SparseVector`` per patient, for the ML boundary."""
+    return sparse_feature_arrays(long).select(
+        "patient_id", _sparse_vector(F.lit(n_features), F.col("ids"), F.col("vals")).alias(out_col))
 
 
 def abs_features(long: DataFrame) -> DataFrame:

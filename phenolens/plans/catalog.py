@@ -413,3 +413,12 @@ def q_feature_tuples_filtered(spark, sf_dir):
     lists = ca.derive_candidates_from_tuples(tuples)
     kept = fe.filter_tuples(tuples, {"dx": lists["dx"], "med": lists["med"]}, normalize="lower")
     return kept.select("patient_id", "domain", "feature", _r("value"))
+
+
+@register("feature_vectors_sparse", o.with_ctes(o.adapter_ctes(), tuples_sql(), body=f"""
+SELECT patient_id, list(feature_id ORDER BY feature_id) AS ids,
+       list(ROUND(value, {o.ROUND}) ORDER BY feature_id) AS vals FROM fm GROUP BY patient_id"""))
+def q_feature_vectors_sparse(spark, sf_dir):
+    """The vectors that scaling and the fits read, before they become ML vectors."""
+    long, _, _ = fe.feature_matrix(feature_tuples(spark, sf_dir))
+    return fe.sparse_feature_arrays(long).withColumn("vals", F.transform("vals", lambda v: F.round(v, o.ROUND)))
