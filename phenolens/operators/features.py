@@ -153,7 +153,7 @@ def feature_dictionary(tuples: DataFrame, keys: tuple[str, ...] = ("domain", "fe
 
 
 def indexed_features(tuples: DataFrame, dictionary: DataFrame,
-                     keys: tuple[str, ...] = ("domain", "feature"), known_rows: int | None = None,
+                     keys: tuple[str, ...] = ("domain", "feature"),
                      sum_duplicates: bool | None = None) -> DataFrame:
     """(patient_id, feature_id, value).
 
@@ -163,7 +163,7 @@ def indexed_features(tuples: DataFrame, dictionary: DataFrame,
     feature aggregations produce, map one-to-one and no aggregation runs.
     """
     keys = [k for k in keys if k in tuples.columns and k in dictionary.columns]
-    joined = join_small(tuples, dictionary.select(*keys, "feature_id"), keys, "inner", known_rows=known_rows)
+    joined = join_small(tuples, dictionary.select(*keys, "feature_id"), keys, "inner")
     if sum_duplicates is None:
         sum_duplicates = "domain" in tuples.columns and "domain" not in keys
     if sum_duplicates:
@@ -175,13 +175,13 @@ def feature_matrix(tuples: DataFrame, keys: tuple[str, ...] = ("domain", "featur
     """C2 core: returns (long (patient_id, feature_id, value), dictionary, n_features).
 
     The tuples are read twice (dictionary, then the id join), so they are
-    persisted once; the dictionary is persisted and counted (the count is the
-    proven bound used for broadcasting it).
+    persisted once; so is the dictionary, which is counted and measured before it
+    is broadcast.
     """
     tuples = materialize(tuples)
     dictionary = materialize(feature_dictionary(tuples, keys))
     n_features = dictionary.count()
-    long = indexed_features(tuples, dictionary, keys, known_rows=n_features)
+    long = indexed_features(tuples, dictionary, keys)
     return long, dictionary, n_features
 
 

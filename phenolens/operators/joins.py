@@ -5,29 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only if it has at most this many rows (checked with a
-# count, i.e. a proven bound); beyond it the join falls back to a shuffle join.
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+# A side is broadcast only if its rows take at most this many bytes (measured, i.e. a
+# proven bound); beyond it the join falls back to a shuffle join.
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                      known_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Return (``small`` with a broadcast hint if its row count is within the bound, flag)."""
-    rows = known_rows if known_rows is not None else small.count()
-    if rows <= max_rows:
-        return F.broadcast(small), True
-    return small, False
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of the rows of ``df``: 16 a row, 8 a column, and the lengths of strings and arrays."""
+    size = F.lit(16 + 8 * len(df.columns)).cast("long")
+    for name, kind in df.dtypes:
+        if kind == "string":
+            size = size + F.coalesce(F.octet_length(name), F.lit(0))
+        elif kind.startswith("array"):
+            size = size + F.lit(8) * F.coalesce(F.size(name), F.lit(0))
+    return df.agg(F.sum(size)).first()[0] or 0
 
 
 def join_small(big: DataFrame, small: DataFrame, on: str | list[str] | Column, how: str = "inner",
-               max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
-    """Join ``big`` with a side that is *usually* small.
+               max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Join ``big`` with a side that is *usually* small, and cheap to read twice.
 
-    Broadcast when the counted size is within ``max_rows`` (no shuffle of
+    Broadcast when its measured size is within ``max_bytes`` (no shuffle of
     ``big``); otherwise leave the choice to Catalyst/AQE (sort-merge or
     shuffled hash join, AQE skew splitting).
     """
-    side, _ = bounded_broadcast(small, max_rows, known_rows)
+    side = F.broadcast(small) if measured_bytes(small) <= max_bytes else small
     return big.join(side, on, how)
 
 

@@ -39,16 +39,14 @@ def _pack(k: int, name: str = "vec") -> Column:
     return F.array(*[F.coalesce(F.col(f"_s{j}"), F.lit(0.0)) for j in range(k)]).alias(name)
 
 
-def multiply_by_columns(long: DataFrame, col_factor: DataFrame, k: int, out: str = "vec",
-                        broadcast_max_rows: int | None = None) -> DataFrame:
+def multiply_by_columns(long: DataFrame, col_factor: DataFrame, k: int, out: str = "vec") -> DataFrame:
     """X (long) times D (k x n given by column) transposed: (X Dᵀ) rows -> (row_id, vec).
 
     ``col_factor`` has one row per column of X (the feature dictionary size);
-    it is broadcast after a row-count check. The aggregation by ``row_id``
+    it is broadcast after a size check. The aggregation by ``row_id``
     is partial map-side.
     """
-    kw = {} if broadcast_max_rows is None else {"max_rows": broadcast_max_rows}
-    joined = join_small(long, col_factor.select("col_id", F.col("vec").alias("_d")), "col_id", **kw)
+    joined = join_small(long, col_factor.select("col_id", F.col("vec").alias("_d")), "col_id")
     return joined.groupBy("row_id").agg(*_sum_products(F.col("value"), F.col("_d"), k)) \
         .select("row_id", _pack(k, out))
 

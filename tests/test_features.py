@@ -101,7 +101,7 @@ def test_join_small_fallback_equals_broadcast(spark):
     big = spark.range(100).selectExpr("id % 10 AS k", "id")
     small = spark.range(10).selectExpr("id AS k", "id * 2 AS v")
     a = sorted(tuple(r) for r in join_small(big, small, "k").collect())
-    b = sorted(tuple(r) for r in join_small(big, small, "k", max_rows=0).collect())
+    b = sorted(tuple(r) for r in join_small(big, small, "k", max_bytes=0).collect())
     assert a == b and len(a) == 100
 
 
