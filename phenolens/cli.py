@@ -13,8 +13,8 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from phenolens.operators import features as fe
 from phenolens.operators import phenotype as ph
+from phenolens.operators.summary import event_summary
 from phenolens.plans import evaluation as ev
 from phenolens.session import materialize
 from phenolens.sources import candidates as ca
@@ -26,14 +26,14 @@ SET_NAMES = {"all": "All feature", "filtered": "Filtered feature"}
 
 
 def report(spark: SparkSession, data_dir: str):
-    # parse the CSVs once: every later job reads the cleaned, typed tables
-    medication, lab, diagnostic = (materialize(t) for t in cs.load_clinical_folder(spark, data_dir))
+    # parse the CSVs once: labels and features both come from the summary
+    medication, lab, diagnostic = cs.load_clinical_folder(spark, data_dir)
     d = data_dir.rstrip("/")
     candidates = {dom: ca.load_candidate_list(spark, f"{d}/{name}") for dom, name in cs.CANDIDATE_FILES.items()}
-    labels = ph.label_cohort(medication, lab, diagnostic)
-    all_tuples = materialize(fe.feature_tuples(diagnostic, lab, medication))
-    filtered = fe.filter_tuples(all_tuples, candidates, normalize="lower")
-    return ev.report(labels, all_tuples, filtered)
+    summary = materialize(event_summary(ph.event_log(medication, lab, diagnostic)))
+    out = ev.report_from_summary(summary, candidates)
+    summary.unpersist()
+    return out
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from phenolens.operators.indexing import dense_index
 from phenolens.operators.joins import join_small
+from phenolens.operators.summary import as_tuples, event_summary
 from phenolens.session import materialize
 
 Candidates = DataFrame | list[str] | set[str] | tuple[str, ...] | None
@@ -109,11 +110,7 @@ def event_feature_tuples(events: DataFrame, candidates: dict[str, Candidates] |
             part = ev.where(F.col("domain") == dom)
             kept.append(filter_candidates(part, "name", candidates.get(dom), normalize))
         ev = reduce(lambda a, b: a.unionByName(b), kept)
-    agg = ev.groupBy("patient_id", "domain", F.col("name").alias("feature")).agg(
-        F.count(F.lit(1)).alias("_n"), F.avg("value").alias("_mean"))
-    return agg.select("patient_id", "domain", "feature",
-                      F.when(F.col("domain") == "lab", F.col("_mean"))
-                      .otherwise(F.col("_n").cast("double")).alias("value"))
+    return as_tuples(event_summary(ev))
 
 
 def filter_tuples(tuples: DataFrame, candidates: dict[str, Candidates], normalize: str | None = None) -> DataFrame:
@@ -175,10 +172,10 @@ def feature_matrix(tuples: DataFrame, keys: tuple[str, ...] = ("domain", "featur
     """C2 core: returns (long (patient_id, feature_id, value), dictionary, n_features).
 
     The tuples are read twice (dictionary, then the id join), so they are
-    persisted once; so is the dictionary, which is counted and measured before it
+    persisted unless the caller has done so; so is the dictionary, which is counted and measured before it
     is broadcast.
     """
-    tuples = materialize(tuples)
+    tuples = tuples if tuples.is_cached else materialize(tuples)
     dictionary = materialize(feature_dictionary(tuples, keys))
     n_features = dictionary.count()
     long = indexed_features(tuples, dictionary, keys)
@@ -189,14 +186,20 @@ def dense_feature_arrays(long: DataFrame, n_features: int, value_col: str = "val
                          out_col: str = "features") -> DataFrame:
     """A9 (dense): one ``array<double>`` of length ``n_features`` per patient.
 
-    Built with JVM-side higher-order functions; the per-patient entry list is
-    bounded by the dictionary size.
+    A single pass over the patient's sorted entries, JVM-side: each entry puts the
+    zeros since the one before it and its value; zeros fill the rest.
     """
-    m = F.map_from_entries(F.collect_list(F.struct("feature_id", value_col)))
-    agg = long.groupBy("patient_id").agg(m.alias("_m"))
-    ids = F.sequence(F.lit(0).cast("long"), F.lit(n_features - 1).cast("long"))
-    dense = F.transform(ids, lambda i: F.coalesce(F.try_element_at(F.col("_m"), i), F.lit(0.0)))
-    return agg.select("patient_id", dense.alias(out_col))
+    e = F.sort_array(F.collect_list(F.struct("feature_id", F.col(value_col).alias("value"))))
+    agg = long.groupBy("patient_id").agg(e.alias("_e"))
+    ids = F.concat(F.array(F.lit(-1).cast("long")), F.col("_e.feature_id"))
+
+    def zeros(count: Column) -> Column:
+        return F.array_repeat(F.lit(0.0), count.cast("int"))
+
+    filled = F.flatten(F.transform("_e", lambda x, i: F.concat(
+        zeros(x["feature_id"] - F.col("_ids")[i] - 1), F.array(x["value"]))))
+    tail = zeros(F.lit(n_features - 1) - F.element_at("_ids", -1))
+    return agg.withColumn("_ids", ids).select("patient_id", F.concat(filled, tail).alias(out_col))
 
 
 def dense_feature_vectors(long: DataFrame, n_features: int, out_col: str = "features") -> DataFrame:

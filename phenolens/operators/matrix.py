@@ -11,6 +11,7 @@ reduced to the driver as k*k numbers and applied as literal expressions.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -110,3 +111,12 @@ def frobenius_error(sq_norm_v: float, wtv: DataFrame, h: DataFrame, wtw: list[li
     k = len(wtw)
     trace = sum(wtw[a][b] * hht[a][b] for a in range(k) for b in range(k))
     return sq_norm_v - 2.0 * float(cross) + trace
+
+
+def sum_partials(parts: DataFrame, size: int) -> np.ndarray:
+    """Sum of the partitions' partial arrays ``(idx, val)`` by index, as one model-sized array."""
+    total = (parts.select(F.explode(F.arrays_zip("idx", "val")).alias("e"))
+             .groupBy(F.col("e.idx").alias("i")).agg(F.sum("e.val").alias("s")).toPandas())   # in Arrow batches
+    out = np.zeros(size)
+    out[total["i"].to_numpy(np.int64)] = total["s"].to_numpy()
+    return out

@@ -18,7 +18,7 @@ from phenolens.operators import joins as jo
 from phenolens.operators import metrics as me
 from phenolens.operators import phenotype as ph
 from phenolens.plans import oracle as o
-from phenolens.session import scratch_path
+from phenolens.session import materialize, scratch_path
 from phenolens.sources import candidates as ca
 from phenolens.sources import csv as cs
 from phenolens.sources import starschema as ss
@@ -208,9 +208,12 @@ def candidate_lists(spark, sf_dir) -> dict[str, DataFrame]:
 @register("load_candidates", o.with_ctes(o.adapter_ctes(), _candidate_sql(),
                                          body="SELECT domain, name FROM cand"))
 def q_load_candidates(spark, sf_dir):
-    # derive the lists from the tables, write them as one-name-per-line text
-    # files in the shared scratch folder, and read them back with the S6 loader
-    paths = ca.write_candidate_lists(candidate_lists(spark, sf_dir), scratch_path(spark, "candidates"))
+    # derive the lists from the events' names (one join, read once), write them as one-name-per-line
+    # text files in the shared scratch folder, and read them back with the S6 loader
+    names = materialize(ss.clinical_event_log(spark, sf_dir)
+                        .select("domain", F.col("name").alias("feature")).distinct())
+    paths = ca.write_candidate_lists(ca.derive_candidates_from_tuples(names), scratch_path(spark, "candidates"))
+    names.unpersist()
     frames = [ca.load_candidate_list(spark, p).select(F.lit(dom).alias("domain"), "name")
               for dom, p in paths.items()]
     out = frames[0]

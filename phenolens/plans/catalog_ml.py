@@ -7,15 +7,20 @@ it, and a rewritten table is read anew. ``forget`` releases them.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from phenolens.operators import features as fe
 from phenolens.operators import matrix as mx
 from phenolens.operators import nmf
+from phenolens.operators import reduce as rd
+from phenolens.operators.summary import as_tuples, event_summary
 from phenolens.plans import evaluation as ev
 from phenolens.plans import oracle as o
 from phenolens.plans.catalog import _candidate_sql, _r, feature_tuples, labels, register, tuples_sql
+from phenolens.session import materialize
 from phenolens.sources import candidates as ca
 from phenolens.sources import starschema as ss
 from phenolens.sources.tables import read_table
@@ -62,7 +67,7 @@ def _long(df: DataFrame, key: str, vec: str = "vec") -> DataFrame:
 
 # ----------------------------------------------------------------- reduce + cluster
 
-@register("scaled_features", o.with_ctes(o.adapter_ctes(), tuples_sql(), """
+SCALED_CTES = """
 npat AS (SELECT COUNT(DISTINCT patient_id) AS n FROM fm),
 stats AS (
   SELECT feature_id, SUM(value) / (SELECT n FROM npat) AS mean,
@@ -70,15 +75,19 @@ stats AS (
                        / ((SELECT n FROM npat) - 1), 0)) AS std
   FROM fm GROUP BY feature_id),
 grid AS (SELECT patient_id, unnest(range((SELECT COUNT(*) FROM dict))) AS feature_id
-         FROM (SELECT DISTINCT patient_id FROM fm))""", body=f"""
-SELECT g.patient_id, CAST(g.feature_id AS BIGINT) AS feature_id,
-       ROUND(CASE WHEN s.std > 0 THEN (COALESCE(fm.value, 0) - s.mean) / s.std ELSE 0 END, {o.ROUND}) AS value
-FROM grid g JOIN stats s ON s.feature_id = g.feature_id
-LEFT JOIN fm ON fm.patient_id = g.patient_id AND fm.feature_id = g.feature_id"""))
+         FROM (SELECT DISTINCT patient_id FROM fm)),
+z AS (
+  SELECT g.patient_id, CAST(g.feature_id AS BIGINT) AS feature_id,
+         CASE WHEN s.std > 0 THEN (COALESCE(fm.value, 0) - s.mean) / s.std ELSE 0 END AS value
+  FROM grid g JOIN stats s ON s.feature_id = g.feature_id
+  LEFT JOIN fm ON fm.patient_id = g.patient_id AND fm.feature_id = g.feature_id)"""
+
+
+@register("scaled_features", o.with_ctes(
+    o.adapter_ctes(), tuples_sql(), SCALED_CTES,
+    body=f"SELECT patient_id, feature_id, ROUND(value, {o.ROUND}) AS value FROM z"))
 def q_scaled_features(spark, sf_dir):
     # M1 itself (centred, dense): the clustering path keeps vectors sparse instead
-    from phenolens.operators import features as fe
-    from phenolens.operators import reduce as rd
     long, _, n = fe.feature_matrix(feature_tuples(spark, sf_dir))
     scaled, _ = rd.standardize(fe.dense_feature_vectors(long, n))
     return (scaled.select("patient_id", F.posexplode(vector_to_array("scaled")).alias("feature_id", "value"))
@@ -253,6 +262,23 @@ def q_nmf_two_rounds(spark, sf_dir):
     return _long(nmf_rounds(spark, sf_dir, 2).w, "row_id")
 
 
+@register("covariance_product", o.with_ctes(o.adapter_ctes(), tuples_sql(), SCALED_CTES, nmf_ctes(), f"""
+zq AS (SELECT z.patient_id, h0.j, SUM(z.value * h0.h) AS s FROM z JOIN h0 ON h0.col_id = z.feature_id
+       GROUP BY z.patient_id, h0.j)""", body=f"""
+SELECT z.feature_id AS col_id, zq.j AS comp, ROUND(SUM(z.value * zq.s) / ((SELECT n FROM npat) - 1), {o.ROUND}) AS value
+FROM z JOIN zq USING (patient_id) GROUP BY z.feature_id, zq.j"""))
+def q_covariance_product(spark, sf_dir):
+    """The covariance of the standardised features times a fixed matrix: what the components are found by."""
+    inp = matrix_inputs(spark, sf_dir)
+    rows = materialize(fe.sparse_feature_arrays(inp.long))
+    stats = rd.column_stats(inp.long, rows.count(), inp.n_features)
+    q = nmf.init_matrix(np.arange(inp.n_features), K, SEED + nmf.H_SALT)
+    product = rd.covariance_times(rows, stats, q)
+    rows.unpersist()
+    return _long(spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(product)],
+                                       "col_id long, vec array<double>"), "col_id")   # features x 3
+
+
 @register("nmf_factors")
 def q_nmf_factors(spark, sf_dir):
     clusters, res = nmf_run(spark, sf_dir)
@@ -364,7 +390,6 @@ def q_streaming_kmeans_purity(spark, sf_dir):
 
 def filtered_tuples(spark, sf_dir, tuples: DataFrame | None = None) -> DataFrame:
     """Feature tuples restricted to the candidate lists (names compared lower-cased)."""
-    from phenolens.operators import features as fe
     tuples = tuples if tuples is not None else feature_tuples(spark, sf_dir)
     return fe.filter_tuples(tuples, ca.derive_candidates_from_tuples(tuples), normalize="lower")
 
@@ -375,10 +400,10 @@ def q_clustering_report(spark, sf_dir):
 
 
 def _report(spark, sf_dir):
-    from phenolens.session import materialize
-    tuples = materialize(feature_tuples(spark, sf_dir))   # one pass over the events for both feature sets
-    out = ev.report(labels(spark, sf_dir), tuples, filtered_tuples(spark, sf_dir, tuples))
-    tuples.unpersist()
+    # one pass over the events for the labels and both feature sets
+    summary = materialize(event_summary(ss.clinical_event_log(spark, sf_dir)))
+    out = ev.report_from_summary(summary, ca.derive_candidates_from_tuples(as_tuples(summary)))
+    summary.unpersist()
     return out
 
 

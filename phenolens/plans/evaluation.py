@@ -1,7 +1,7 @@
 """Clustering evaluation (C3) and the purity report (C4).
 
-    feature tuples -> dictionary + long matrix -> dense vectors
-      -> StandardScaler -> PCA(10)   (checkpointed, reused by 3 algorithms)
+    feature tuples -> dictionary + long matrix -> sparse rows
+      -> standardise -> PCA(10)   (persisted, reused by 3 algorithms)
       -> k-means | Gaussian mixture | streaming k-means
     |abs(long matrix)| -> NMF (distributed) -> arg-max cluster
     every clustering JOIN labels ON patient_id -> purity
@@ -24,6 +24,8 @@ from phenolens.operators import metrics as me
 from phenolens.operators import nmf
 from phenolens.operators import reduce as rd
 from phenolens.operators.indexing import dense_index
+from phenolens.operators.phenotype import label_events
+from phenolens.operators.summary import as_events, as_tuples
 from phenolens.session import materialize, partitions_for
 from phenolens.streaming import kmeans as sk
 
@@ -38,7 +40,7 @@ class ClusteringInputs:
     long: DataFrame          # (patient_id, feature_id, value)
     dictionary: DataFrame    # (domain, feature, feature_id)
     n_features: int
-    reduced: DataFrame | None   # (patient_id, features, scaled, pca); None if there is nothing to reduce
+    reduced: DataFrame | None   # (patient_id, pca); None if there is nothing to reduce
 
     def release(self) -> None:
         for df in (self.long, self.dictionary, self.reduced):
@@ -48,19 +50,23 @@ class ClusteringInputs:
 
 def feature_inputs(tuples: DataFrame) -> ClusteringInputs:
     """The feature matrix alone, which is all that NMF needs."""
+    own = not tuples.is_cached
     long, dictionary, n = fe.feature_matrix(tuples)
-    return ClusteringInputs(long=materialize(long), dictionary=dictionary, n_features=n, reduced=None)
+    inputs = ClusteringInputs(long=materialize(long), dictionary=dictionary, n_features=n, reduced=None)
+    if own:
+        tuples.unpersist()
+    return inputs
 
 
 def prepare(tuples: DataFrame, sparse: bool = True) -> ClusteringInputs:
     """Feature matrix -> standardised -> 10 principal components, keyed by patient_id.
 
-    ``sparse=True`` (default) keeps patient vectors sparse end to end
-    (``reduce.centered_pca``); ``sparse=False`` densifies to the dictionary
-    width first, as the textbook formulation does. Both give the same
-    components up to the sign of each principal axis.
+    ``sparse=True`` (default) keeps patient rows sparse end to end and holds
+    features x components (``reduce.sparse_pca``); ``sparse=False`` densifies to the
+    dictionary width and fits the library's models, as the textbook formulation
+    does. Both give the same components up to the sign of each principal axis.
 
-    Vectors are dealt by patient into partitions whose number follows from the
+    Rows are dealt by patient into partitions whose number follows from the
     patients alone and sorted in them: fits that sample per partition then give
     the same model on any number of cores.
     """
@@ -68,17 +74,16 @@ def prepare(tuples: DataFrame, sparse: bool = True) -> ClusteringInputs:
     n = inputs.n_features
     if not n:
         return inputs
-    vectors = fe.sparse_feature_vectors(inputs.long, n) if sparse else fe.dense_feature_vectors(inputs.long, n)
-    parts = partitions_for(inputs.long.select("patient_id").distinct().count(), ROWS_PER_PARTITION)
-    vectors = materialize(vectors.repartition(parts, "patient_id").sortWithinPartitions("patient_id"))
+    patients = inputs.long.select("patient_id").distinct().count()
+    rows = fe.sparse_feature_arrays(inputs.long) if sparse else fe.dense_feature_vectors(inputs.long, n)
+    rows = materialize(rows.repartition(partitions_for(patients, ROWS_PER_PARTITION), "patient_id")
+                       .sortWithinPartitions("patient_id"))
     if sparse:
-        scaled, scaler = rd.standardize(vectors, with_mean=False)
-        reduced, _ = rd.centered_pca(scaled, scaler, n)
+        reduced, _ = rd.sparse_pca(rows, rd.column_stats(inputs.long, patients, n))
     else:
-        scaled, _ = rd.standardize(vectors)
-        reduced, _ = rd.principal_components(scaled, n)
-    inputs.reduced = materialize(reduced.select("patient_id", "features", "scaled", "pca"))
-    vectors.unpersist()
+        reduced, _ = rd.principal_components(rd.standardize(rows)[0], n)
+    inputs.reduced = materialize(reduced.select("patient_id", "pca"))
+    rows.unpersist()
     return inputs
 
 
@@ -163,3 +168,10 @@ def report(labels: DataFrame, all_tuples: DataFrame, filtered_tuples: DataFrame,
     b = evaluate(labels, filtered_tuples, algorithms).select(F.lit("filtered").alias("feature_set"), "*")
     labels.unpersist()
     return a.unionByName(b).select("feature_set", "algorithm", F.round("purity", 5).alias("purity"), "n_rows")
+
+
+def report_from_summary(summary: DataFrame, candidates: dict, algorithms=ALGORITHMS) -> DataFrame:
+    """The report from one event summary: labels, all features, and those on the candidate lists."""
+    tuples = as_tuples(summary)
+    return report(label_events(as_events(summary)), tuples, fe.filter_tuples(tuples, candidates, normalize="lower"),
+                  algorithms)

@@ -160,3 +160,33 @@ def test_kmeans_is_the_same_however_rows_arrive(spark):
         inputs.release()
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert seen[0] == seen[1] and len(set(seen[0].values())) == 3
+
+
+def test_dense_arrays_fill_gaps_and_ends(spark):
+    long = spark.createDataFrame([("p", 4, 2.0), ("p", 1, 1.0), ("q", 0, 5.0), ("r", 5, 7.0)],
+                                 "patient_id string, feature_id long, value double")
+    dense = {r["patient_id"]: r["features"] for r in fe.dense_feature_arrays(long, 6).collect()}
+    assert dense == {"p": [0, 1, 0, 0, 2, 0], "q": [5, 0, 0, 0, 0, 0], "r": [0, 0, 0, 0, 0, 7]}
+
+
+def test_summary_gives_the_labels_and_tuples_of_the_events(spark):
+    from datetime import datetime
+
+    from conftest import SF
+    from phenolens.operators import phenotype as ph
+    from phenolens.operators.summary import as_events, as_tuples, event_summary
+    from phenolens.sources import starschema as ss
+    nan = float("nan")
+    odd = [("x1", "lab", datetime(2020, 1, 1), "Glucose", v) for v in (nan, 500.0)]
+    odd += [("x2", "lab", datetime(2020, 1, 1), "Glucose", v) for v in (500.0, 300.0)]
+    odd += [("x3", "lab", None, "Glucose", None), ("x4", "dx", None, None, None)]
+    log = ss.clinical_event_log(spark, SF["0.001"])
+    events = log.unionByName(spark.createDataFrame(odd, log.schema))
+    summary = event_summary(events)
+    for strict in (False, True):
+        a, b = ph.label_events(events, strict), ph.label_events(as_events(summary), strict)
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    labels = {r["patient_id"]: r["label"] for r in ph.label_events(as_events(summary)).collect()}
+    assert [labels[p] for p in ("x1", "x2", "x3", "x4")] == [2, 3, 2, 3]
+    one = as_tuples(summary).where("patient_id = 'x2'").collect()
+    assert [(r["domain"], r["feature"], r["value"]) for r in one] == [("lab", "Glucose", 400.0)]

@@ -112,3 +112,48 @@ def test_sparse_pca_equals_dense_pca(spark):
     ma, mb = np.array([a[i] for i in ids]), np.array([b[i] for i in ids])
     signs = np.sign(np.sum(ma * mb, axis=0))          # each principal axis is defined up to its sign
     assert np.allclose(ma, mb * signs, atol=1e-7)
+
+
+def test_components_are_eigenvectors_of_the_covariance(spark):
+    from phenolens.operators import reduce as rd
+    n, k = 40, 4
+    x = RNG.poisson(0.7, size=(300, n)).astype(float) * RNG.uniform(1, 50, size=n)
+    x[:, 1] = 3 * x[:, 0] + RNG.normal(size=300)   # an axis of its own
+    x[:, 2] = 66.6                                 # constant: no share in any component
+    x[5], x[5, 2] = 0, 66.6
+    rows = spark.createDataFrame([(str(i), [int(c) for c in np.flatnonzero(r)], [float(v) for v in r[r != 0]])
+                                  for i, r in enumerate(x)], "patient_id string, ids array<long>, vals array<double>")
+    long = rows.select("patient_id", F.explode(F.arrays_zip("ids", "vals")).alias("e")).select(
+        "patient_id", F.col("e.ids").alias("feature_id"), F.col("e.vals").alias("value"))
+    stats = rd.column_stats(long, 300, n)
+    out, pc = rd.sparse_pca(rows.repartition(3), stats, k)
+    std = x.std(axis=0, ddof=1)
+    std[2] = 1
+    z = (x - x.mean(axis=0)) / std
+    c = np.cov(z, rowvar=False)
+    assert stats.inverse_std[2] == 0
+    assert np.allclose(rd.covariance_times(rows, stats, np.eye(n)), c, atol=1e-10)
+    lam = np.sort(np.linalg.eigvalsh(c))[::-1][:k]
+    assert np.allclose(c @ pc, pc * lam, atol=1e-8) and np.allclose(pc.T @ pc, np.eye(k), atol=1e-10)
+    got = {int(r["patient_id"]): r["pca"].toArray() for r in out.collect()}
+    assert np.allclose(np.array([got[i] for i in range(300)]), z @ pc, atol=1e-8)
+
+
+def test_leading_components_with_restarts():
+    from phenolens.operators import reduce as rd
+    n, k = 400, 3
+    q = np.linalg.qr(RNG.normal(size=(n, n)))[0]
+    lam = np.concatenate([[9.0, 9.0, 8.9], np.linspace(8.5, 0, n - 3)])   # a double value, and close ones
+    m = (q * lam) @ q.T
+    widths = []
+
+    def times(b):
+        widths.append(b.shape[1])
+        return m @ b
+
+    values, vectors = rd.leading_components(times, n, k)
+    assert np.allclose(values, lam[:k], atol=1e-9) and np.allclose(m @ vectors, vectors * values, atol=1e-8)
+    assert max(widths) <= 2 * k
+    for size in (1, 2, 5):
+        values, vectors = rd.leading_components(lambda b: np.diag(np.arange(size) * 1.0) @ b, size, min(k, size))
+        assert np.allclose(values, np.arange(size)[::-1][:k])
