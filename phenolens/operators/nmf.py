@@ -247,12 +247,8 @@ def _w_update_with_stats(h_bc, hht: np.ndarray, eps: float, n_cols: int):
 
 def _partial_stats(out: DataFrame, k: int, n_cols: int) -> tuple[np.ndarray, np.ndarray]:
     """Sum the per-partition partial records (row_id -1) of a fused round by index."""
-    parts = (out.where(F.col("row_id") < 0)
-             .select(F.explode(F.arrays_zip("cols", "vals")).alias("e"))
-             .groupBy(F.col("e.cols").alias("i")).agg(F.sum("e.vals").alias("s"))
-             .toPandas())   # <= (n_cols + k) * k numbers, in Arrow batches
-    flat = np.zeros(n_cols * k + k * k)
-    flat[parts["i"].to_numpy(np.int64)] = parts["s"].to_numpy()
+    records = out.where(F.col("row_id") < 0).select(F.col("cols").alias("idx"), F.col("vals").alias("val"))
+    flat = mx.sum_partials(records, (n_cols + k) * k)
     return flat[: n_cols * k].reshape(n_cols, k), flat[n_cols * k:].reshape(k, k)
 
 
@@ -273,12 +269,11 @@ def _row_stats(rows: DataFrame, k: int, n_cols: int) -> tuple[np.ndarray, np.nda
     recs = ex.select(F.coalesce(F.col("e.cols"), F.lit(-1).cast("long")).alias("key"),
                      *[(F.col("e.vals") * w[j]).alias(c) for j, c in enumerate(s_cols)],
                      *[F.when(first, w[a] * w[b]).alias(f"g{a}_{b}") for a in range(k) for b in range(k)])
-    out = recs.groupBy("key").agg(*[F.sum(c).alias(c) for c in s_cols + g_cols]).collect()
-    wtv, wtw = np.zeros((n_cols, k)), np.zeros((k, k))
-    for r in out:
-        if r["key"] >= 0:
-            wtv[r["key"]] = [r[c] or 0.0 for c in s_cols]
-        wtw += np.array([[r[f"g{a}_{b}"] or 0.0 for b in range(k)] for a in range(k)])
+    out = recs.groupBy("key").agg(*[F.sum(c).alias(c) for c in s_cols + g_cols]).fillna(0.0).toPandas()
+    real = out[out["key"] >= 0]
+    wtv = np.zeros((n_cols, k))
+    wtv[real["key"].to_numpy()] = real[s_cols].to_numpy()
+    wtw = out[g_cols].to_numpy().sum(axis=0).reshape(k, k)
     return wtv, wtw
 
 

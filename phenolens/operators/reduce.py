@@ -28,7 +28,7 @@ def standardize(df: DataFrame, input_col: str = "features", output_col: str = "s
 
     Statistics are one distributed summary pass (partial aggregation);
     a constant column maps to 0. ``with_mean=False`` only divides, which
-    keeps sparse vectors sparse (see ``centered_pca``).
+    keeps sparse vectors sparse (see ``sparse_pca`` for those).
     """
     model = StandardScaler(withMean=with_mean, withStd=True, inputCol=input_col, outputCol=output_col).fit(df)
     return model.transform(df), model
