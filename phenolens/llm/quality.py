@@ -91,15 +91,15 @@ def _dictionary(texts: list[str]) -> bytes:
     return zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=LEVEL).as_bytes()
 
 
-def _fit(features: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Logistic regression by Newton steps on standardised features, with a small ridge."""
+def _fit(features: np.ndarray, good: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Logistic regression by Newton steps on weighted rows of standardised features, with a small ridge."""
     x = _design(features)
     mean, std = x.mean(axis=0), x.std(axis=0) + 1e-9
     x = np.c_[np.ones(len(x)), (x - mean) / std]
     w, ridge = np.zeros(x.shape[1]), 1e-2 * np.eye(x.shape[1])
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + ridge, x.T @ (good - p) - ridge @ w)
+        step = np.linalg.solve((x.T * (weight * p * (1 - p))) @ x + ridge, x.T @ (weight * (good - p)) - ridge @ w)
         w += step * min(1.0, 5 / (np.abs(step).max() + 1e-12))
     return mean, std, w
 
@@ -112,7 +112,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     The sample is the rows with the smallest hashes of their ids, at most
     ``dictionary_rows`` + ``calibration_rows`` a class; their ids are broadcast. The
     driver gets at most PIECES * PIECE bytes of the texts for the dictionaries
-    (cut to that in the tasks), and four numbers of those for calibration. Ids with
+    (cut to that in the tasks), and four numbers of those for calibration. These are
+    weighted by the counted labels of their class, so that the score is calibrated to
+    the share of good labels among all, however few of a class are sampled. Ids with
     contradictory labels are left out. Without both classes the score is constant.
     """
     rows = (labels.select(F.col(id_col).alias("doc_id"), F.col(quality_col).cast("int").alias("quality"))
@@ -125,9 +127,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 .limit(dictionary_rows + calibration_rows))
         chosen = some if chosen is None else chosen.unionByName(some)
     ids = [(r["doc_id"], r["quality"]) for r in chosen.collect()]
-    n_good = sum(q for _, q in ids)
-    prior = n_good / len(ids) if ids else 0.5
-    if not 0 < n_good < len(ids):
+    total = {r["quality"]: r["count"] for r in rows.groupBy("quality").count().collect()}
+    prior = total.get(1, 0) / sum(total.values()) if total else 0.5
+    if not 0 < prior < 1:
         return Model(b"", b"", (), (), (), prior)
     spark = docs.sparkSession
     use, seen = [], Counter()
@@ -135,6 +137,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         seen[quality] += 1
         first = seen[quality] % 4 == 0 if seen[quality] <= 4 * dictionary_rows else False
         use.append((doc_id, quality, first))
+    drawn = Counter(quality for _, quality, first in use if not first)
     use = spark.createDataFrame(use, "doc_id long, quality int, for_dictionary boolean")
     texts = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
              .join(F.broadcast(use), "doc_id"))
@@ -156,7 +159,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              .toPandas().sort_values(["doc_id", "difference"]))
     if known["quality"].nunique() < 2:
         return Model(b"", b"", (), (), (), prior)
-    mean, std, w = _fit(known[["difference", "good", "plain", "size"]].to_numpy(), known["quality"].to_numpy())
+    weight = known["quality"].map({q: total[q] / n for q, n in drawn.items()}).to_numpy()
+    mean, std, w = _fit(known[["difference", "good", "plain", "size"]].to_numpy(), known["quality"].to_numpy(),
+                        weight / weight.mean())
     return Model(good, bad, tuple(mean), tuple(std), tuple(w), prior)
 
 

@@ -41,3 +41,13 @@ def test_odd_rows(spark, docs_of):
     assert quality.accepted(full, queries.table(spark, SF["0.001"], "labels")).columns == ["doc_id", "text"]
     scores = quality.classify(full, queries.table(spark, SF["0.001"], "labels")).collect()
     assert len(scores) == 205 and all(0 <= r["score"] <= 1 for r in scores)
+
+
+def test_calibrated_to_all_labels_when_both_classes_are_sampled(spark):
+    """Texts that say nothing about their quality score the share of good labels, not that of the sample."""
+    rng = np.random.default_rng(8)
+    words = np.array([f"word{i}" for i in range(500)])
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(words, 60))) for i in range(4000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 != 0)) for i in range(4000)], "doc_id long, quality int")
+    scores = quality.classify(docs, labels, dictionary_rows=20, calibration_rows=200).toPandas()["score"]
+    assert abs(scores.mean() - 0.9) < 0.04 and (scores >= 0.7).mean() > 0.95
