@@ -33,6 +33,10 @@ BLOCK_BYTES, CHUNK = 8 << 20, 1 << 19
 BROADCAST_BYTES = 32 << 20
 #: Strings sorted at once, in whole buckets.
 SORTED = 400_000
+#: Contexts of a bucket, over all blocks, beyond which it is split by its strings.
+HOT_CONTEXTS = 20_000
+#: A block counts the contexts of a bucket exactly (equal ones once) from so many on.
+COUNTED = 16
 
 _TABLE = np.random.default_rng(20240301).integers(1, 1 << 63, 256, dtype=np.uint64)
 _ODD = np.random.default_rng(20240302).integers(1, 1 << 63, 13, dtype=np.uint64) | np.uint64(1)
@@ -178,18 +182,31 @@ def _sorted_texts(f: pd.DataFrame) -> tuple[np.ndarray, list[bytes]]:
 
 
 def _buckets(f: pd.DataFrame) -> pd.DataFrame:
-    """The buckets of a block of documents, once each."""
+    """The buckets of a block of documents, once each, with the number of their different contexts."""
     _, texts = _sorted_texts(f)
-    found = [np.unique(bucket) for *_, bucket in _all_contexts(texts)]
-    buckets = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-    return pd.DataFrame({"bucket": buckets, "block": f["block"].iloc[0] if len(f) else 0})
+    parts = [(text, start, end, bucket) for text, start, end, _, bucket in _all_contexts(texts)]
+    text, start, end, bucket = (np.concatenate(x) for x in zip(*parts)) if parts else [np.zeros(0, np.int64)] * 4
+    buckets, sizes = np.unique(bucket, return_counts=True)
+    many = np.flatnonzero(sizes >= COUNTED)
+    if len(many):
+        held = np.searchsorted(buckets[many], bucket)
+        at = np.flatnonzero(buckets[many][np.minimum(held, len(many) - 1)] == bucket)
+        different: list[set] = [set() for _ in many]
+        for k, t, a, b in zip(*(x[at].tolist() for x in (held, text, start, end))):
+            different[k].add(texts[t][a:b])
+        sizes[many] = [len(d) for d in different]
+    return pd.DataFrame({"bucket": buckets, "block": f["block"].iloc[0] if len(f) else 0, "size": sizes.astype(np.int32)})
 
 
 def _block_contexts(f: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
     """Contexts of a block that other blocks may repeat, once each, for the smallest id of the
-    block. What repeats within the block is found here, and told by rows without a string."""
+    block. What repeats within the block is found here, and told by rows without a string.
+
+    Of a hot bucket the strings are sent instead of the contexts, each to the bucket of its
+    hash, where equal strings of all blocks still meet, one a block."""
     ids, texts = _sorted_texts(f)
     elsewhere = np.sort(shared["bucket"].to_numpy())
+    hot = set(shared.loc[shared["hot"].astype(bool), "bucket"].tolist())
     parts = list(_all_contexts(texts))
     if not parts:
         return _rows([])
@@ -220,6 +237,15 @@ def _block_contexts(f: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
     own = ids.tolist()
     inside: dict[int, list[tuple]] = {}
     for t, a, b, where, key, sent in zip(*(x[wanted].tolist() for x in (text, start, end, anchor, bucket, outside))):
+        if key in hot:
+            for p in range(a, b - LENGTH + 1):
+                string = texts[t][p:p + LENGTH]
+                if known.setdefault(string, own[t]) != own[t]:
+                    spans.setdefault(t, []).append((p, p + LENGTH))
+                else:
+                    for column, value in zip(rows, (_digest(string), string, where - (p - a), own[t], digest(t), p, block)):
+                        column.append(value)
+            continue
         string = texts[t][a:b]
         if known.setdefault(string, own[t]) != own[t]:
             spans.setdefault(t, []).append((a, b))
@@ -312,8 +338,18 @@ def _remove(f: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["id", "n_bytes", "n_removed", "n_spans", "kept", "spans"])
 
 
+def _sent(blocks: DataFrame, hot_contexts: int) -> DataFrame:
+    """What blocks of documents send to the buckets they share."""
+    buckets = blocks.groupBy("block").applyInPandas(lambda f: _buckets(f), "bucket long, block long, size int")
+    by_bucket = Window.partitionBy("bucket")
+    shared = (buckets.withColumns({"n": F.count("*").over(by_bucket), "total": F.sum("size").over(by_bucket)})
+              .filter("n > 1").select("block", "bucket", (F.col("total") > hot_contexts).alias("hot")))
+    return blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInPandas(
+        lambda f, s: _block_contexts(f, s), CONTEXT)
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                   block_bytes: int = BLOCK_BYTES, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept, spans), one row per row of ``docs``.
 
     Every byte is removed that lies in a string of LENGTH bytes which also starts in
@@ -326,7 +362,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     each, however often its documents repeat a passage, and gets back those that
     other blocks hold too; then it sends its contexts of these, again once each. So
     neither a passage nor a document makes a task large, and a task holds one block,
-    or the strings of some buckets.
+    or the strings of some buckets. A bucket of over ``hot_contexts`` contexts, as of a short
+    phrase between many different neighbours, is split by the strings in it.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     total = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
@@ -340,11 +377,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blocks = (rows.join(broadcast_if_small(parts, BROADCAST_BYTES, 16), "deal")
               .select("id", "text", F.xxhash64("deal", F.pmod(F.xxhash64("id"), F.col("parts"))).alias("block"))
               .repartition("block"))
-    buckets = blocks.groupBy("block").applyInPandas(lambda f: _buckets(f), "bucket long, block long")
-    shared = (buckets.withColumn("n", F.count("*").over(Window.partitionBy("bucket"))).filter("n > 1")
-              .select("block", "bucket"))
-    sent = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInPandas(
-        lambda f, s: _block_contexts(f, s), CONTEXT)
+    sent = _sent(blocks, hot_contexts)
     spans = (sent.repartition("bucket").sortWithinPartitions("bucket")
              .mapInPandas(lambda frames: _sort_buckets(frames), SPAN))
     out = blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInPandas(

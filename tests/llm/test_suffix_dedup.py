@@ -86,3 +86,21 @@ def test_cover_ranks_order_like_strings(rows):
             if any(o[p:p + 50] == s[p:p + 50] and ids[k] < ids[c] for k, o in enumerate(strings)):
                 want[p:p + 50] = b"\1" * 50
         assert hit[c] == want
+
+
+def test_a_phrase_between_different_neighbours_is_no_large_bucket(spark, docs_of):
+    rng = np.random.default_rng(7)
+    around = ["".join(rng.choice(list("abcdefghij"), 45)) for _ in range(300)]
+    phrase = "THE SAME PHRASE OF SOME FORTY BYTES HERE"
+    texts = [(i, around[i] + phrase + around[(7 * i) % 300] + phrase + around[-i]) for i in range(300)]
+    texts += [(300 + i, "q" * (i % 3) + texts[i][1][10:120]) for i in range(60)]
+    df = docs_of(texts)
+    assert got(S.remove_repeats(df, block_bytes=4000, hot_contexts=50)) == brute(texts)
+    assert got(S.remove_repeats(df, block_bytes=4000)) == brute(texts)
+    blocks = df.selectExpr("doc_id as id", "text", "doc_id % 12 as block")
+
+    def largest(hot_contexts):
+        sent = S._sent(blocks, hot_contexts).filter("string is not null")
+        return sent.groupBy("bucket").count().agg({"count": "max"}).first()[0]
+
+    assert largest(10 ** 9) > 250 and largest(50) <= 50
