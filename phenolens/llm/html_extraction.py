@@ -44,8 +44,6 @@ OTHER_WORDS = frozenset(
 
 #: Pages with different texts that must share a text in a slot before it counts as part of the template.
 TEMPLATE_PAGES = 5
-#: Share of a wrapper's text that a container must hold for the article to be sought in it.
-MAIN_SHARE = 0.6
 #: Parts in which a host's partial wrappers are merged first, so that a large host isn't one task's work.
 MERGE_PARTS = 64
 BROADCAST_BYTES = 32 << 20
@@ -226,12 +224,15 @@ def _weight(node: dict) -> int:
 
 
 def rules(wrapper: dict) -> dict:
-    """What extraction needs of a host's wrapper: the path to the article, and the paths of the template's texts."""
+    """What extraction needs of a host's wrapper: the path to the article, and the paths of the template's texts.
+
+    The path ends at an article or main element, and leads into another container only
+    if that holds all text of its parent that may be the article's."""
     main, node = [], wrapper
-    while True:
+    while node["s"].split(".")[0] not in ("article", "main"):
         total = _weight(node)
         best = max((c for c in node["c"] if c["s"].split(".")[0] in CONTAINERS), key=_weight, default=None)
-        if best is None or not total or _weight(best) < MAIN_SHARE * total or best["q"] in "+*":
+        if best is None or not total or _weight(best) < total or best["q"] in "+*":
             break
         main.append(best["s"])
         node = best

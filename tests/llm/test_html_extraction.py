@@ -59,3 +59,16 @@ def test_partial_wrappers_merge_in_any_order():
     alone = H.rules(H.merge(map(H.page_wrapper, made)))
     halves = [H.merge(map(H.page_wrapper, made[:3])), H.merge(map(H.page_wrapper, made[3:]))]
     assert H.rules(H.merge(halves[::-1])) == alone
+
+
+def extracted(made):
+    rule = H.rules(H.merge(map(H.page_wrapper, made)))
+    return [H.extract(p, rule) for p in made]
+
+
+def test_text_beside_the_largest_container_of_an_article_stays():
+    made = [f"<body><nav>n</nav><article><h1>Title {i}</h1><p>Lead {i}</p><div class='body'><p>{'word ' * 50}{i}</p></div>"
+            f"</article></body>" for i in range(8)]
+    assert extracted(made) == [f"Title {i} Lead {i} {'word ' * 50}{i}" for i in range(8)]
+    made = [p.replace("article>", "div>") for p in made]
+    assert extracted(made) == [f"Title {i} Lead {i} {'word ' * 50}{i}" for i in range(8)]
