@@ -25,7 +25,9 @@ from phenolens.llm.url_filters import host
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
-                   "small span strike strong sub sup time tt u var wbr".split())
+                   "small span strike strong sub sup time tt u var wbr math annotation menclose mfrac mi mn mo mover mpadded "
+                   "mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover "
+                   "semantics".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 CONTAINERS = frozenset("html body main article section div table tbody tr td center".split())
 #: Elements that an element of the same kind, without an end tag in between, ends.
@@ -33,14 +35,18 @@ SIBLING = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("tab
            "th": ("tr", "table"), "option": ("select",), "p": ()}
 
 # What isn't part of an article: by element, and by the words of class, id and role.
-OTHER_TAGS = frozenset("head nav header footer aside form script style noscript template iframe svg math button select "
-                       "textarea object canvas audio video dialog menu figcaption title".split())
+OTHER_TAGS = frozenset("head nav header footer aside form script style noscript template iframe svg button select "
+                       "textarea object canvas audio video dialog menu title".split())
 OTHER_WORDS = frozenset(
     "ad ads adbox advert adverts advertisement sponsor sponsored banner promo promotion sidebar side aside menu nav navbar "
     "navigation breadcrumb breadcrumbs footer foot header masthead topbar comment comments reply replies disqus respond "
     "notice notices cookie cookies consent gdpr alert popup modal overlay share sharing social related recommended "
     "newsletter subscribe subscription signup login form search widget toolbar pagination pager copyright disclaimer "
     "complementary contentinfo skip".split())
+#: Words of a class that tell how its element is laid out, not what it is ("with-sidebar", "no-comments").
+LAYOUT_WORDS = frozenset("with without no not has layout open opened close closed enabled disabled".split())
+#: Share of a host's text from which on a name alone doesn't make an element another part of the page.
+MOST = 0.5
 
 #: Pages with different texts that must share a text in a slot before it counts as part of the template.
 TEMPLATE_PAGES = 5
@@ -59,8 +65,9 @@ _WORDS = re.compile(r"[a-z]+")
 def _signature(tag: str, attributes: str) -> tuple[str, bool]:
     """An element's name with its class, id and role (numbers made alike), and whether it isn't article text."""
     names = " ".join(a or b or c for a, b, c in _NAMES.findall(attributes)).lower() if attributes else ""
-    other = tag in OTHER_TAGS or (tag not in ("html", "body", "main", "article")
-                                  and not OTHER_WORDS.isdisjoint(_WORDS.findall(names)))
+    other = tag in OTHER_TAGS or (tag not in ("html", "body", "main", "article") and any(
+        not OTHER_WORDS.isdisjoint(words) and LAYOUT_WORDS.isdisjoint(words)
+        for words in map(_WORDS.findall, names.split())))
     return tag + ("." + re.sub(r"\d+", "0", " ".join(names.split())) if names.strip() else ""), other
 
 
@@ -138,7 +145,7 @@ def page_wrapper(page: str) -> dict:
     path, texts = [root], [[]]
     for kind, value, other in stream(page):
         if kind == "open":
-            path.append(_node(value, other or bool(path[-1]["o"])))
+            path.append(_node(value, other))
             texts.append([])
         elif kind == "text":
             texts[-1].append(value)
@@ -223,15 +230,53 @@ def _weight(node: dict) -> int:
     return 0 if node["o"] else (node["n"] if node["t"] == 1 or node["p"] < TEMPLATE_PAGES else 0) + sum(map(_weight, node["c"]))
 
 
+def _tag(signature: str) -> str:
+    return signature.split(".")[0]
+
+
+def _prose(node: dict) -> int:
+    """As _weight, whatever the names of elements are, and without lists of blocks (comments, teasers, menus)."""
+    if _tag(node["s"]) in OTHER_TAGS:
+        return 0
+    own = node["n"] if node["t"] == 1 or node["p"] < TEMPLATE_PAGES else 0
+    return own + sum(_prose(c) for c in node["c"] if c["q"] in "1?" or not c["c"])
+
+
+def _has_article(node: dict) -> bool:
+    return any(_tag(c["s"]) not in OTHER_TAGS and (_tag(c["s"]) in ("article", "main") or _has_article(c)) for c in node["c"])
+
+
+def _unmark(wrapper: dict) -> list[str]:
+    """Paths of elements that are named like another part of the page but hold the article or most
+    of the host's text (and no article stands elsewhere). They count as article text from here on."""
+    most = MOST * _prose(wrapper)
+    alone = not _has_article(wrapper)
+    kept: list[str] = []
+
+    def walk(n: dict, path: str, open_to_text: bool) -> None:
+        for c in n["c"]:
+            here, tag = f"{path}>{c['s']}", _tag(c["s"])
+            if c["o"] and tag not in OTHER_TAGS and c["q"] in "1?" and (
+                    _has_article(c) or open_to_text and _prose(c) > most):
+                c["o"] = 0
+                kept.append(here)
+            if not c["o"]:
+                walk(c, here, open_to_text or tag in ("article", "main"))
+
+    walk(wrapper, "", alone)
+    return kept
+
+
 def rules(wrapper: dict) -> dict:
     """What extraction needs of a host's wrapper: the path to the article, and the paths of the template's texts.
 
     The path ends at an article or main element, and leads into another container only
     if that holds all text of its parent that may be the article's."""
+    kept = _unmark(wrapper)
     main, node = [], wrapper
-    while node["s"].split(".")[0] not in ("article", "main"):
+    while _tag(node["s"]) not in ("article", "main"):
         total = _weight(node)
-        best = max((c for c in node["c"] if c["s"].split(".")[0] in CONTAINERS), key=_weight, default=None)
+        best = max((c for c in node["c"] if _tag(c["s"]) in CONTAINERS), key=_weight, default=None)
         if best is None or not total or _weight(best) < total or best["q"] in "+*":
             break
         main.append(best["s"])
@@ -248,7 +293,7 @@ def rules(wrapper: dict) -> dict:
 
     if _weight(node):  # else all pages are alike, and their texts aren't a template's
         walk(node, "")
-    return {"main": main, "template": template}
+    return {"main": main, "template": template, "kept": kept}
 
 
 def extract(page: str, rule: dict | None) -> str:
@@ -256,15 +301,15 @@ def extract(page: str, rule: dict | None) -> str:
 
     Without a rule, or if the page lacks the path to the article, everything in the
     page counts that isn't known to be something else."""
-    rule = rule or {"main": [], "template": []}
-    main, template = rule["main"], set(rule["template"])
-    found = _blocks(page, main, template)
+    rule = rule or {"main": [], "template": [], "kept": []}
+    main, template, kept = rule["main"], set(rule["template"]), set(rule["kept"])
+    found = _blocks(page, main, template, kept)
     if found is None:
-        found = _blocks(page, [], set())
+        found = _blocks(page, [], set(), kept)
     return " ".join(found)
 
 
-def _blocks(page: str, main: list[str], template: set[str]) -> list[str] | None:
+def _blocks(page: str, main: list[str], template: set[str], kept: set[str]) -> list[str] | None:
     path: list[tuple[str, bool]] = []
     blocks: list[str] = []
     part: list[str] = []
@@ -287,6 +332,8 @@ def _blocks(page: str, main: list[str], template: set[str]) -> list[str] | None:
         else:
             flush()
             if kind == "open":
+                if other and kept:
+                    other = "".join(f">{p[0]}" for p in path) + f">{value}" not in kept
                 path.append((value, other or bool(path and path[-1][1])))
             elif path:
                 path.pop()

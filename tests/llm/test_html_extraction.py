@@ -72,3 +72,27 @@ def test_text_beside_the_largest_container_of_an_article_stays():
     assert extracted(made) == [f"Title {i} Lead {i} {'word ' * 50}{i}" for i in range(8)]
     made = [p.replace("article>", "div>") for p in made]
     assert extracted(made) == [f"Title {i} Lead {i} {'word ' * 50}{i}" for i in range(8)]
+
+
+def test_names_of_layouts_do_not_remove_the_article():
+    for name in ("class='content with-sidebar'", "class='layout-sidebar-right'", "class='post no-comments'",
+                 "class='page-menu-open'", "id='content-side'"):
+        made = [f"<body><div {name}><article><h1>T {i}</h1><p>text {i}</p></article></div><div class='sidebar'>s {i}</div>"
+                f"</body>" for i in range(8)]
+        assert extracted(made) == [f"T {i} text {i}" for i in range(8)]
+        made = [p.replace("article>", "div>") for p in made]
+        assert extracted(made) == [f"T {i} text {i}" for i in range(8)]
+
+
+def test_comments_longer_than_the_article_are_still_left_out():
+    made = [f"<body><article><p>text {i}</p></article><div id='comments'>{f'<div><p>said {i} {i}</p></div>' * 9}</div></body>"
+            for i in range(8)]
+    assert extracted(made) == [f"text {i}" for i in range(8)]
+    made = [p.replace("<div><p>", "<p>").replace("</p></div>", "</p>") for p in made]
+    assert extracted(made) == [f"text {i}" for i in range(8)]
+
+
+def test_formulas_and_captions_of_an_article_stay():
+    made = [f"<body><article><p>Let <math><mi>x</mi><mo>=</mo><mn>{i}</mn></math> be</p><figure><img><figcaption>Fig {i}"
+            f"</figcaption></figure></article></body>" for i in range(8)]
+    assert extracted(made) == [f"Let x={i} be Fig {i}" for i in range(8)]
