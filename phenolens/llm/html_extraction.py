@@ -50,6 +50,8 @@ MOST = 0.5
 
 #: Pages with different texts that must share a text in a slot before it counts as part of the template.
 TEMPLATE_PAGES = 5
+#: In an article, elements whose text is never a template's.
+CONTENT = frozenset("h1 h2 h3 h4 h5 h6 blockquote pre".split())
 #: Parts in which a host's partial wrappers are merged first, so that a large host isn't one task's work.
 MERGE_PARTS = 64
 BROADCAST_BYTES = 32 << 20
@@ -133,30 +135,50 @@ def stream(page: str) -> Iterator[tuple[str, str, bool]]:
 
 
 # A wrapper's node: s signature, o other, q quantifier (1, ?, +, *), t text (a digest; 1: a slot; 0: none),
-# n characters of text, p pages, c children.
+# n characters of text, p pages of different texts (digests of TEMPLATE_PAGES of them at most), c children.
 
 def _node(signature: str, other: bool) -> dict:
-    return {"s": signature, "o": int(other), "q": "1", "t": 0, "n": 0, "p": 1, "c": []}
+    return {"s": signature, "o": int(other), "q": "1", "t": 0, "n": 0, "p": [], "c": []}
+
+
+_NOTHING = hashlib.md5().digest()
 
 
 def page_wrapper(page: str) -> dict:
-    """The wrapper of one page: its tree, where siblings of one signature are already a repeated group."""
+    """The wrapper of one page: its tree, where siblings of one signature are already a repeated group.
+
+    Pages are told apart by their text outside of other parts, or by all of it if there is none."""
     root = _node("", False)
     path, texts = [root], [[]]
+    own, everything, beside = hashlib.md5(), hashlib.md5(), [False]
     for kind, value, other in stream(page):
         if kind == "open":
             path.append(_node(value, other))
             texts.append([])
+            beside.append(other or beside[-1])
         elif kind == "text":
             texts[-1].append(value)
+            data = value.strip().encode("utf-8", "surrogatepass")
+            if data:
+                everything.update(data + b"\n")
+                if not beside[-1]:
+                    own.update(data + b"\n")
         elif kind == "close":
             _close(path, texts)
+            beside.pop()
     while len(path) > 1:
         _close(path, texts)
     _set_text(root, texts[0])
+    _set_page(root, [(own if own.digest() != _NOTHING else everything).hexdigest()[:12]])
     return root
 
 
+def _set_page(node: dict, page: list[str]) -> None:
+    node["p"] = page
+    for child in node["c"]:
+        _set_page(child, page)
+
+
 def _close(path: list, texts: list) -> None:
     node = path.pop()
     _set_text(node, texts.pop())
@@ -191,7 +213,10 @@ def _merge(a: dict, b: dict, repeated: bool = False, same_page: bool = False) ->
     a["q"] = _quantifier(a["q"], b["q"], repeated)
     a["t"] = a["t"] if a["t"] == b["t"] else 1
     a["n"] += b["n"]
-    a["p"] = max(a["p"], b["p"]) if same_page else a["p"] + b["p"]
+    if not same_page and len(a["p"]) < TEMPLATE_PAGES and a["p"] != b["p"]:
+        a["p"] = sorted({*a["p"], *b["p"]})[:TEMPLATE_PAGES]
+    elif len(b["p"]) > len(a["p"]):
+        a["p"] = b["p"]
     children, at = a["c"], {c["s"]: i for i, c in enumerate(a["c"])}
     met = set()
     position = 0
@@ -227,7 +252,7 @@ def regular_expression(node: dict) -> str:
 
 def _weight(node: dict) -> int:
     """Characters of slots in a wrapper that may be article text."""
-    return 0 if node["o"] else (node["n"] if node["t"] == 1 or node["p"] < TEMPLATE_PAGES else 0) + sum(map(_weight, node["c"]))
+    return 0 if node["o"] else (node["n"] if node["t"] == 1 or len(node["p"]) < TEMPLATE_PAGES else 0) + sum(map(_weight, node["c"]))
 
 
 def _tag(signature: str) -> str:
@@ -238,7 +263,7 @@ def _prose(node: dict) -> int:
     """As _weight, whatever the names of elements are, and without lists of blocks (comments, teasers, menus)."""
     if _tag(node["s"]) in OTHER_TAGS:
         return 0
-    own = node["n"] if node["t"] == 1 or node["p"] < TEMPLATE_PAGES else 0
+    own = node["n"] if node["t"] == 1 or len(node["p"]) < TEMPLATE_PAGES else 0
     return own + sum(_prose(c) for c in node["c"] if c["q"] in "1?" or not c["c"])
 
 
@@ -283,16 +308,19 @@ def rules(wrapper: dict) -> dict:
         node = best
     template: list[str] = []
 
-    def walk(n: dict, path: str) -> None:
-        here = f"{path}>{n['s']}"
-        if n["t"] not in (0, 1) and n["p"] >= TEMPLATE_PAGES and n["q"] in "1?":
+    def walk(n: dict, path: str, article: bool, always: bool) -> None:
+        """In an article, only what all pages have and is no heading or quotation may be the template's."""
+        here, tag = f"{path}>{n['s']}", _tag(n["s"])
+        always = always and n["q"] == "1" or not article
+        if n["t"] not in (0, 1) and len(n["p"]) >= TEMPLATE_PAGES and n["q"] in "1?" and not (
+                article and (not always or tag in CONTENT)):
             template.append(here)
         for c in n["c"]:
             if not c["o"]:
-                walk(c, here)
+                walk(c, here, article or tag in ("article", "main"), always)
 
     if _weight(node):  # else all pages are alike, and their texts aren't a template's
-        walk(node, "")
+        walk(node, "", False, True)
     return {"main": main, "template": template, "kept": kept}
 
 

@@ -96,3 +96,25 @@ def test_formulas_and_captions_of_an_article_stay():
     made = [f"<body><article><p>Let <math><mi>x</mi><mo>=</mo><mn>{i}</mn></math> be</p><figure><img><figcaption>Fig {i}"
             f"</figcaption></figure></article></body>" for i in range(8)]
     assert extracted(made) == [f"Let x={i} be Fig {i}" for i in range(8)]
+
+
+def test_copies_of_a_page_make_no_template():
+    other = [f"<body><div><p>text {i}</p></div></body>" for i in range(8)]
+    for copies in (1, 4, 5, 9):
+        made = other + ["<body><div><p>a page</p><blockquote>quoted once</blockquote></div></body>"] * copies
+        assert extracted(made)[8:] == ["a page quoted once"] * copies
+    assert extracted(["<body><div><p>a page</p></div></body>"] * 9) == ["a page"] * 9
+
+
+def test_headings_of_articles_stay():
+    made = [f"<body><article><h1>T {i}</h1>{'<h2>Summary</h2><div>In short</div>' * (i % 2)}<p>text {i}</p></article></body>"
+            for i in range(16)]
+    assert extracted(made) == [f"T {i} {'Summary In short ' * (i % 2)}text {i}" for i in range(16)]
+
+
+def test_pages_are_counted_alike_in_any_order():
+    made = [f"<body><p>{i % 6}</p><div>d</div></body>" for i in range(40)]
+    whole = H.rules(H.merge(map(H.page_wrapper, made)))
+    parts = [H.merge(map(H.page_wrapper, made[k::5])) for k in range(5)]
+    assert H.rules(H.merge(parts)) == H.rules(H.merge(map(H.page_wrapper, made[::-1]))) == whole
+    assert whole["template"]
