@@ -20,6 +20,15 @@ def ascii_lower(text: Column) -> Column:
         F.translate(text, UPPER, UPPER.lower()))
 
 
+#: Bytes of UTF-8 to words: A-Z lower-cased, all ASCII but letters and digits made blanks.
+WORD_BYTES = bytes(b if b > 127 else ord(chr(b).lower()) if chr(b).isalnum() else 32 for b in range(256))
+
+
+def word_bytes(text: bytes) -> list[bytes]:
+    """The words of a UTF-8 text: runs of ASCII letters (lower-cased), digits and characters beyond ASCII."""
+    return text.translate(WORD_BYTES).split()
+
+
 def shared_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder of ``spark.checkpoint.dir`` and read it back.
 

@@ -203,3 +203,35 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from phenolens.llm.suffix_dedup import remove_repeats
     return remove_repeats(documents(spark, sf_dir)).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op11_lexical_search", f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")},
+                  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+n AS (SELECT doc_id, len(w)::BIGINT AS n FROM d WHERE len(w) > 0),
+a AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM n),
+p AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) GROUP BY doc_id, term),
+f AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM p, a GROUP BY term, docs),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")},
+                  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+m AS (SELECT doc_id, 10 + (90 * n * docs) // terms AS m FROM n, a),
+s AS (SELECT item_id, p.doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM q JOIN f USING (term) JOIN p USING (term) JOIN m USING (doc_id) GROUP BY item_id, p.doc_id),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+      FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= 10""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from phenolens.llm.lexical_search import search
+    return search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+@register("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from phenolens.llm.whitening import whiten
+    return whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@register("op12_license_scans")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from phenolens.llm.license_scan import scan, summarise
+    return summarise(scan(documents(spark, sf_dir)))
