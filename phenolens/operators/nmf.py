@@ -1,29 +1,31 @@
-"""Non-negative matrix factorisation V ~ W H by multiplicative updates.
-
-    H <- H * (Wᵀ V) / (Wᵀ W H + eps)          W <- W * (V Hᵀ) / (W H Hᵀ + eps)
+"""Non-negative matrix factorisation V ~ W H.
 
 V is the patient x feature matrix (``(row_id, col_id, value)``), W has one
 k-vector per patient, H one k-vector per feature (k is small).
 
-Plan of ``run``: each patient row carries its sparse V entries AND its W
-vector, ``(row_id, cols, vals, w)``. One round is ONE Spark job:
-
-1. a row-local ``mapInPandas`` pass updates W against the broadcast H and
-   the k x k literal H Hᵀ, and accumulates the partition's partial Wᵀ V and
-   Wᵀ W in numpy, emitted as one extra record per partition — V is never
-   shuffled, joined or exploded;
-2. those partial records are summed by index (at most (features + k) * k
-   numbers per partition cross the network);
-3. H update, H Hᵀ and the error ||V - WH||² (by the identity in
-   ``matrix.frobenius_error``) run on the driver over the k x features model.
-
-Rounds are cached and reliably checkpointed every ``checkpoint_interval``
-rounds into the shared checkpoint folder; the broadcasts needed to
-recompute the rounds since the last checkpoint are kept alive.
-
-``run`` holds H (features x k) on the driver, like its callers' other models.
-``run_keyed`` is the same algorithm for models that no driver can hold: W and
-H are both keyed DataFrames and every product is a join + aggregation
+Plan of ``run``: V is laid out once as static blocks of whole rows (packed
+arrays, written to the shared folder). A round is ONE pass over the blocks that
+writes nothing: a task computes the W of its rows from the broadcast H, and
+returns its part of Wᵀ V and Wᵀ W; their sum (at most (features + k) * k numbers a
+partition cross the network) gives the next H and the error ||V - WH||² (by the
+identity in ``matrix.frobenius_error``) on the driver. W is no state of the
+rounds, so rounds cost the same from the first to the last, and a lost executor
+costs its tasks and no more.
+
+The first rounds are multiplicative updates from the start values,
+
+    H <- H * (Wᵀ V) / (Wᵀ W H + eps)          W <- W * (V Hᵀ) / (W H Hᵀ + eps)
+
+where a task repeats the few updates of its W from the H of each round so far.
+Started from values that are nearly alike, they pull the components apart, but
+settle slowly. From then on W, and in turn H, are minimised exactly (non-negative
+least squares: the limit of many such updates against one pass over V), and H is
+extrapolated from the last rounds; where that raises the error, the round is
+taken again without. A component that the exact rounds empty sends the run back
+to twice as many multiplicative ones.
+
+``run_keyed`` makes multiplicative updates alone for models that no driver can
+hold: W and H are both keyed DataFrames and every product is a join + aggregation
 (``matrix``). The caller chooses; nothing switches by size.
 
 Start values are deterministic arithmetic on the integer ids (``init_value``)
@@ -32,17 +34,18 @@ so a run is reproducible and SQL can repeat a round.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast, StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from phenolens.functions.vectors import argmax
 from phenolens.operators import matrix as mx
-from phenolens.session import cut_lineage, materialize, partitions_for
+from phenolens.session import cut_lineage, partitions_for, scratch_path
 
 # FIXED VALUES: linear-congruential start values in (0, 1], see init_value.
 LCG_MULT, LCG_STEP, LCG_MOD = 1103515245, 12345, 2147483648
@@ -146,18 +149,15 @@ def assign_clusters(w: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-# Default plan: W co-located with the patient's V entries, H broadcast.
+# Default plan: static blocks of V, H broadcast, W computed where it is needed.
 # --------------------------------------------------------------------------
 
-CHECKPOINT_INTERVAL = 20
-ROWS_PER_PARTITION = 20_000
-
-ROW_SCHEMA = T.StructType([
-    T.StructField("row_id", T.LongType(), False),
-    T.StructField("cols", T.ArrayType(T.LongType()), False),
-    T.StructField("vals", T.ArrayType(T.DoubleType()), False),
-    T.StructField("w", T.ArrayType(T.DoubleType()), False),
-])
+#: Entries packed into one block, at most (a row with more is a block of its own).
+BLOCK_ENTRIES = 1 << 17
+#: Multiplicative rounds before the exact ones.
+PLAIN_ROUNDS = 10
+#: Rounds from which the next H is extrapolated.
+MEMORY = 6
 
 
 def init_matrix(ids: np.ndarray, k: int, salt: int) -> np.ndarray:
@@ -170,169 +170,258 @@ def init_matrix(ids: np.ndarray, k: int, salt: int) -> np.ndarray:
     return out
 
 
-def patient_rows(v_long: DataFrame, row_ids: DataFrame, k: int, seed: int) -> DataFrame:
-    """(row_id, cols, vals, w0): each patient's V entries (<= one per feature) plus its start W.
+@dataclass
+class Block:
+    """Whole rows of V: their ids, and per entry the row's place, the column and the value."""
+    ids: np.ndarray
+    owner: np.ndarray
+    cols: np.ndarray
+    vals: np.ndarray
+
+    def times(self, h: np.ndarray) -> np.ndarray:
+        """V H: one row per row of the block."""
+        return np.column_stack([np.bincount(self.owner, self.vals * h[self.cols, j], len(self.ids))
+                                for j in range(h.shape[1])])
+
+    def transpose_times(self, w: np.ndarray, n_cols: int) -> np.ndarray:
+        return np.column_stack([np.bincount(self.cols, self.vals * w[self.owner, j], n_cols)
+                                for j in range(w.shape[1])])
+
+
+def _pack_rows(batches: Iterator[pa.RecordBatch], block_entries: int) -> Iterator[pa.RecordBatch]:
+    """Entries sorted by row to blocks of whole rows; an entry without a column only names its row."""
+    def packed(row, col, val):
+        ids, lens = np.unique(row, return_counts=True)
+        there = col >= 0
+        lens = lens - np.bincount(np.searchsorted(ids, row[~there]), minlength=len(ids))
+        arrays = (ids, lens.astype(np.int64), col[there], val[there])
+        return pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in arrays],
+                                          names=["ids", "lens", "cols", "vals"])
+
+    held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+    for batch in batches:
+        new = [batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).fill_null(-1).to_numpy(zero_copy_only=False),
+               batch.column(2).fill_null(0.0).to_numpy(zero_copy_only=False)]
+        held = [np.concatenate(x) for x in zip(held, new, strict=True)]
+        while len(held[0]) > block_entries:
+            cut = np.searchsorted(held[0], held[0][block_entries])   # where the row that crosses the end begins
+            if cut == 0:
+                cut = np.searchsorted(held[0], held[0][0], side="right")
+                if cut == len(held[0]):
+                    break
+            yield packed(*[x[:cut] for x in held])
+            held = [x[cut:] for x in held]
+    if len(held[0]):
+        yield packed(*held)
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    for batch in batches:
+        for at in range(batch.num_rows):
+            ids, lens, cols, vals = (np.frombuffer(batch.column(i)[at].as_buffer(), kind) for i, kind in
+                                     enumerate((np.int64, np.int64, np.int64, np.float64)))
+            yield Block(ids, np.repeat(np.arange(len(ids)), lens), cols, vals)
+
+
+def lay_out(v: DataFrame, n_entries: int, row_ids: DataFrame | None = None, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
+    """V as blocks (ids, lens, cols, vals) in the shared folder, dealt by row id.
+
+    ``row_ids`` adds rows without entries. The number of partitions follows from the entries alone."""
+    entries = v.select(F.col("row_id").cast("long"), F.col("col_id").cast("long"), F.col("value").cast("double"))
+    if row_ids is not None:
+        entries = entries.unionByName(row_ids.select(
+            F.col("row_id").cast("long"), F.lit(None).cast("long").alias("col_id"), F.lit(None).cast("double").alias("value")))
+    path = scratch_path(v.sparkSession, "nmf_blocks")
+    dealt = entries.repartition(partitions_for(n_entries), "row_id").sortWithinPartitions("row_id", "col_id")
+    dealt.mapInArrow(lambda batches: _pack_rows(batches, block_entries), "ids binary, lens binary, cols binary, vals binary").write.parquet(path)
+    return v.sparkSession.read.schema("ids binary, lens binary, cols binary, vals binary").parquet(path)
+
+
+def least_squares(products: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """Rows x >= 0 that minimise x G xᵀ / 2 - b x, for a row b of ``products`` each (block principal pivoting).
+
+    Rows are solved together by the set of their positive components. A row whose
+    exchanges stop helping changes one component at a time, which ends."""
+    n, k = products.shape
+    gram = gram + np.eye(k) * (1e-14 * np.trace(gram) + np.finfo(float).tiny)
+    x, slope = np.zeros((n, k)), -products
+    positive = np.zeros((n, k), bool)
+    tries, fewest = np.full(n, 3), np.full(n, k + 1)
+    noise = 1e-12 * np.abs(products).max(axis=1, initial=0.0)[:, None]
+    power = 1 << np.arange(k)
+    for _ in range(100 * k):   # far beyond what exchanges take; what rounding keeps exchanging is about 0
+        wrong = np.where(positive, x < 0, slope < -noise)
+        count = wrong.sum(axis=1)
+        rows = np.flatnonzero(count)
+        if not len(rows):
+            return x
+        better = count[rows] < fewest[rows]
+        fewest[rows] = np.minimum(fewest[rows], count[rows])
+        single = ~better & (tries[rows] <= 0)
+        tries[rows] = np.where(better, 3, tries[rows] - 1)
+        change = wrong[rows]
+        last = k - 1 - change[:, ::-1].argmax(axis=1)
+        change[single] = np.arange(k) == last[single, None]
+        positive[rows] ^= change
+        codes = positive[rows] @ power
+        for code in np.unique(codes):
+            same = rows[codes == code]
+            on = positive[same[0]]
+            solved = np.zeros((len(same), k))
+            if on.any():
+                solved[:, on] = np.linalg.solve(gram[np.ix_(on, on)], products[np.ix_(same, on)].T).T
+            x[same], slope[same] = solved, np.where(on, 0.0, solved @ gram - products[same])
+    return np.maximum(x, 0.0)
 
-    Patients without entries keep empty arrays (their W update gives 0).
-    """
-    entries = F.collect_list(F.struct("col_id", "value"))
-    grouped = v_long.groupBy("row_id").agg(entries.alias("_e"))
-    rows = row_ids.select("row_id").join(grouped, "row_id", "left")
-    empty = F.array().cast("array<struct<col_id:bigint,value:double>>")
-    e = F.coalesce(F.col("_e"), empty)
-    return rows.select(
-        F.col("row_id").cast("long"),
-        F.transform(e, lambda x: x["col_id"].cast("long")).alias("cols"),
-        F.transform(e, lambda x: x["value"].cast("double")).alias("vals"),
-        F.array(*[init_value(F.col("row_id"), j, seed) for j in range(k)]).alias("w"))
-
-
-def _w_update(h_bc, hht: np.ndarray, eps: float):
-    """mapInPandas body: W <- W * (V Hᵀ) / (W HHᵀ + eps), row by row in numpy batches."""
-    def apply(batches):
-        h = h_bc.value
-        k = h.shape[1]
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                yield pdf
-                continue
-            lens = pdf["cols"].map(len).to_numpy()
-            total = int(lens.sum())
-            cols = np.concatenate(pdf["cols"].to_numpy()).astype(np.int64) if total else np.zeros(0, np.int64)
-            vals = np.concatenate(pdf["vals"].to_numpy()).astype(np.float64) if total else np.zeros(0)
-            owner = np.repeat(np.arange(n), lens)
-            vht = np.column_stack([np.bincount(owner, weights=vals * h[cols, j], minlength=n)
-                                   for j in range(k)])
-            w = np.stack(pdf["w"].to_numpy()).astype(np.float64)
-            w_new = w * vht / (w @ hht + eps)
-            yield pdf.assign(w=list(w_new))
-    return apply
-
-
-def _w_update_with_stats(h_bc, hht: np.ndarray, eps: float, n_cols: int):
-    """mapInPandas body: the W update, plus this partition's partial Wᵀ V and Wᵀ W.
-
-    Updated patient rows pass through unchanged in shape; after the last
-    batch one extra record (row_id -1) carries the partition's partial sums,
-    flattened: entry (c, j) of Wᵀ V at c * k + j, entry (a, b) of Wᵀ W at
-    n_cols * k + a * k + b. So the statistics of a round cost no second pass
-    over V, and at most (n_cols + k) * k numbers per partition are shuffled.
-    """
-    update = _w_update(h_bc, hht, eps)
-
-    def apply(batches):
-        k = hht.shape[0]
-        wtv = np.zeros((n_cols, k))
-        wtw = np.zeros((k, k))
-        for pdf in update(batches):
-            if len(pdf):
-                lens = pdf["cols"].map(len).to_numpy()
-                w = np.stack(pdf["w"].to_numpy()).astype(np.float64)
-                if lens.sum():
-                    cols = np.concatenate(pdf["cols"].to_numpy()).astype(np.int64)
-                    vals = np.concatenate(pdf["vals"].to_numpy()).astype(np.float64)
-                    owner = np.repeat(np.arange(len(pdf)), lens)
-                    for j in range(k):
-                        wtv[:, j] += np.bincount(cols, weights=vals * w[owner, j], minlength=n_cols)
-                wtw += w.T @ w
-            yield pdf
-        nz = np.nonzero(np.any(wtv != 0.0, axis=1))[0]
-        idx = np.concatenate([(nz[:, None] * k + np.arange(k)).ravel(), n_cols * k + np.arange(k * k)])
-        val = np.concatenate([wtv[nz].ravel(), wtw.ravel()])
-        yield pd.DataFrame({"row_id": [-1], "cols": [idx.astype(np.int64)], "vals": [val],
-                            "w": [np.zeros(0)]})
-    return apply
-
-
-def _partial_stats(out: DataFrame, k: int, n_cols: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sum the per-partition partial records (row_id -1) of a fused round by index."""
-    records = out.where(F.col("row_id") < 0).select(F.col("cols").alias("idx"), F.col("vals").alias("val"))
-    flat = mx.sum_partials(records, (n_cols + k) * k)
+
+@dataclass
+class Weights:
+    """How the W of a block follows from broadcast factors H: by replayed multiplicative updates, or exactly."""
+    k: int
+    seed: int
+    replayed: list[Broadcast] = field(default_factory=list)
+    exact: Broadcast | None = None
+
+    def of(self, block: Block) -> np.ndarray:
+        if self.exact is not None:
+            h = self.exact.value
+            return least_squares(block.times(h), h.T @ h)
+        w = init_matrix(block.ids, self.k, self.seed)
+        for shared in self.replayed:
+            h = shared.value
+            w = w * block.times(h) / (w @ (h.T @ h) + mx.EPS)
+        return w
+
+
+def round_products(blocks: DataFrame, weights: Weights, n_cols: int) -> tuple[np.ndarray, np.ndarray]:
+    """Wᵀ V (n_cols x k) and Wᵀ W (k x k) in one pass over the blocks and one job.
+
+    Entry (c, j) of Wᵀ V has index c * k + j, entry (a, b) of Wᵀ W n_cols * k + a * k + b."""
+    k = weights.k
+
+    def partial(batches):
+        wtv, wtw = np.zeros((n_cols, k)), np.zeros((k, k))
+        for block in _unpack(batches):
+            w = weights.of(block)
+            wtv += block.transpose_times(w, n_cols)
+            wtw += w.T @ w
+        flat = np.concatenate([wtv.ravel(), wtw.ravel()])
+        idx = np.flatnonzero(flat)
+        yield pa.RecordBatch.from_arrays([pa.array([idx], pa.list_(pa.int64())), pa.array([flat[idx]], pa.list_(pa.float64()))],
+                                         names=["idx", "val"])
+
+    flat = mx.sum_partials(blocks.mapInArrow(partial, "idx array<long>, val array<double>"), (n_cols + k) * k)
     return flat[: n_cols * k].reshape(n_cols, k), flat[n_cols * k:].reshape(k, k)
 
 
-def _row_stats(rows: DataFrame, k: int, n_cols: int) -> tuple[np.ndarray, np.ndarray]:
-    """Wᵀ V (n_cols x k) and Wᵀ W (k x k) of the current rows in ONE scan and ONE job.
+def row_factor(blocks: DataFrame, weights: Weights) -> DataFrame:
+    """(row_id, vec): the W of all rows."""
+    def rows(batches):
+        for block in _unpack(batches):
+            w = weights.of(block)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(block.ids), pa.ListArray.from_arrays(
+                    np.arange(len(w) + 1, dtype=np.int32) * w.shape[1], pa.array(w.ravel()))], names=["row_id", "vec"])
+
+    return blocks.mapInArrow(rows, "row_id long, vec array<double>")
 
-    Each V entry contributes v * w_j under its col_id; the first entry of
-    each patient row (or the single null record of an empty row) also
-    carries that row's k*k products w_a * w_b. Partial aggregation runs
-    map-side: at most n_cols + 1 keys per partition are shuffled and
-    n_cols + 1 rows (bounded by the dictionary) reach the driver.
-    """
-    w = F.col("w")
-    s_cols = [f"s{j}" for j in range(k)]
-    g_cols = [f"g{a}_{b}" for a in range(k) for b in range(k)]
-    ex = rows.select("w", F.posexplode_outer(F.arrays_zip("cols", "vals")).alias("pos", "e"))
-    first = F.col("pos").isNull() | (F.col("pos") == 0)
-    recs = ex.select(F.coalesce(F.col("e.cols"), F.lit(-1).cast("long")).alias("key"),
-                     *[(F.col("e.vals") * w[j]).alias(c) for j, c in enumerate(s_cols)],
-                     *[F.when(first, w[a] * w[b]).alias(f"g{a}_{b}") for a in range(k) for b in range(k)])
-    out = recs.groupBy("key").agg(*[F.sum(c).alias(c) for c in s_cols + g_cols]).fillna(0.0).toPandas()
-    real = out[out["key"] >= 0]
-    wtv = np.zeros((n_cols, k))
-    wtv[real["key"].to_numpy()] = real[s_cols].to_numpy()
-    wtw = out[g_cols].to_numpy().sum(axis=0).reshape(k, k)
-    return wtv, wtw
-
-
-def _error(sq: float, h: np.ndarray, wtv: np.ndarray, wtw: np.ndarray, hht: np.ndarray) -> float:
-    return float(sq - 2.0 * np.sum(h * wtv) + np.sum(wtw * hht))
+
+def _error(sq: float, h: np.ndarray, wtv: np.ndarray, wtw: np.ndarray) -> float:
+    return float(sq - 2.0 * np.sum(h * wtv) + np.sum(wtw * (h.T @ h)))
+
+
+def extrapolated(tried: list[np.ndarray], reached: list[np.ndarray]) -> np.ndarray:
+    """The next H to try: the mix of the last rounds' results whose changes cancel best (Anderson's), made non-negative."""
+    if len(tried) < 2:
+        return reached[-1]
+    change = np.array([(r - t).ravel() for t, r in zip(tried, reached, strict=True)]).T
+    ends = np.array([r.ravel() for r in reached]).T
+    mix = np.linalg.lstsq(np.diff(change), change[:, -1], rcond=1e-10)[0]
+    return np.maximum(ends[:, -1] - np.diff(ends) @ mix, 0.0).reshape(reached[-1].shape)
+
+
+def _unit_columns(h: np.ndarray) -> np.ndarray:
+    size = np.linalg.norm(h, axis=0)
+    return h / np.where(size > 0, size, 1.0)
 
 
 def run(v_long: DataFrame, k: int, max_iterations: int = 100, tol: float = 1e-4, seed: int = 8803,
-        row_ids: DataFrame | None = None, n_cols: int | None = None,
-        checkpoint_interval: int = CHECKPOINT_INTERVAL) -> NMFResult:
+        row_ids: DataFrame | None = None, n_cols: int | None = None, plain_rounds: int = PLAIN_ROUNDS) -> NMFResult:
     """M7: NMF of V = (row_id, col_id, value) with dense col ids 0..n_cols-1.
 
     Stop rule: the error changes by no more than ``tol`` (absolutely) in a
-    round, or ``max_iterations`` rounds are done. A relative rule would end on
-    the first plateau, long before the factors settle.
+    round, or ``max_iterations`` passes over V are done. A relative rule would end on
+    the first plateau, long before the factors settle. ``errors`` holds the start's
+    error and that of each round that lowered it.
     """
     spark = v_long.sparkSession
-    if n_cols is None:
-        n_cols = int(v_long.agg(F.max("col_id")).first()[0]) + 1
     v = v_long.select("row_id", "col_id", F.col("value").cast("double"))
-    ids = materialize(row_ids if row_ids is not None else v.select("row_id").distinct())
-    # one partition per ROWS_PER_PARTITION patients: every round is one pass over these rows
-    n_parts = partitions_for(ids.count(), ROWS_PER_PARTITION)
-    rows = cut_lineage(patient_rows(v, ids, k, seed).repartition(n_parts, "row_id").sortWithinPartitions("row_id"))
-    ids.unpersist()
-    sq = float(rows.select(F.aggregate("vals", F.lit(0.0), lambda acc, x: acc + x * x).alias("s"))
-               .agg(F.sum("s")).first()[0] or 0.0)
+    facts = v.agg(F.count("*").alias("n"), F.max("col_id").alias("last"), F.sum(F.col("value") * F.col("value")).alias("sq")).first()
+    n_cols = int(facts["last"]) + 1 if n_cols is None else n_cols
+    sq = facts["sq"] or 0.0
+    blocks = lay_out(v, facts["n"], row_ids).persist(StorageLevel.MEMORY_AND_DISK)
+    share = spark.sparkContext.broadcast
+    start = Weights(k, seed)
     h = init_matrix(np.arange(n_cols), k, seed + H_SALT)
-    wtv, wtw = _row_stats(rows, k, n_cols)
-    hht = h.T @ h
-    err = _error(sq, h, wtv, wtw, hht)
-    errors, it = [err], 0
-    live_broadcasts, prev = [], None
-    sc = spark.sparkContext
-    while it < max_iterations:
-        it += 1
-        h = h * wtv / (h @ wtw + mx.EPS)          # H update (model-sized, driver)
-        hht = h.T @ h
-        h_bc = sc.broadcast(h)
-        live_broadcasts.append(h_bc)
-        out = rows.mapInPandas(_w_update_with_stats(h_bc, hht, mx.EPS, n_cols), ROW_SCHEMA)
-        if it % checkpoint_interval == 0:
-            out = cut_lineage(out)                 # lineage cut: older broadcasts no longer needed
-            for b in live_broadcasts[:-1]:
-                b.unpersist()
-            live_broadcasts = live_broadcasts[-1:]
+    wtv, wtw = round_products(blocks, start, n_cols)
+    errors, it, plain = [_error(sq, h, wtv, wtw)], 0, Weights(k, seed)
+    best, settled = plain, False
+    while it < max_iterations and not settled:
+        while it < max_iterations and len(plain.replayed) < plain_rounds and not settled:
+            it += 1
+            h = h * wtv / (h @ wtw + mx.EPS)
+            plain.replayed.append(share(h))
+            wtv, wtw = round_products(blocks, plain, n_cols)
+            errors.append(_error(sq, h, wtv, wtw))
+            settled = abs(errors[-2] - errors[-1]) <= tol
+        best = plain
+        if settled or it >= max_iterations:
+            break
+        used, h_exact, exact_errors, emptied, settled = _exact_rounds(
+            blocks, sq, h, errors[-1], k, seed, n_cols, max_iterations - it, tol,
+            may_empty=2 * len(plain.replayed) >= max_iterations)
+        it += used
+        if emptied:
+            plain_rounds *= 2
         else:
-            out = out.cache()
-        wtv, wtw = _partial_stats(out, k, n_cols)   # the one job of the round (fills the cache)
-        if prev is not None:
-            prev.unpersist()
-        prev = out if out.is_cached else None
-        rows = out.where(F.col("row_id") >= 0)
-        new_err = _error(sq, h, wtv, wtw, hht)
-        errors.append(new_err)
-        change, err = abs(err - new_err), new_err
-        if change <= tol:
+            errors += exact_errors
+            if exact_errors:
+                best, h = Weights(k, seed, exact=share(h_exact)), h_exact
             break
-    w_df = rows.select("row_id", F.col("w").alias("vec"))
+    if best.exact is not None:
+        for unused in plain.replayed:
+            unused.unpersist()
+    blocks.unpersist()   # W, read once or twice, comes from the written blocks
+    w_df = row_factor(blocks, best)
     h_df = spark.createDataFrame([(i, [float(x) for x in h[i]]) for i in range(n_cols)],
                                  "col_id long, vec array<double>")   # k x features model
     return NMFResult(w=w_df, h=h_df, errors=errors, iterations=it)
+
+
+def _exact_rounds(blocks: DataFrame, sq: float, h: np.ndarray, error: float, k: int, seed: int, n_cols: int,
+                  rounds: int, tol: float, may_empty: bool) -> tuple[int, np.ndarray, list[float], bool, bool]:
+    """(rounds used, H, errors, a component was emptied, settled): exact minimisation from H on.
+
+    A round solves W for the H tried and H for that W. Columns of H have length 1, W takes their size."""
+    share = blocks.sparkSession.sparkContext.broadcast
+    alive = np.linalg.norm(h, axis=0) > 0
+    reached = _unit_columns(h)
+    attempt, errors, tried, ends = reached, [], [], []
+    for used in range(1, rounds + 1):
+        shared = share(attempt)
+        wtv, wtw = round_products(blocks, Weights(k, seed, exact=shared), n_cols)
+        shared.unpersist()
+        solved = least_squares(wtv, wtw)
+        if not may_empty and (alive & (np.linalg.norm(solved, axis=0) == 0)).any():
+            return used, reached, errors, True, False
+        now = _error(sq, solved, wtv, wtw)
+        if now > error and attempt is not reached:   # the extrapolation went too far
+            attempt, tried, ends = reached, [], []
+            continue
+        tried, ends = [*tried, attempt][-MEMORY:], [*ends, _unit_columns(solved)][-MEMORY:]
+        reached, change, error = ends[-1], error - now, now
+        errors.append(now)
+        if change <= tol:
+            return used, reached, errors, False, True
+        attempt = extrapolated(tried, ends)
+    return rounds, reached, errors, False, False

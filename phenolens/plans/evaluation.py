@@ -32,7 +32,6 @@ from phenolens.streaming import kmeans as sk
 ALGORITHMS = ("kmeans", "gmm", "streaming_kmeans", "nmf")
 NMF_K, NMF_MAX_ITERATIONS, NMF_TOL = 3, 100, 1e-4   # FIXED VALUES of the NMF run
 STREAM_BATCHES = 4            # micro-batches of the replayed stream, dealt by patient
-ROWS_PER_PARTITION = 50_000   # patient rows per partition for the iterative fits
 
 
 @dataclass
@@ -67,7 +66,7 @@ def prepare(tuples: DataFrame, sparse: bool = True) -> ClusteringInputs:
     does. Both give the same components up to the sign of each principal axis.
 
     Rows are dealt by patient into partitions whose number follows from the
-    patients alone and sorted in them: fits that sample per partition then give
+    matrix's entries alone and sorted in them: fits that sample per partition then give
     the same model on any number of cores.
     """
     inputs = feature_inputs(tuples)
@@ -75,8 +74,9 @@ def prepare(tuples: DataFrame, sparse: bool = True) -> ClusteringInputs:
     if not n:
         return inputs
     patients = inputs.long.select("patient_id").distinct().count()
+    parts = partitions_for(inputs.long.count())
     rows = fe.sparse_feature_arrays(inputs.long) if sparse else fe.dense_feature_vectors(inputs.long, n)
-    rows = materialize(rows.repartition(partitions_for(patients, ROWS_PER_PARTITION), "patient_id")
+    rows = materialize(rows.repartition(parts, "patient_id")
                        .sortWithinPartitions("patient_id"))
     if sparse:
         reduced, _ = rd.sparse_pca(rows, rd.column_stats(inputs.long, patients, n))

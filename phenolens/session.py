@@ -84,10 +84,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return df
 
 
-def partitions_for(rows: int, rows_per_partition: int) -> int:
-    """Partitions of ``rows_per_partition`` rows: from the data alone, so that
-    what is fitted on them is the same on any number of cores."""
-    return max(1, -(-rows // rows_per_partition))
+#: Entries of a partition while there are few partitions, the most partitions of that size, and entries of larger ones.
+SMALL_PARTITION, SMALL_PARTITIONS, LARGE_PARTITION = 50_000, 4096, 10_000_000
+
+
+def partitions_for(entries: int) -> int:
+    """Partitions for a matrix of so many entries: from the data alone, so that
+    what is fitted on them is the same on any number of cores. Partitions stay
+    small (short tasks for every core) until there are thousands of them, and grow then."""
+    return max(1, min(-(-entries // SMALL_PARTITION), max(SMALL_PARTITIONS, -(-entries // LARGE_PARTITION))))
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:

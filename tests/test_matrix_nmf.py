@@ -157,3 +157,67 @@ def test_leading_components_with_restarts():
     for size in (1, 2, 5):
         values, vectors = rd.leading_components(lambda b: np.diag(np.arange(size) * 1.0) @ b, size, min(k, size))
         assert np.allclose(values, np.arange(size)[::-1][:k])
+
+
+def test_least_squares_against_every_support():
+    """Each row's solution against the best over all sets of positive components."""
+    from itertools import product
+    for k in (1, 2, 4):
+        f = RNG.normal(size=(9, k))
+        f[:, -1] = f[:, 0] * 0.999 + 0.001 * f[:, -1] if k > 1 else f[:, -1]   # nearly alike
+        g, b = f.T @ f, RNG.normal(size=(60, 9)) @ f
+        x = nmf.least_squares(b, g)
+        value = 0.5 * np.einsum("ni,ij,nj->n", x, g, x) - (b * x).sum(axis=1)
+        best = np.zeros(60)
+        for on in product([False, True], repeat=k):
+            on = np.array(on)
+            if on.any():
+                s = np.linalg.solve(g[np.ix_(on, on)], b[:, on].T).T
+                v = -0.5 * (b[:, on] * s).sum(axis=1)
+                best = np.where((s >= 0).all(axis=1), np.minimum(best, v), best)
+        assert (x >= 0).all() and np.allclose(value, best, atol=1e-7)
+    assert (nmf.least_squares(np.array([[-1.0, -2.0]]), np.eye(2)) == 0).all()
+    assert np.isfinite(nmf.least_squares(np.zeros((2, 2)), np.zeros((2, 2)))).all()
+
+
+def test_nmf_settles_on_the_patients(spark):
+    """Ends by its tolerance, all clusters populated, error below what 100 multiplicative rounds reach (5.17e6)."""
+    from conftest import SF
+    from phenolens.plans import evaluation as ev
+    from phenolens.plans.catalog import feature_tuples
+    inputs = ev.feature_inputs(feature_tuples(spark, SF["0.01"]))
+    clusters, res = ev.nmf_clusters(inputs)
+    assert res.iterations < 100 and abs(res.errors[-1] - res.errors[-2]) <= ev.NMF_TOL
+    assert res.errors[-1] < 5.1e6 and all(b <= a * (1 + 1e-12) for a, b in zip(res.errors, res.errors[1:]))
+    assert len({r["cluster"] for r in clusters.select("cluster").distinct().collect()}) == 3
+    v, _ = ev.nmf_input(inputs)
+    w, h = res.w.withColumnRenamed("vec", "w"), res.h.withColumnRenamed("vec", "h")
+    dot = F.aggregate(F.zip_with("w", "h", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    cross, norm = (v.join(w, "row_id").join(F.broadcast(h), "col_id").select((F.col("value") * dot).alias("c"))
+                   .agg(F.sum("c")).first()[0], mx.squared_norm(v))
+    trace = sum(a * b for x, y in zip(mx.gram(res.w, 3), mx.gram(res.h, 3)) for a, b in zip(x, y))
+    assert np.isclose(norm - 2 * cross + trace, res.errors[-1], rtol=1e-6)   # the factors have the error that is told
+    inputs.release()
+
+
+def test_a_round_writes_nothing(spark):
+    """A round's job is one pass over the written blocks whose partial sums are all that is shuffled."""
+    v = long_df(spark, GROUPED)
+    blocks = nmf.lay_out(v, v.count())
+    h = spark.sparkContext.broadcast(np.ones((4, 2)))
+    for weights in (nmf.Weights(2, 1), nmf.Weights(2, 1, [h, h]), nmf.Weights(2, 1, exact=h)):
+        wtv, wtw = nmf.round_products(blocks, weights, 4)
+        w = dense(nmf.row_factor(blocks, weights), "row_id", 5, 2)
+        assert np.allclose(wtv, np.array(GROUPED).T @ w) and np.allclose(wtw, w.T @ w)
+    plan = nmf.row_factor(blocks, weights)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "nmf_blocks" in plan
+
+
+def test_rows_without_entries_and_long_rows(spark):
+    rows = [[1.0, 2, 3, 4], [0, 0, 0, 0], [2, 0, 0, 1], [0, 5, 0, 0]]
+    v = long_df(spark, rows).where(F.col("value") != 0)
+    ids = spark.range(4).withColumnRenamed("id", "row_id")
+    blocks = nmf.lay_out(v, v.count(), ids, block_entries=3)
+    assert blocks.count() >= 3   # the row with four entries is one of its own
+    res = nmf.run(v, 2, 30, n_cols=4, row_ids=ids)
+    assert res.w.count() == 4 and {r["row_id"]: r["vec"] for r in res.w.collect()}[1] == [0.0, 0.0]
