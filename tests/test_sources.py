@@ -76,3 +76,20 @@ def test_candidate_list_lowercased_not_trimmed(spark, tmp_path):
     p = write(tmp_path, "med_filter.txt", "Metformin\nmetformin\nGlucatrol \n")
     got = sorted(r["name"] for r in ca.load_candidate_list(spark, p).collect())
     assert got == ["glucatrol ", "metformin"]
+
+
+def test_quarantine_holds_every_dropped_row(spark, tmp_path):
+    write(tmp_path, cs.MEDICATION_FILE, "Member_ID,Order_Date,Drug_Name\nm,2010-01-01T10:00:00Z,x\n,bad,y\nm\nm,2010-01-01,z\n")
+    write(tmp_path, cs.LAB_FILE, "Member_ID,Date_Resulted,Result_Name,Numeric_Result\n"
+          "m,2010-01-01T10:00:00Z,n,\"1,2\"\nm,2010-01-01T10:00:00Z,n,5\nm,no,n,5,6\n")
+    write(tmp_path, cs.DX_FILE, "Encounter_ID,code\ne,\ne,250.00\nlost,250.00\nf,401.9\n")
+    write(tmp_path, cs.ENCOUNTER_FILE, "Encounter_ID,Member_ID,Encounter_DateTime\ne,m,2010-01-01T10:00:00Z\nf,,2010-01-01T10:00:00Z\n")
+    got = {(r["source"], r["reason"], r["line"], r["row"]): r["file"] for r in cs.quarantine(spark, str(tmp_path)).collect()}
+    assert set(got) == {
+        ("medication", "patient", ",bad,y", 2), ("medication", "malformed", "m", 3), ("medication", "date", "m,2010-01-01,z", 4),
+        ("lab", "value", "m,2010-01-01T10:00:00Z,n,\"1,2\"", 1), ("lab", "malformed", "m,no,n,5,6", 3),
+        ("diagnostic", "name", "e,", 1), ("diagnostic", "orphan", "lost,250.00", 3), ("diagnostic", "patient", "f,401.9", 4),
+        ("encounter", "patient", "f,,2010-01-01T10:00:00Z", 2)}
+    assert all(f.startswith("file:") for f in got.values())
+    counts = {(r["source"], r["reason"]): r["n_rows"] for r in cs.rejected_rows(spark, str(tmp_path)).collect()}
+    assert counts[("diagnostic", "orphan")] == 1
