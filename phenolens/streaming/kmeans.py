@@ -9,17 +9,23 @@ Model: k centres with weights. For each micro-batch (decay a):
 
 Execution: ``readStream`` -> ``foreachBatch``. Per batch the rows are
 assigned with a literal-centre expression (no join), the per-(cluster, dim)
-sums are partial aggregates (k * dim numbers reach the driver), and the new
-state is appended to a Parquet state table keyed by batch id in the shared
-checkpoint folder. A batch id at or below the last stored version is
-skipped, so a batch replayed after a failure is applied exactly once; a
-restarted driver resumes from the newest stored version.
+sums are partial aggregates (k * dim numbers reach the driver). A batch with more
+than ``max_rows`` rows is taken in parts, dealt by a hash of the rows' key, so what
+one update takes is bounded however many files have come in.
+
+After each part the new state is written to a folder of its own and committed by
+renaming it to a version; the newest versions stay, older ones are deleted. A
+restarted driver resumes from the newest version: what was written but not
+committed is done again, what was committed is skipped, so every part is applied
+exactly once.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,14 +46,18 @@ STATE_SCHEMA = T.StructType([
     T.StructField("cluster", T.IntegerType(), False),
     T.StructField("center", T.ArrayType(T.DoubleType()), False),
     T.StructField("weight", T.DoubleType(), False),
+    T.StructField("done", T.IntegerType(), False),
 ])
+#: Versions of the state that stay: the newest, and one more for a reader that has just listed them.
+VERSIONS = 2
 
 
 @dataclass
 class KMeansState:
     centers: list[list[float]]
     weights: list[float]
-    batch_id: int = -1
+    batch_id: int = -1   # the batch that was last applied, or begun
+    done: int = 0        # how many of its parts have been applied
 
 
 def center_value(cluster: Column, dim: Column, seed: int) -> Column:
@@ -99,7 +109,7 @@ def center_update(batch: DataFrame, features_col: str, state: KMeansState, decay
 
 
 def apply_update(batch: DataFrame, features_col: str, state: KMeansState, decay: float,
-                 batch_id: int) -> KMeansState:
+                 batch_id: int, done: int = 1) -> KMeansState:
     rows = batch_sums(batch, features_col, state.centers).collect()   # <= k * dim rows
     k, dim = len(state.centers), len(state.centers[0])
     sums = [[0.0] * dim for _ in range(k)]
@@ -117,40 +127,63 @@ def apply_update(batch: DataFrame, features_col: str, state: KMeansState, decay:
         else:
             centers.append(list(state.centers[i]))
         weights.append(n + m)
-    return KMeansState(centers=centers, weights=weights, batch_id=batch_id)
+    return KMeansState(centers=centers, weights=weights, batch_id=batch_id, done=done)
 
 
-def _write_state(spark: SparkSession, state: KMeansState, path: str) -> None:
-    rows = [(state.batch_id, i, [float(x) for x in c], float(w))
+def _files(spark: SparkSession, path: str):
+    """The file system of ``path`` and a way to name paths on it."""
+    name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return name(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), name
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Committed versions under ``path``, the oldest first."""
+    fs, name = _files(spark, path)
+    if not fs.exists(name(path)):
+        return []
+    return sorted(n for n in (s.getPath().getName() for s in fs.listStatus(name(path))) if n.startswith("v"))
+
+
+def write_state(spark: SparkSession, state: KMeansState, path: str) -> str:
+    """Write the state to a folder that no reader looks at; returns it."""
+    rows = [(state.batch_id, i, [float(x) for x in c], float(w), state.done)
             for i, (c, w) in enumerate(zip(state.centers, state.weights))]
-    spark.createDataFrame(rows, STATE_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    written = f"{path}/tmp-{uuid.uuid4().hex}"
+    spark.createDataFrame(rows, STATE_SCHEMA).coalesce(1).write.parquet(written)
+    return written
+
+
+def commit_state(spark: SparkSession, state: KMeansState, path: str, written: str) -> None:
+    """Make a written state the newest version by renaming it, and delete what is older than the newest versions.
+
+    Also folders that were written and never committed are deleted: only one driver works on a path."""
+    fs, name = _files(spark, path)
+    version = f"v{state.batch_id + 1:012d}-{state.done:09d}"
+    if not fs.rename(name(written), name(f"{path}/{version}")):
+        raise OSError(f"{written} can't be renamed to {version}")
+    keep = set(versions(spark, path)[-VERSIONS:])
+    for status in fs.listStatus(name(path)):
+        if status.getPath().getName() not in keep:
+            fs.delete(status.getPath(), True)
 
 
 def read_latest_state(spark: SparkSession, path: str) -> KMeansState | None:
-    if not _exists(spark, path):
-        return None
-    st = spark.read.schema(STATE_SCHEMA).parquet(path)
-    latest = st.agg(F.max("batch_id")).first()[0]
-    if latest is None:
+    found = versions(spark, path)
+    if not found:
         return None
-    rows = st.where(F.col("batch_id") == latest).orderBy("cluster").collect()   # k rows
+    rows = spark.read.schema(STATE_SCHEMA).parquet(f"{path}/{found[-1]}").orderBy("cluster").collect()   # k rows
     return KMeansState(centers=[list(r["center"]) for r in rows], weights=[r["weight"] for r in rows],
-                       batch_id=int(latest))
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
+                       batch_id=rows[0]["batch_id"], done=rows[0]["done"])
 
 
 def run_stream(spark: SparkSession, source_path: str, schema: T.StructType, features_col: str,
-               start: KMeansState, decay: float = DECAY, work_path: str | None = None) -> KMeansState:
+               start: KMeansState, decay: float = DECAY, work_path: str | None = None,
+               max_rows: int | None = None, key_col: str | None = None) -> KMeansState:
     """Train on the files under ``source_path`` that the stream hasn't seen, as one micro-batch.
 
-    ``work_path`` (default: a fresh folder under the shared checkpoint dir)
-    holds the stream checkpoint and the versioned state table; pass the same
+    With ``max_rows`` the batch is applied in as few parts as hold that many rows on average; a row's part follows
+    from the hash of ``key_col`` (the first column if not given). ``work_path`` (default: a fresh folder under
+    the shared checkpoint dir) holds the stream checkpoint and the versions of the state; pass the same
     path again for the next files, or to resume after a failure.
     """
     work = work_path or scratch_path(spark, "streaming-kmeans")
@@ -158,15 +191,24 @@ def run_stream(spark: SparkSession, source_path: str, schema: T.StructType, feat
     current = read_latest_state(spark, state_path)
     if current is None:
         current = start
-        _write_state(spark, current, state_path)
+        commit_state(spark, current, state_path, write_state(spark, current, state_path))
     holder = {"state": current}
+    key = F.col(key_col or schema.names[0])
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        if batch_id <= holder["state"].batch_id:   # replayed batch: already applied
-            return
-        new = apply_update(df, features_col, holder["state"], decay, batch_id)
-        _write_state(df.sparkSession, new, state_path)
-        holder["state"] = new
+        state = holder["state"]
+        parts = 1
+        if max_rows:
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)
+            parts = max(1, -(-df.count() // max_rows))
+        applied = parts if batch_id < state.batch_id else state.done if batch_id == state.batch_id else 0
+        for part in range(applied, parts):   # a replayed batch goes on where it was committed
+            own = df.where(F.pmod(F.xxhash64(key), F.lit(parts)) == part) if parts > 1 else df
+            state = apply_update(own, features_col, state, decay, batch_id, part + 1)
+            commit_state(df.sparkSession, state, state_path, write_state(df.sparkSession, state, state_path))
+            holder["state"] = state
+        if max_rows:
+            df.unpersist()
 
     q = (spark.readStream.schema(schema).parquet(source_path).writeStream.foreachBatch(on_batch)
          .option("checkpointLocation", f"{work}/checkpoint")
@@ -197,4 +239,4 @@ def assign(df: DataFrame, features_col: str, state: KMeansState) -> DataFrame:
 
 
 __all__ = ["KMeansState", "random_centers", "center_update", "apply_update", "run_stream",
-           "replay", "assign", "read_latest_state", "batch_sums"]
+           "replay", "assign", "read_latest_state", "versions", "batch_sums"]

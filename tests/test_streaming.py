@@ -1,5 +1,8 @@
 """Streaming k-means: update rule, replay idempotence, driver-table run."""
+import os
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,3 +74,42 @@ def test_random_centers_deterministic(spark):
     assert all(-1 <= x <= 1 for c in a.centers for x in c)
     assign = sk.assign(points(spark, [[0] * 10]), "x", a).select("cluster").first()[0]
     assert assign in (0, 1, 2)
+
+
+def test_killed_between_write_and_commit(spark, monkeypatch):
+    """The driver dies after a part's state is written, before it is committed: it goes on with the same part."""
+    rng = np.random.default_rng(9)
+    df = points(spark, rng.normal(size=(300, 2)).tolist())
+    src = scratch_path(spark, "source")
+    df.repartition(5).write.parquet(src)
+    start = sk.KMeansState(centers=[[1.0, 1.0], [-1.0, -1.0]], weights=[1.0, 1.0])
+    whole = sk.run_stream(spark, src, SCHEMA, "x", start, 0.7, scratch_path(spark, "whole"), max_rows=50)
+    assert whole.done == 6
+    work, real, calls = scratch_path(spark, "killed"), sk.commit_state, []
+
+    def dies(session, state, path, written):
+        calls.append(state.done)
+        if len(calls) == 4:
+            raise RuntimeError("killed")
+        real(session, state, path, written)
+
+    monkeypatch.setattr(sk, "commit_state", dies)
+    with pytest.raises(Exception, match="killed"):
+        sk.run_stream(spark, src, SCHEMA, "x", start, 0.7, work, max_rows=50)
+    monkeypatch.setattr(sk, "commit_state", real)
+    assert sk.read_latest_state(spark, f"{work}/state").done == 2
+    again = sk.run_stream(spark, src, SCHEMA, "x", start, 0.7, work, max_rows=50)
+    assert np.allclose(again.centers, whole.centers, atol=1e-12) and again.weights == whole.weights
+    assert len(sk.versions(spark, f"{work}/state")) == sk.VERSIONS
+    assert len(os.listdir(f"{work.removeprefix('file:')}/state")) == sk.VERSIONS    # nothing uncommitted stays
+
+
+def test_number_of_state_files_is_bounded(spark):
+    df = points(spark, [[i % 7, i % 5] for i in range(60)])
+    src, work = scratch_path(spark, "source"), scratch_path(spark, "bounded")
+    start, counts = sk.KMeansState(centers=[[1.0, 1.0], [5.0, 5.0]], weights=[1.0, 1.0]), []
+    for i in range(4):
+        df.where(F.col("id") % 4 == i).write.mode("append").parquet(src)
+        state = sk.run_stream(spark, src, SCHEMA, "x", start, work_path=work)
+        counts.append(sum(len(f) for _, _, f in os.walk(f"{work.removeprefix('file:')}/state")))
+    assert state.batch_id == 3 and sum(state.weights) == 62 and counts[-1] == counts[1]
