@@ -116,6 +116,27 @@ def covariance_times(rows: DataFrame, stats: ColumnStats, q: np.ndarray) -> np.n
 SUBSPACE_TOL, SUBSPACE_ROUNDS, SUBSPACE_SEED = 1e-11, 200, 8803
 
 
+def ritz(basis: np.ndarray, image: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Eigenvalues (falling) and eigenvectors that a symmetric matrix has within an orthonormal basis, and the
+    vectors' images, from the basis' image."""
+    small = basis.T @ image
+    values, y = np.linalg.eigh((small + small.T) / 2)
+    values, y = values[::-1], y[:, ::-1]
+    return values, basis @ y, image @ y
+
+
+def _signed(vectors: np.ndarray) -> np.ndarray:
+    """Each vector with its largest entry positive."""
+    return vectors * np.where(vectors[np.abs(vectors).argmax(axis=0), np.arange(vectors.shape[1])] < 0, -1.0, 1.0)
+
+
+def rayleigh_ritz(times: Callable[[np.ndarray], np.ndarray], block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One step: orthonormalise a block, project the matrix on it, rotate. (Ritz values, Ritz vectors)"""
+    basis = np.linalg.qr(block)[0]
+    values, vectors, _ = ritz(basis, times(basis))
+    return values, _signed(vectors)
+
+
 def leading_components(times: Callable[[np.ndarray], np.ndarray], n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The k largest eigenvalues of a symmetric n x n matrix, given as a product, and their vectors.
 
@@ -125,10 +146,7 @@ def leading_components(times: Callable[[np.ndarray], np.ndarray], n: int, k: int
     basis = np.linalg.qr(np.random.default_rng(SUBSPACE_SEED).standard_normal((n, block)))[0]
     image = times(basis)
     for _ in range(SUBSPACE_ROUNDS):
-        small = basis.T @ image
-        values, y = np.linalg.eigh((small + small.T) / 2)
-        values, y = values[::-1], y[:, ::-1]
-        vectors, images = basis @ y, image @ y
+        values, vectors, images = ritz(basis, image)
         rest = images[:, :block] - vectors[:, :block] * values[:block]
         if np.linalg.norm(rest[:, :k], axis=0).max() <= SUBSPACE_TOL * max(values[0], 1.0):
             break
@@ -142,8 +160,7 @@ def leading_components(times: Callable[[np.ndarray], np.ndarray], n: int, k: int
             break
         u = np.linalg.qr(u - basis @ (basis.T @ u))[0]
         basis, image = np.hstack([basis, u]), np.hstack([image, times(u)])
-    top = vectors[:, :k]
-    return values[:k], top * np.where(top[np.abs(top).argmax(axis=0), np.arange(top.shape[1])] < 0, -1.0, 1.0)
+    return values[:k], _signed(vectors[:, :k])
 
 
 def sparse_pca(rows: DataFrame, stats: ColumnStats, k: int = N_COMPONENTS, output_col: str = "pca"):

@@ -21,6 +21,7 @@ from phenolens.plans import oracle as o
 from phenolens.session import materialize, scratch_path
 from phenolens.sources import candidates as ca
 from phenolens.sources import csv as cs
+from phenolens.sources import staged as sd
 from phenolens.sources import starschema as ss
 from phenolens.sources.tables import read_table
 
@@ -125,6 +126,22 @@ def q_load_diagnostic(spark, sf_dir):
     return ss.diagnostic(spark, sf_dir)
 
 
+def staged_tables(spark: SparkSession, sf_dir: str) -> sd.Staged:
+    """The adapter's tables, staged in the shared folder."""
+    encounter = ss.encounters(spark, sf_dir).withColumnRenamed("encounter_ts", "event_ts")
+    return sd.stage(encounter, ss.encounter_dx(spark, sf_dir), ss.medication(spark, sf_dir), ss.lab(spark, sf_dir))
+
+
+@register("staged_diagnostic", o.base("SELECT patient_id, event_ts, code FROM diagnostic"))
+def q_staged_diagnostic(spark, sf_dir):
+    return staged_tables(spark, sf_dir).diagnostic()
+
+
+@register("staged_labels", o.labelled("SELECT patient_id, label FROM labels"))
+def q_staged_labels(spark, sf_dir):
+    return staged_tables(spark, sf_dir).labels()
+
+
 # The adapter's rows as clinical extracts, with broken copies of some of them: read back by the CSV loaders.
 
 _SECOND = "date_trunc('second', {0})"
@@ -183,6 +200,26 @@ def q_csv_rejects(spark, sf_dir):
     return cs.rejected_rows(spark, write_extracts(spark, sf_dir))
 
 
+_STAMP = "strftime({0}, '%Y-%m-%dT%H:%M:%SZ')"
+
+
+@register("csv_quarantine", o.base(f"""
+SELECT 'medication' AS source, 'date' AS reason, patient_id || ',2010-13-45,' || medicine AS line FROM medication WHERE {_BROKEN}
+UNION ALL SELECT 'medication', 'malformed', CAST(c_custkey AS VARCHAR) FROM customer
+UNION ALL SELECT 'lab', 'value', patient_id || ',' || {_STAMP.format('event_ts')} || ',' || test_name || ',"1,234"'
+FROM lab WHERE {_BROKEN}
+UNION ALL SELECT 'diagnostic', 'orphan', 'X' || encounter_id || ',' || code FROM edx WHERE encounter_id % 97 = 0"""))
+def q_csv_quarantine(spark, sf_dir):
+    """Every row that the CSV loaders drop, with its reason: also short lines, and diagnoses without encounter."""
+    base = write_extracts(spark, sf_dir)
+    short = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("Member_ID"))   # one field instead of three
+    short.write.mode("append").option("header", True).csv(f"{base}/{cs.MEDICATION_FILE}")
+    orphans = ss.encounter_dx(spark, sf_dir).where(F.col("encounter_id") % 97 == 0).select(
+        F.concat(F.lit("X"), "encounter_id").alias("Encounter_ID"), "code")
+    orphans.write.mode("append").option("header", True).csv(f"{base}/{cs.DX_FILE}")
+    return cs.quarantine(spark, base).select("source", "reason", "line")
+
+
 def _candidate_sql() -> str:
     t12 = rules.sql_list(rules.T1DM_DX + rules.T2DM_DX)
     dmrel = rules.sql_list(rules.DM_RELATED_DX)

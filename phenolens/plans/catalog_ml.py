@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from phenolens.operators import clustering as cl
 from phenolens.operators import features as fe
 from phenolens.operators import matrix as mx
 from phenolens.operators import nmf
@@ -126,6 +127,15 @@ def _init_sql(ids: str, j: str, salt: int) -> str:
             f" / {float(nmf.LCG_MOD + 1)}")
 
 
+EMB_DIM = 64
+
+
+def _centers_sql(k: int, dim: int, seed: int) -> str:
+    val = _init_sql(f"(k * 1000003 + d)", "0", seed)
+    return (f"ctr AS (SELECT CAST(k AS INTEGER) AS k, CAST(d AS INTEGER) AS d, 2.0 * {val} - 1.0 AS c "
+            f"FROM (SELECT k, unnest(range({dim})) AS d FROM (SELECT unnest(range({k})) AS k)))")
+
+
 def nmf_ctes(k: int = K, seed: int = SEED) -> str:
     return f"""
 rid AS (SELECT patient_id, CAST(DENSE_RANK() OVER (ORDER BY patient_id) - 1 AS BIGINT) AS row_id
@@ -279,6 +289,120 @@ def q_covariance_product(spark, sf_dir):
                                        "col_id long, vec array<double>"), "col_id")   # features x 3
 
 
+@register("pca_step", o.with_ctes(o.adapter_ctes(), tuples_sql(), SCALED_CTES, nmf_ctes(), """
+n1 AS (SELECT col_id, h / SQRT(SUM(h * h) OVER ()) AS q FROM h0 WHERE j = 0),
+r2 AS (SELECT h0.col_id, h0.h - n1.q * SUM(h0.h * n1.q) OVER () AS r FROM h0 JOIN n1 USING (col_id) WHERE h0.j = 1),
+q AS (SELECT n1.col_id, n1.q AS q1, r2.r / SQRT(SUM(r2.r * r2.r) OVER ()) AS q2 FROM n1 JOIN r2 USING (col_id)),
+y AS (SELECT z.patient_id, SUM(z.value * q1) AS a, SUM(z.value * q2) AS b FROM z JOIN q ON q.col_id = z.feature_id
+      GROUP BY z.patient_id),
+p AS (SELECT SUM(a * a) / (COUNT(*) - 1) AS aa, SUM(a * b) / (COUNT(*) - 1) AS ab, SUM(b * b) / (COUNT(*) - 1) AS bb FROM y),
+t AS (SELECT (aa + bb) / 2 AS mid, SQRT(POWER((aa - bb) / 2, 2) + ab * ab) AS half, 0.5 * ATAN2(2 * ab, aa - bb) AS turn FROM p),
+rv AS (SELECT 1 AS component, mid + half AS ritz, col_id, COS(turn) * q1 + SIN(turn) * q2 AS x FROM q, t
+      UNION ALL SELECT 2, mid - half, col_id, COS(turn) * q2 - SIN(turn) * q1 FROM q, t),
+s AS (SELECT component, SIGN(arg_max(x, ABS(x))) AS sign FROM rv GROUP BY component)""", body=f"""
+SELECT CAST(component AS INTEGER) AS component, col_id, ROUND(ritz, {o.ROUND}) AS variance, ROUND(x * sign, {o.ROUND}) AS value
+FROM rv JOIN s USING (component)"""))
+def q_pca_step(spark, sf_dir):
+    """A Rayleigh-Ritz step from a fixed block of two directions: variances along the rotated ones, and these."""
+    inp = matrix_inputs(spark, sf_dir)
+    rows = materialize(fe.sparse_feature_arrays(inp.long))
+    stats = rd.column_stats(inp.long, rows.count(), inp.n_features)
+    block = nmf.init_matrix(np.arange(inp.n_features), 2, SEED + nmf.H_SALT)
+    values, vectors = rd.rayleigh_ritz(lambda q: rd.covariance_times(rows, stats, q), block)
+    rows.unpersist()
+    out = [(c + 1, i, float(values[c]), float(vectors[i, c])) for c in range(len(values)) for i in range(inp.n_features)]
+    return spark.createDataFrame(out, "component int, col_id long, variance double, value double").select(
+        "component", "col_id", _r("variance"), _r("value"))   # features x 2
+
+
+# ----------------------------------------------------------------- k-means start and EM step, on the embeddings
+
+START_ROUNDS = 2   # rounds of oversampling that the SQL repeats
+
+
+def _start_ctes() -> str:
+    """k-means|| with START_ROUNDS rounds: candidates (idx, vec_id), their weights, and three chosen ones."""
+    def chance(salt: int) -> str:
+        return f"('0x' || substr(md5(vec_id || ':{cl.SEED}:{salt}'), 1, 13))::BIGINT / {float(1 << 52)}"
+
+    parts = [f"""
+e AS (SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS d, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+cand0 AS (SELECT 0 AS idx, vec_id FROM (SELECT vec_id, {chance(0)} AS u FROM embeddings ORDER BY u, vec_id LIMIT 1))"""]
+    for r in range(1, START_ROUNDS + 2):
+        parts.append(f"""
+dist{r} AS (SELECT a.vec_id, c.idx, SUM((a.x - b.x) * (a.x - b.x)) AS dist FROM cand{r - 1} c JOIN e b ON b.vec_id = c.vec_id
+            JOIN e a ON a.d = b.d GROUP BY a.vec_id, c.idx)""")
+        if r <= START_ROUNDS:
+            parts.append(f"""
+near{r} AS (SELECT vec_id, MIN(dist) AS m FROM dist{r} GROUP BY vec_id),
+cand{r} AS (SELECT idx, vec_id FROM cand{r - 1} UNION ALL
+            SELECT (SELECT COUNT(*) FROM cand{r - 1}) + ROW_NUMBER() OVER (ORDER BY u, vec_id) - 1, vec_id
+            FROM (SELECT vec_id, m, {chance(r)} AS u FROM near{r})
+            WHERE u * (SELECT SUM(m) FROM near{r}) < {cl.OVERSAMPLING * cl.K} * m)""")
+    last = START_ROUNDS
+    parts.append(f"""
+mine AS (SELECT vec_id, idx, ROW_NUMBER() OVER (PARTITION BY vec_id ORDER BY dist, idx) AS place FROM dist{last + 1}),
+heavy AS (SELECT c.idx, c.vec_id, COUNT(mine.vec_id) AS n FROM cand{last} c LEFT JOIN mine ON mine.idx = c.idx AND place = 1
+          GROUP BY c.idx, c.vec_id),
+pair AS (SELECT a.idx AS a, b.idx AS b, SUM((x.x - y.x) * (x.x - y.x)) AS dist FROM heavy a JOIN e x ON x.vec_id = a.vec_id
+         JOIN e y ON y.d = x.d JOIN heavy b ON b.vec_id = y.vec_id GROUP BY a.idx, b.idx),
+one AS (SELECT 0 AS center, idx FROM heavy ORDER BY n DESC, idx LIMIT 1),
+two AS (SELECT * FROM one UNION ALL SELECT 1, idx FROM (SELECT h.idx, h.n * dist AS w FROM heavy h JOIN pair ON a = h.idx
+        JOIN one ON b = one.idx ORDER BY w DESC, h.idx LIMIT 1)),
+three AS (SELECT * FROM two UNION ALL SELECT 2, idx FROM (SELECT h.idx, h.n * MIN(dist) AS w FROM heavy h JOIN pair ON a = h.idx
+          JOIN two ON b = two.idx GROUP BY h.idx, h.n ORDER BY w DESC, h.idx LIMIT 1))""")
+    return ",".join(parts)
+
+
+@register("kmeans_start", o.with_ctes(_start_ctes(), body=f"""
+SELECT three.center, e.d AS dim, ROUND(e.x, {o.ROUND}) AS value FROM three JOIN heavy USING (idx) JOIN e USING (vec_id)"""))
+def q_kmeans_start(spark, sf_dir):
+    """Start centres of k-means on the embeddings: rows are chosen by the md5 of their id."""
+    rows = cl.as_arrays(read_table(spark, sf_dir, "embeddings"), "embedding", "vec_id")
+    centers = cl.kmeans_start(rows, "vec_id", rounds=START_ROUNDS)
+    return (spark.createDataFrame(list(enumerate(centers)), "center int, x array<double>")   # k rows
+            .select("center", F.posexplode("x").alias("dim", "value")).select("center", "dim", _r("value")))
+
+
+EM_VARIANCE = 4.0   # of the fixed mixture that the EM step starts from: every axis alike
+
+
+def _em_ctes() -> str:
+    return f"""
+{_centers_sql(sk.K, EMB_DIM, sk.SEED)},
+e AS (SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS d, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+lp AS (SELECT vec_id, k, -LN({sk.K}) - SUM((x - c) * (x - c)) / {2 * EM_VARIANCE} - {EMB_DIM / 2} * LN(2 * PI() * {EM_VARIANCE}) AS l
+       FROM e JOIN ctr USING (d) GROUP BY vec_id, k),
+top AS (SELECT vec_id, MAX(l) AS m FROM lp GROUP BY vec_id),
+ll AS (SELECT vec_id, m + LN(SUM(EXP(l - m))) AS s FROM lp JOIN top USING (vec_id) GROUP BY vec_id, m),
+r AS (SELECT vec_id, k, EXP(l - s) AS r FROM lp JOIN ll USING (vec_id)),
+mass AS (SELECT k, SUM(r) AS n FROM r GROUP BY k),
+mean AS (SELECT k, d, SUM(r * x) / n AS m FROM r JOIN e USING (vec_id) JOIN mass USING (k) GROUP BY k, d, n),
+cov AS (SELECT r.k, a.d AS i, b.d AS j, SUM(r.r * (a.x - p.m) * (b.x - q.m)) / n AS v FROM r JOIN mass USING (k)
+        JOIN e a ON a.vec_id = r.vec_id JOIN e b ON b.vec_id = r.vec_id
+        JOIN mean p ON p.k = r.k AND p.d = a.d JOIN mean q ON q.k = r.k AND q.d = b.d GROUP BY r.k, a.d, b.d, n)"""
+
+
+@register("gmm_step", o.with_ctes(_em_ctes(), body=f"""
+SELECT 'weight' AS part, k AS cluster, 0 AS i, 0 AS j, ROUND(n / (SELECT COUNT(*) FROM top), {o.ROUND}) AS value FROM mass
+UNION ALL SELECT 'mean', k, d, 0, ROUND(m, {o.ROUND}) FROM mean
+UNION ALL SELECT 'covariance', k, i, j, ROUND(v, {o.ROUND}) FROM cov
+UNION ALL SELECT 'log_likelihood', 0, 0, 0, ROUND(SUM(s), {o.ROUND}) FROM ll"""))
+def q_gmm_step(spark, sf_dir):
+    """One EM round on the embeddings, from a fixed mixture."""
+    rows = cl.as_arrays(read_table(spark, sf_dir, "embeddings"), "embedding", "vec_id")
+    centers = np.array(_embedding_state(spark).centers)
+    start = cl.Mixture(np.full(sk.K, 1 / sk.K), centers, np.repeat(EM_VARIANCE * np.eye(EMB_DIM)[None], sk.K, axis=0))
+    model, likelihood = cl.em_step(rows, start)
+    out = [("log_likelihood", 0, 0, 0, likelihood)]
+    for k in range(sk.K):
+        out.append(("weight", k, 0, 0, float(model.weights[k])))
+        out += [("mean", k, i, 0, float(m)) for i, m in enumerate(model.means[k])]
+        out += [("covariance", k, i, j, float(v)) for (i, j), v in np.ndenumerate(model.covariances[k])]
+    return spark.createDataFrame(out, "part string, cluster int, i int, j int, value double").select(
+        "part", "cluster", "i", "j", _r("value"))   # a model's numbers
+
+
 @register("nmf_factors")
 def q_nmf_factors(spark, sf_dir):
     clusters, res = nmf_run(spark, sf_dir)
@@ -297,15 +421,6 @@ def q_nmf_purity(spark, sf_dir):
 
 # ----------------------------------------------------------------- streaming k-means
 
-EMB_DIM = 64
-
-
-def _centers_sql(k: int, dim: int, seed: int) -> str:
-    val = _init_sql(f"(k * 1000003 + d)", "0", seed)
-    return (f"ctr AS (SELECT CAST(k AS INTEGER) AS k, CAST(d AS INTEGER) AS d, 2.0 * {val} - 1.0 AS c "
-            f"FROM (SELECT k, unnest(range({dim})) AS d FROM (SELECT unnest(range({k})) AS k)))")
-
-
 def stream_ctes() -> str:
     return f"""
 {_centers_sql(sk.K, EMB_DIM, sk.SEED)},
