@@ -24,8 +24,6 @@ CAPACITY = 2048
 LINEAR, QUADRATIC = 1.0, 1.0 / 4096
 #: Tokens that are packed together, which bounds a task's memory to a few times 4 bytes each.
 BLOCK_TOKENS = 4_000_000
-#: Sequences looked at, in order of cost, before a document is cut to fit the cheapest.
-TRIES = 16
 #: Id of the token after each document.
 END = 1
 SEQUENCES_PER_PARTITION = 1 << 36
@@ -42,8 +40,11 @@ def assign(lengths: list[int], capacity: int = CAPACITY, linear: float = LINEAR,
 
     There are as many sequences as the tokens need, so that less than ``capacity``
     places stay empty in all. Whole multiples of the capacity are cut off long
-    documents first. Each rest, the longest first, goes to the cheapest of the
-    first few sequences with room for it, or in parts to the cheapest ones."""
+    documents first. Each rest, the longest first, goes to the cheapest
+    sequence with room for it, or, if none has, in parts to the cheapest ones.
+
+    As the rests get shorter, a sequence with room for one has room for all that follow
+    until it takes one, so it waits at most once between two of them."""
     total = sum(lengths)
     full: list[list[tuple[int, int, int]]] = []
     rests = []
@@ -56,28 +57,43 @@ def assign(lengths: list[int], capacity: int = CAPACITY, linear: float = LINEAR,
             rests.append((doc, start, n - start))
     count = max(0, (n_sequences or -(-total // capacity)) - len(full))
     open_: list[list[tuple[int, int, int]]] = [[] for _ in range(count)]
-    room, heap = [capacity] * count, [(0.0, i) for i in range(count)]
-
-    def place(i: int, cost: float, doc: int, start: int, n: int) -> None:
+    room, cost, version = [capacity] * count, [0.0] * count, [0] * count
+    fitting = [(0.0, i, 0) for i in range(count)]            # by cost: room for the rest at hand
+    by_room: list[tuple[int, int, int]] = []                 # the others, by room and by cost
+    by_cost: list[tuple[float, int, int]] = []
+
+    def pop(heap: list) -> int | None:
+        while heap:
+            _, i, v = heapq.heappop(heap)
+            if v == version[i]:
+                return i
+        return None
+
+    def place(i: int, doc: int, start: int, n: int, size: int) -> None:
         open_[i].append((doc, start, n))
         room[i] -= n
-        if room[i]:
-            heapq.heappush(heap, (cost + linear * n + quadratic * n * n, i))
+        cost[i] += linear * n + quadratic * n * n
+        version[i] += 1
+        if room[i] >= size:
+            heapq.heappush(fitting, (cost[i], i, version[i]))
+        elif room[i]:
+            heapq.heappush(by_room, (-room[i], i, version[i]))
+            heapq.heappush(by_cost, (cost[i], i, version[i]))
 
     for doc, start, n in sorted(rests, key=lambda r: (-r[2], r[0])):
-        passed = []
-        while heap and len(passed) < TRIES and room[heap[0][1]] < n:
-            passed.append(heapq.heappop(heap))
-        if heap and room[heap[0][1]] >= n:
-            cost, i = heapq.heappop(heap)
-            place(i, cost, doc, start, n)
-            n = 0
-        for entry in passed:
-            heapq.heappush(heap, entry)
+        while by_room and -by_room[0][0] >= n:   # room for this shorter rest
+            _, i, v = heapq.heappop(by_room)
+            if v == version[i]:
+                version[i] += 1
+                heapq.heappush(fitting, (cost[i], i, version[i]))
+        if (i := pop(fitting)) is not None:
+            place(i, doc, start, n, n)
+            continue
+        size = n
         while n:
-            cost, i = heapq.heappop(heap)
+            i = pop(by_cost)
             part = min(n, room[i])
-            place(i, cost, doc, start, part)
+            place(i, doc, start, part, size)
             start, n = start + part, n - part
     return full + [s for s in open_ if s]
 
@@ -85,12 +101,13 @@ def assign(lengths: list[int], capacity: int = CAPACITY, linear: float = LINEAR,
 def tokenizer(path: str, ranks_path: str | None, pattern: str | None):
     """A function from texts to arrays of ids.
 
-    The ids are those of the ``tokenizers`` file at ``path``. If ``ranks_path`` names
-    the same vocabulary as ranks, texts of common Latin characters, on which both
+    The ids are those that the ``tokenizers`` file at ``path`` gives without special tokens
+    added; the name of a special token in a text is that token. If ``ranks_path`` names
+    the same vocabulary as ranks, texts of common Latin characters without such a name, on which both
     libraries agree, are encoded with these, which is several times as fast."""
     from tokenizers import Tokenizer
     exact = Tokenizer.from_file(path)
-    exact.encode_special_tokens = True
+    names = [t.content for t in exact.get_added_tokens_decoder().values()]
     fast = None
     if ranks_path:
         import base64
@@ -101,7 +118,7 @@ def tokenizer(path: str, ranks_path: str | None, pattern: str | None):
         fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def encode(text: str) -> np.ndarray:
-        if fast is not None and _COMMON.fullmatch(text):
+        if fast is not None and _COMMON.fullmatch(text) and not any(name in text for name in names):
             return fast.encode_to_numpy(text, disallowed_special=())
         return np.array(exact.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 

@@ -14,7 +14,6 @@ from conftest import SF
 
 def encoder():
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda x: t.encode(x, add_special_tokens=False).ids
 
 
@@ -61,6 +60,10 @@ def test_blocks_fill_their_sequences(spark, docs_of):
 def test_odd_rows(spark, docs_of):
     texts = {1: None, 2: "", 3: "x " * 30000, 4: "naïve Ωμέγα 漢字 ­  <|endoftext|> \x1c", 5: "a\r\n\tb"}
     assert check(packing.pack_documents(docs_of(list(texts.items()))).collect(), texts) < 8 * 2048
+    special = {1: "a <|endoftext|> b", 2: "<|endoftext|><|endoftext|>", 3: "<|endoftext|"}
+    rows = packing.pack_documents(docs_of(list(special.items()))).collect()
+    check(rows, special)
+    assert {r["doc_id"]: r["doc_tokens"] for r in rows if r["start"] == 0}[1] == 5   # [64, 220, 50256, 275] and the end
     again = packing.pack_documents(docs_of([(None, "a"), (7, "b"), (7, "b")])).collect()
     assert sorted(str(r["doc_id"]) for r in again) == ["7", "7", "None"]
     assert packing.pack_documents(docs_of([])).collect() == []
@@ -84,6 +87,25 @@ def test_assignment_places_every_token_once(lengths):
         assert at == n
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 63), min_size=1, max_size=40))
+def test_a_rest_goes_to_the_cheapest_sequence_with_room(lengths):
+    """Against a search of all sequences for every rest."""
+    count = -(-sum(lengths) // 64)
+    room, cost, want = [64] * count, [0.0] * count, [[] for _ in range(count)]
+    for doc, n in sorted(enumerate(lengths), key=lambda r: (-r[1], r[0])):
+        start = 0
+        while n:
+            fits = [i for i in range(count) if room[i] >= n] if not start else []
+            i = min(fits or [i for i in range(count) if room[i]], key=lambda i: (cost[i], i))
+            part = min(n, room[i])
+            want[i].append((doc, start, part))
+            room[i] -= part
+            cost[i] += packing.LINEAR * part + packing.QUADRATIC * part * part
+            start, n = start + part, n - part
+    assert packing.assign(lengths, capacity=64) == [w for w in want if w]
+
+
 def test_descending_documents_balance_the_cost():
     rng = np.random.default_rng(1)
     lengths = rng.integers(20, 900, 4000).tolist()
