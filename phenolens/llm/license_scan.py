@@ -186,18 +186,17 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     words = frozenset(w for t in templates for w in word_bytes(t.text.encode()))
     rows, frequency = document_frequencies(docs, text_col, words)
-    index = docs.sparkSession.sparkContext.broadcast(RareWordIndex(templates, rows, frequency))
+    index = RareWordIndex(templates, rows, frequency)
     fields = [("label", pa.string()), ("start", pa.int64()), ("length", pa.int64()), ("agreement", pa.float64()),
               ("base", pa.bool_())]
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = index.value
         for batch in batches:
             counts, found = [], []
             for text in batch.column(1).cast(pa.binary()):
                 words = word_bytes(text.as_py() or b"")
                 counts.append(len(words))
-                found.append([dict(zip([f[0] for f in fields], m, strict=True)) for m in own.matches(words)])
+                found.append([dict(zip([f[0] for f in fields], m, strict=True)) for m in index.matches(words)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(found, pa.list_(pa.struct(fields)))],
                 names=[id_col, "n_words", "matches"])
