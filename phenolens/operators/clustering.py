@@ -11,7 +11,7 @@ a broadcast.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -60,6 +60,23 @@ def chance(id_col: str, salt: str) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+def summed(rows: DataFrame, task: Callable[[np.ndarray], np.ndarray], size: int) -> np.ndarray:
+    """Sum of ``task``'s array of ``size`` numbers over all rows ``x``, in one pass: a task takes a batch as a matrix."""
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            if batch.num_rows:
+                total += task(batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1))
+        yield pa.RecordBatch.from_arrays([pa.array([np.arange(size)], pa.list_(pa.int64())),
+                                          pa.array([total], pa.list_(pa.float64()))], names=["idx", "val"])
+
+    return sum_partials(rows.select("x").mapInArrow(partial, "idx array<long>, val array<double>"), size, rows)
+
+
+def squared_distances(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    return np.column_stack([((x - c) ** 2).sum(axis=1) for c in centers])
+
+
 def oversample(rows: DataFrame, id_col: str, k: int, seed: int = SEED, rounds: int = START_ROUNDS) -> list[list[float]]:
     """Candidates of k-means||: the row of the smallest chance, then in each round every row with a chance
     below OVERSAMPLING * k times its share of the squared distances to the candidates so far.
@@ -69,14 +86,23 @@ def oversample(rows: DataFrame, id_col: str, k: int, seed: int = SEED, rounds: i
     if first is None:
         return []
     found = [list(first["x"])]
+    kind = rows.schema[id_col].dataType.simpleString()
     for number in range(1, rounds + 1):
-        far = rows.select(id_col, "x", F.array_min(distances_to(F.col("x"), found)).alias("d"))
-        total = far.agg(F.sum("d")).first()[0]
+        known, wanted = np.array(found), float(OVERSAMPLING * k)
+        total = summed(rows, lambda x, c=known: squared_distances(x, c).min(axis=1).sum()[None], 1)[0]
         if not total:
             break
-        drawn = chance(id_col, f"{seed}:{number}")
-        new = far.where(drawn * F.lit(total) < F.lit(float(OVERSAMPLING * k)) * F.col("d")).select(
-            drawn.alias("u"), F.col(id_col), "x").orderBy("u", id_col).collect()
+
+        def draw(batches: Iterator[pa.RecordBatch], c=known, t=total) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    x = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                    share = wanted * squared_distances(x, c).min(axis=1)
+                    yield batch.filter(pa.array(batch.column(0).to_numpy(zero_copy_only=False) * t < share))
+
+        drawn = rows.select(chance(id_col, f"{seed}:{number}").alias("u"), F.col(id_col).alias("id"), "x").mapInArrow(
+            draw, f"u double, id {kind}, x array<double>")
+        new = sorted(drawn.collect(), key=lambda r: (r["u"], r["id"] is not None, r["id"]))
         found += [list(r["x"]) for r in new]
     return found
 
@@ -101,37 +127,39 @@ def kmeans_start(rows: DataFrame, id_col: str, k: int = K, seed: int = SEED, rou
     candidates = oversample(rows, id_col, k, seed, rounds)
     if not candidates:
         return []
-    counts = rows.groupBy(nearest_center(F.col("x"), candidates).alias("c")).count().collect()
-    weights = [0] * len(candidates)
-    for r in counts:
-        weights[r["c"]] = r["count"]
-    return choose(candidates, weights, k)
+    known = np.array(candidates)
+    weights = summed(rows, lambda x: np.bincount(squared_distances(x, known).argmin(axis=1), minlength=len(known)), len(known))
+    return choose(candidates, weights.tolist(), k)
 
 
 def kmeans_fit(rows: DataFrame, id_col: str, k: int = K, max_iter: int = MAX_ITERATIONS,
                seed: int = SEED) -> list[list[float]]:
     """M4: centres after Lloyd's rounds from ``kmeans_start``. A centre that loses all rows keeps its place."""
-    centers = kmeans_start(rows, id_col, k, seed)
-    for _ in range(max_iter if centers else 0):
-        dims = range(len(centers[0]))
-        sums = (rows.groupBy(nearest_center(F.col("x"), centers).alias("c"))
-                .agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col("x")[d]).alias(f"s{d}") for d in dims]).collect())
-        moved, before = 0.0, centers
-        centers = [list(c) for c in centers]
-        for r in sums:
-            centers[r["c"]] = [r[f"s{d}"] / r["n"] for d in dims]
-            moved = max(moved, sum((a - b) ** 2 for a, b in zip(centers[r["c"]], before[r["c"]], strict=True)))
-        if moved <= CENTER_TOL:
+    centers = np.array(kmeans_start(rows, id_col, k, seed))
+    for _ in range(max_iter if len(centers) else 0):
+        n, d = centers.shape
+
+        def sums(x: np.ndarray, c=centers) -> np.ndarray:
+            near = np.eye(n)[squared_distances(x, c).argmin(axis=1)]
+            return np.concatenate([near.sum(axis=0), (near.T @ x).ravel()])
+
+        flat = summed(rows, sums, n + n * d)
+        held = flat[:n, None] > 0
+        moved = np.where(held, flat[n:].reshape(n, d) / np.where(held, flat[:n, None], 1.0), centers)
+        change, centers = ((moved - centers) ** 2).sum(axis=1).max(), moved
+        if change <= CENTER_TOL:
             break
-    return centers
+    return centers.tolist()
 
 
 def kmeans_assign(df: DataFrame, features_col: str = "pca", k: int = K, max_iter: int = MAX_ITERATIONS,
                   seed: int = SEED, id_col: str = "patient_id") -> DataFrame:
     """M4: fit k-means (k-means|| start) and assign every row -> (id, cluster). No rows give no rows."""
-    rows = materialize(as_arrays(df, features_col, id_col))
-    centers = kmeans_fit(rows, id_col, k, max_iter, seed)
-    rows.unpersist()
+    rows = as_arrays(df, features_col, id_col)
+    kept = rows if df.is_cached else materialize(rows)
+    centers = kmeans_fit(kept, id_col, k, max_iter, seed)
+    if kept is not rows:
+        kept.unpersist()
     cluster = nearest_center(F.col("x"), centers) if centers else F.lit(0)
     return as_arrays(df, features_col, id_col).select(id_col, cluster.alias("cluster"))
 
@@ -164,26 +192,17 @@ def em_sums(rows: DataFrame, model: Mixture) -> tuple[np.ndarray, np.ndarray, np
     """E step in one pass over rows with ``x``: per Gaussian the sums of the responsibilities r, of r x and of r x xT,
     and the log-likelihood. The sums are about the model's means, and partitions' sums just add up."""
     k, d = model.means.shape
-    size = k + k * d + k * d * d + 1
-    shared = rows.sparkSession.sparkContext.broadcast(model)
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, own = np.zeros(size), shared.value
-        for batch in batches:
-            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
-            parts = own.log_parts(x)
-            whole = _log_sum(parts)
-            r = np.exp(parts - whole[:, None])
-            shifted = [x - m for m in own.means]
-            total += np.concatenate([
-                r.sum(axis=0), *[r[:, j] @ shifted[j] for j in range(k)],
-                *[((shifted[j] * r[:, [j]]).T @ shifted[j]).ravel() for j in range(k)], [whole.sum()]])
-        idx = np.arange(size)
-        yield pa.RecordBatch.from_arrays([pa.array([idx], pa.list_(pa.int64())), pa.array([total], pa.list_(pa.float64()))],
-                                         names=["idx", "val"])
-
-    flat = sum_partials(rows.select("x").mapInArrow(partial, "idx array<long>, val array<double>"), size)
-    shared.unpersist()
+    def sums(x: np.ndarray) -> np.ndarray:
+        parts = model.log_parts(x)
+        whole = _log_sum(parts)
+        r = np.exp(parts - whole[:, None])
+        shifted = [x - m for m in model.means]
+        return np.concatenate([
+            r.sum(axis=0), *[r[:, j] @ shifted[j] for j in range(k)],
+            *[((shifted[j] * r[:, [j]]).T @ shifted[j]).ravel() for j in range(k)], [whole.sum()]])
+
+    flat = summed(rows, sums, k + k * d + k * d * d + 1)
     return flat[:k], flat[k:k + k * d].reshape(k, d), flat[k + k * d:-1].reshape(k, d, d), float(flat[-1])
 
 
@@ -238,14 +257,12 @@ def gmm_fit(rows: DataFrame, id_col: str, k: int = K, max_iter: int = MAX_ITERAT
 
 def likeliest(rows: DataFrame, model: Mixture, id_col: str) -> DataFrame:
     """(id, cluster): the Gaussian with the largest part of each row's density, the first of equals."""
-    d = model.means.shape[1]
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
-            best = shared.value.log_parts(x).argmax(axis=1) if len(x) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best.astype(np.int32))], names=[id_col, "cluster"])
+            if batch.num_rows:
+                x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.log_parts(x).argmax(axis=1).astype(np.int32))],
+                                                 names=[id_col, "cluster"])
 
     kind = rows.schema[id_col].dataType.simpleString()
     return rows.select(id_col, "x").mapInArrow(pick, f"`{id_col}` {kind}, cluster int")
@@ -254,8 +271,10 @@ def likeliest(rows: DataFrame, model: Mixture, id_col: str) -> DataFrame:
 def gmm_assign(df: DataFrame, features_col: str = "pca", k: int = K, max_iter: int = MAX_ITERATIONS,
                seed: int = SEED, id_col: str = "patient_id") -> DataFrame:
     """M5: fit a Gaussian mixture by EM and assign each row its most likely component. No rows give no rows."""
-    rows = materialize(as_arrays(df, features_col, id_col))
-    model, _ = gmm_fit(rows, id_col, k, max_iter, seed)
-    rows.unpersist()
+    rows = as_arrays(df, features_col, id_col)
+    kept = rows if df.is_cached else materialize(rows)
+    model, _ = gmm_fit(kept, id_col, k, max_iter, seed)
+    if kept is not rows:
+        kept.unpersist()
     out = as_arrays(df, features_col, id_col)
     return likeliest(out, model, id_col) if model else out.select(id_col, F.lit(0).alias("cluster"))

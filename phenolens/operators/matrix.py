@@ -113,10 +113,22 @@ def frobenius_error(sq_norm_v: float, wtv: DataFrame, h: DataFrame, wtw: list[li
     return sq_norm_v - 2.0 * float(cross) + trace
 
 
-def sum_partials(parts: DataFrame, size: int) -> np.ndarray:
-    """Sum of the partitions' partial arrays ``(idx, val)`` by index, as one model-sized array."""
+#: Partial arrays of all partitions come to the driver as they are if they take no more bytes than this.
+COLLECTED_BYTES = 16 << 20
+
+
+def sum_partials(parts: DataFrame, size: int, source: DataFrame | None = None) -> np.ndarray:
+    """Sum of the partitions' partial arrays ``(idx, val)`` by index, as one model-sized array.
+
+    ``source`` is the table that ``parts`` makes one row of each partition of. If so many arrays of ``size`` are within
+    ``COLLECTED_BYTES``, the driver adds them up; otherwise they are shuffled by index, and their sums come."""
+    out = np.zeros(size)
+    if source is not None and source.rdd.getNumPartitions() * size * 16 <= COLLECTED_BYTES:
+        for row in parts.toArrow().to_batches():
+            for idx, val in zip(row.column(0), row.column(1)):
+                np.add.at(out, idx.values.to_numpy(), val.values.to_numpy())
+        return out
     total = (parts.select(F.explode(F.arrays_zip("idx", "val")).alias("e"))
              .groupBy(F.col("e.idx").alias("i")).agg(F.sum("e.val").alias("s")).toPandas())   # in Arrow batches
-    out = np.zeros(size)
     out[total["i"].to_numpy(np.int64)] = total["s"].to_numpy()
     return out

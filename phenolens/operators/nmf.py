@@ -7,7 +7,7 @@ Plan of ``run``: V is laid out once as static blocks of whole rows (packed
 arrays, written to the shared folder). A round is ONE pass over the blocks that
 writes nothing: a task computes the W of its rows from the broadcast H, and
 returns its part of Wᵀ V and Wᵀ W; their sum (at most (features + k) * k numbers a
-partition cross the network) gives the next H and the error ||V - WH||² (by the
+partition leave the tasks) gives the next H and the error ||V - WH||² (by the
 identity in ``matrix.frobenius_error``) on the driver. W is no state of the
 rounds, so rounds cost the same from the first to the last, and a lost executor
 costs its tasks and no more.
@@ -49,6 +49,7 @@ from phenolens.session import cut_lineage, partitions_for, scratch_path
 
 # FIXED VALUES: linear-congruential start values in (0, 1], see init_value.
 LCG_MULT, LCG_STEP, LCG_MOD = 1103515245, 12345, 2147483648
+EPS = mx.EPS
 H_SALT = 7919   # H uses seed + H_SALT so W and H start from different numbers
 
 
@@ -289,7 +290,7 @@ class Weights:
         w = init_matrix(block.ids, self.k, self.seed)
         for shared in self.replayed:
             h = shared.value
-            w = w * block.times(h) / (w @ (h.T @ h) + mx.EPS)
+            w = w * block.times(h) / (w @ (h.T @ h) + EPS)
         return w
 
 
@@ -310,7 +311,7 @@ def round_products(blocks: DataFrame, weights: Weights, n_cols: int) -> tuple[np
         yield pa.RecordBatch.from_arrays([pa.array([idx], pa.list_(pa.int64())), pa.array([flat[idx]], pa.list_(pa.float64()))],
                                          names=["idx", "val"])
 
-    flat = mx.sum_partials(blocks.mapInArrow(partial, "idx array<long>, val array<double>"), (n_cols + k) * k)
+    flat = mx.sum_partials(blocks.mapInArrow(partial, "idx array<long>, val array<double>"), (n_cols + k) * k, blocks)
     return flat[: n_cols * k].reshape(n_cols, k), flat[n_cols * k:].reshape(k, k)
 
 

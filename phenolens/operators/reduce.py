@@ -105,7 +105,7 @@ def covariance_times(rows: DataFrame, stats: ColumnStats, q: np.ndarray) -> np.n
         yield pd.DataFrame({"idx": [idx], "val": [flat[idx]]})
 
     parts = rows.select("ids", "vals").mapInPandas(partial, "idx array<long>, val array<double>")
-    total = sum_partials(parts, n * p).reshape(n, p) * stats.inverse_std[:, None]
+    total = sum_partials(parts, n * p, rows).reshape(n, p) * stats.inverse_std[:, None]
     z.unpersist()
     centre = stats.mean * stats.inverse_std
     return (total - stats.n_rows * np.outer(centre, centre @ q)) / max(stats.n_rows - 1, 1)

@@ -85,7 +85,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 #: Entries of a partition while there are few partitions, the most partitions of that size, and entries of larger ones.
-SMALL_PARTITION, SMALL_PARTITIONS, LARGE_PARTITION = 50_000, 4096, 10_000_000
+SMALL_PARTITION, SMALL_PARTITIONS, LARGE_PARTITION = 100_000, 4096, 10_000_000
 
 
 def partitions_for(entries: int) -> int:

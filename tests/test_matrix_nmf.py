@@ -221,3 +221,10 @@ def test_rows_without_entries_and_long_rows(spark):
     assert blocks.count() >= 3   # the row with four entries is one of its own
     res = nmf.run(v, 2, 30, n_cols=4, row_ids=ids)
     assert res.w.count() == 4 and {r["row_id"]: r["vec"] for r in res.w.collect()}[1] == [0.0, 0.0]
+
+
+def test_partials_add_up_on_the_driver_and_by_shuffle(spark, monkeypatch):
+    parts = spark.createDataFrame([([0, 2], [1.0, 2.0]), ([2], [0.5]), ([], [])], "idx array<long>, val array<double>")
+    assert mx.sum_partials(parts, 4).tolist() == mx.sum_partials(parts, 4, parts).tolist() == [1.0, 0.0, 2.5, 0.0]
+    monkeypatch.setattr(mx, "COLLECTED_BYTES", 0)
+    assert mx.sum_partials(parts, 4, parts).tolist() == [1.0, 0.0, 2.5, 0.0]
