@@ -1,9 +1,10 @@
 """Line deduplication that returns keep bitmaps, not text (column expressions only).
 
-Line hashes are range-partitioned by (hash, document), sorted within partitions
-by document and position, and reduced in that order. Because the document is
-part of the range, a line that a third of all documents hold is spread over
-many partitions.
+Line hashes are range-partitioned, sorted within partitions by document and
+position, and numbered in that order: the first document of a line keeps it, the
+lines of all others become bits of their documents' bitmaps. A line that is frequent
+(found by a mergeable summary) is cut into several ranges by document; what its
+ranges hold together is counted beside, for at most as many lines as the summary names.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from phenolens.llm.common import NULL_ID, ascii_lower, shared_table
@@ -20,6 +21,8 @@ from phenolens.llm.common import NULL_ID, ascii_lower, shared_table
 STRIPPED = " \t\n\x0b\x0c\r"
 #: Bits per bitmap word; 62 keeps every word a positive long.
 WORD = 62
+#: Counters of the summary of frequent lines, how many it names, and the share of all lines that a range should hold at most.
+COUNTERS, FREQUENT, SHARE = 8192, 256, 1 / 512
 
 
 def split_lines(text: Column) -> Column:
@@ -57,17 +60,28 @@ def drop_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     lines = (rows.select("id", "text_hash", F.posexplode_outer(hashes).alias("pos", "h"))
              .filter(F.col("h").isNotNull())
              .select(F.col("h.a").alias("h1"), F.col("h.b").alias("h2"), "id", "text_hash", "pos"))
-    # range partitioning samples its input first, and the holders are read twice: hash the texts only once
+    # range partitioning samples its input first, and the frequent lines are found before: hash the texts only once
     lines = shared_table(lines, "line_hashes")
-    sorted_lines = (lines.repartitionByRange("h1", "h2", "id", "text_hash")
-                    .sortWithinPartitions("h1", "h2", "id", "text_hash", "pos"))
-    # one row per line key, document and bitmap word, reduced in the order of the range partitions
-    held = sorted_lines.groupBy("h1", "h2", "id", "text_hash", F.expr(f"cast(pos div {WORD} as int)").alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(pos % {WORD} as int))")).alias("bits"))
-    holders = held.select("h1", "h2", "id").distinct()
-    last = (holders.groupBy("h1", "h2").agg(F.max("id").alias("last_id"), F.count("*").alias("n_docs"))
-            .filter(F.col("n_docs") >= min_docs).select("h1", "h2", "last_id"))
-    dropped = held.join(last, ["h1", "h2"]).filter(F.col("id") < F.col("last_id"))
+    frequent = shared_table(
+        lines.agg(F.expr(f"approx_top_k(h1, {FREQUENT}, {COUNTERS})").alias("top"), F.count(F.lit(1)).alias("n"))
+        .select(F.explode("top").alias("t"), "n")
+        .select(F.col("t.item").alias("h1"), F.ceil(F.col("t.count") / (F.col("n") * F.lit(SHARE))).cast("int").alias("cuts"))
+        .filter("cuts > 1"), "frequent_lines")
+    dealt = lines.join(F.broadcast(frequent), "h1", "left").withColumn(
+        "cut", F.when(F.col("cuts").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int")))
+    ranged = (dealt.repartitionByRange("h1", "h2", "cut")
+              .sortWithinPartitions("h1", "h2", "cut", F.desc("id"), "text_hash", "pos"))
+    piece = Window.partitionBy("h1", "h2", "cut")
+    numbered = ranged.withColumn("number", F.dense_rank().over(piece.orderBy(F.desc("id")))).withColumns(
+        {"last_id": F.max("id").over(piece), "n_docs": F.max("number").over(piece)})
+    # what the ranges of a cut line hold together; ids lie in one range each
+    whole = (lines.join(F.broadcast(frequent), "h1", "left_semi").groupBy("h1", "h2", "id").agg(F.lit(1).alias("one"))
+             .groupBy("h1", "h2").agg(F.max("id").alias("whole_last"), F.count("one").alias("whole_docs")))
+    whole = F.broadcast(shared_table(whole.filter(F.col("whole_docs") > 1), "frequent_line_docs"))
+    dropped = (numbered.join(whole, ["h1", "h2"], "left")
+               .filter((F.coalesce("whole_docs", "n_docs") >= min_docs) & (F.col("id") < F.coalesce("whole_last", "last_id")))
+               .select("id", "text_hash", F.expr(f"cast(pos div {WORD} as int)").alias("word"),
+                       F.expr(f"shiftleft(1L, cast(pos % {WORD} as int))").alias("bits")))
     words = dropped.groupBy("id", "text_hash", "word").agg(F.bit_or("bits").alias("bits"))
     return words.groupBy("id", "text_hash").agg(
         F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("bitmap"),
