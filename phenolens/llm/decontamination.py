@@ -1,9 +1,11 @@
 """Benchmark decontamination by winnowing (column expressions only).
 
-In every window of ``window`` words the smallest of the hashes of its k-word
-grams is the window's fingerprint. Equal windows have equal fingerprints, so
-joining the fingerprints of documents with those of benchmark items finds every
-shared span of at least ``window`` words; hits are then compared word by word.
+Of the hashes of a text's k-word grams, the smallest in every window is kept once,
+with its position: its fingerprint. A span of ``window`` words that two texts share
+has a fingerprint in both, so joining the fingerprints of documents with those of
+benchmark items finds every shared span and how the two texts lie on each other
+there. Each hit is then extended: the document's words are compared with the
+item's along the whole item.
 """
 
 from __future__ import annotations
@@ -11,11 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from phenolens.llm.common import ascii_lower, broadcast_if_small, shared_table
+from phenolens.llm.common import ascii_lower, shared_table
 
 # Fixed value of the word definition: what stands between words after lower-casing A-Z.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW, GRAM = 10, 5
+#: Low bits of a placed hash that hold its position; a text has fewer bytes than 2 to this.
+POSITION_BITS = 31
 #: Fingerprints and windows of the benchmark are broadcast up to this size.
 BROADCAST_BYTES = 64 << 20
 
@@ -25,42 +29,57 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS), "")
 
 
-def _each(n: Column, f) -> Column:
+def _each(n: Column, f, kind: str = "array<long>") -> Column:
     """[f(0), ..., f(n - 1)], empty if n is 0 or less."""
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), f)).otherwise(
-        F.array().cast("array<long>"))
+        F.array().cast(kind))
 
 
 def word_hashes(tokens: Column) -> Column:
     return F.transform(tokens, lambda w: F.xxhash64(w))
 
 
-def gram_hashes(hashes: Column, length: int) -> Column:
-    return _each(F.size(hashes) - (length - 1), lambda i: F.xxhash64(*[F.get(hashes, i + j) for j in range(length)]))
+def placed_hashes(hashes: Column, length: int) -> Column:
+    """For each gram of ``length`` words 33 bits of its hash, and below them its position: they sort by hash."""
+    return _each(F.size(hashes) - (length - 1), lambda i: F.shiftleft(
+        F.xxhash64(F.slice(hashes, i + 1, F.lit(length))), POSITION_BITS).bitwiseOR(i.cast("long")))
 
 
-def winnow(grams: Column, width: int) -> Column:
-    """The smallest of each ``width`` consecutive gram hashes."""
-    return _each(F.size(grams) - (width - 1), lambda i: F.least(*[F.get(grams, i + j) for j in range(width)]))
+def winnow(placed: Column, width: int) -> Column:
+    """The smallest of each ``width`` consecutive hashes, each selected one once."""
+    return F.array_distinct(_each(F.size(placed) - (width - 1), lambda i: F.array_min(F.slice(placed, i + 1, F.lit(width)))))
 
 
-def _windows(rows: DataFrame, length: int, window: int, gram: int) -> DataFrame:
-    """(carried columns, start, fingerprint, tokens) of all windows of ``length`` words.
+def _hash_of(placed: Column) -> Column:
+    return F.shiftright(placed, POSITION_BITS)
 
-    Windows shorter than ``window`` (whole short items) are fingerprinted by one hash."""
-    keep = [c for c in rows.columns if c != "tokens"]
-    hashed = rows.withColumn("hashes", word_hashes(F.col("tokens")))
-    if length == window and window > gram:
-        marked = hashed.withColumn("grams", gram_hashes(F.col("hashes"), gram)).withColumn(
-            "marks", winnow(F.col("grams"), window - gram + 1))
-    else:
-        marked = hashed.withColumn("marks", gram_hashes(F.col("hashes"), length))
-    # the outer form: for the plain one Spark infers a filter that computes the marks a second time
-    return marked.select(*keep, "tokens", F.posexplode_outer("marks").alias("start", "mark")).filter("mark is not null")
+
+def _place_of(placed: Column) -> Column:
+    return placed.bitwiseAND((1 << POSITION_BITS) - 1)
 
 
-def _span(length: int) -> Column:
-    return F.array_join(F.slice("tokens", F.col("start") + 1, length), " ")
+def fingerprints(rows: DataFrame, length: int, window: int, gram: int, ties: bool = False) -> DataFrame:
+    """(carried columns, mark, place) of the texts ``tokens`` for spans of ``length`` words.
+
+    Spans of ``window`` words are winnowed; shorter ones (whole short items) have a gram of their own
+    length at every place. With ``ties``, all places of a window's smallest hash are given, not one of them:
+    the other text may have selected any."""
+    keep = [c for c in rows.columns if c != "tokens"]
+    size, width = (length, 1) if length < window or window <= gram else (gram, window - gram + 1)
+    # columns of their own, used more than once: within a lambda an inlined expression would be computed for each element
+    placed = (rows.withColumn("hashes", word_hashes(F.col("tokens")))
+              .withColumn("placed", placed_hashes(F.col("hashes"), size)))
+    marks = F.col("placed")
+    if width > 1 and ties:
+        marks = F.array_distinct(F.flatten(_each(F.size("placed") - (width - 1), lambda i: F.filter(
+            F.slice("placed", i + 1, F.lit(width)),
+            lambda v: _hash_of(v) == _hash_of(F.array_min(F.slice("placed", i + 1, F.lit(width))))), "array<array<long>>")))
+    elif width > 1:
+        marks = winnow(marks, width)
+    # the outer form: for the plain one Spark infers a filter that computes the marks a second time
+    found = placed.select(*keep, F.posexplode_outer(marks).alias("_at", "placed"))
+    return found.filter(F.col("placed").isNotNull()).select(
+        *keep, _hash_of(F.col("placed")).alias("mark"), _place_of(F.col("placed")).alias("place"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -71,26 +90,62 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     An item's windows are its runs of ``window`` words, or all its words if it has
     fewer; an item without words has none. Null texts have no words. Rows that
     repeat an id are compared together. Only fingerprints that the benchmark holds
-    leave the scan of the documents; their windows are joined again by their words,
-    so a hash collision costs time and adds no hit.
+    leave the scan of the documents, as (document, place); words are compared when the hits are
+    extended, so a hash collision costs time and adds no hit.
     """
     item_tokens = shared_table(items.select(
-        F.col(item_id_col).alias("item_id"), words(F.col(item_text_col)).alias("tokens")), "benchmark_words")
-    lengths = [r[0] for r in item_tokens.select(F.least(F.size("tokens"), F.lit(window)).alias("n"))
+        F.col(item_id_col).alias("item_id"), words(F.col(item_text_col)).alias("item_words")).distinct(), "benchmark_words")
+    lengths = [r[0] for r in item_tokens.select(F.least(F.size("item_words"), F.lit(window)).alias("n"))
                .filter("n > 0").distinct().collect()]  # at most ``window`` numbers
-    rows = docs.select(F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("tokens"))
-    found = None
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    keyed = texts.withColumn("text_hash", F.xxhash64("text"))
+    near = None
     for length in sorted(lengths) or [window]:
-        own = item_tokens.filter(F.least(F.size("tokens"), F.lit(window)) == length)
-        spans = shared_table(_windows(own, length, window, gram).select("item_id", "mark", _span(length).alias("span"))
-                             .distinct(), "benchmark_windows")
-        marks = broadcast_if_small(spans.select("mark").distinct(), BROADCAST_BYTES, 16)
-        near = (_windows(rows, length, window, gram).join(marks, "mark")
-                .select("doc_id", "start", _span(length).alias("span")))
-        hits = (near.join(broadcast_if_small(spans.select("item_id", "span"), BROADCAST_BYTES, 32 * window), "span")
-                .select("doc_id", "start", F.lit(length).alias("length"), "item_id"))
-        found = hits if found is None else found.unionByName(hits)
-    return found, docs.select(F.col(id_col).alias("doc_id"), F.size(words(F.col(text_col))).cast("long").alias("n_words"))
+        own = (item_tokens.filter(F.least(F.size("item_words"), F.lit(window)) == length)
+               .withColumn("tokens", F.col("item_words")))
+        marks = shared_table(fingerprints(own, length, window, gram, ties=True)
+                             .withColumnRenamed("place", "item_place"), "benchmark_fingerprints")
+        small = F.broadcast(marks) if _bytes(marks) <= BROADCAST_BYTES else marks
+        found = (fingerprints(keyed.select("doc_id", "text_hash", words(F.col("text")).alias("tokens")), length, window, gram)
+                 .join(small, "mark").select("doc_id", "text_hash", "item_id", "item_words",
+                                             (F.col("place") - F.col("item_place")).cast("int").alias("shift")))
+        near = found if near is None else near.unionByName(found)
+    aligned = shared_table(near.distinct().groupBy("doc_id", "text_hash").agg(
+        F.collect_list(F.struct("item_id", "item_words", "shift")).alias("items")), "alignments")
+    return extended(keyed, aligned, window), docs.select(
+        F.col(id_col).alias("doc_id"), F.size(words(F.col(text_col))).cast("long").alias("n_words"))
+
+
+def _bytes(marks: DataFrame) -> int:
+    """Measured bytes of the benchmark's fingerprints with their items' words."""
+    letters = F.aggregate("item_words", F.lit(0), lambda n, w: n + F.octet_length(w) + 24)
+    return marks.agg(F.sum(F.lit(64) + letters)).first()[0] or 0
+
+
+def extended(keyed: DataFrame, aligned: DataFrame, window: int) -> DataFrame:
+    """(doc_id, start, length, item_id): the item windows that stand in a document where an item is laid on it.
+
+    ``shift`` is the place in the document of the item's first word; it is negative where the document begins
+    within the item. A document's alignments are no more than its fingerprints times an item's equal ones."""
+    d, a = keyed.alias("d"), aligned.alias("a")
+    rows = d.join(a, F.col("d.doc_id").eqNullSafe(F.col("a.doc_id")) & (F.col("d.text_hash") == F.col("a.text_hash"))).select(
+        "d.doc_id", words(F.col("d.text")).alias("tokens"), "a.items")   # used twice below, so split once
+
+    def laid(x: Column) -> Column:
+        skipped = F.greatest(-x["shift"], F.lit(0))
+        return F.struct(
+            x["item_id"].alias("item_id"), (x["shift"] + skipped).alias("first"),
+            F.least(F.size(x["item_words"]), F.lit(window)).alias("length"),
+            F.slice("tokens", x["shift"] + skipped + 1, F.least(F.greatest(F.size(x["item_words"]) - skipped, F.lit(0)),
+                                                                F.size("tokens"))).alias("own"),
+            F.slice(x["item_words"], skipped + 1, F.size(x["item_words"])).alias("theirs"))
+
+    pairs = rows.select("doc_id", F.explode(F.transform("items", laid)).alias("x")).select("doc_id", "x.*")
+    same = pairs.withColumn("same", F.zip_with("own", "theirs", lambda p, q: F.coalesce(p == q, F.lit(False))))
+    starts = F.filter(_each(F.size("same") - F.col("length") + 1, lambda i: i.cast("long")), lambda i: F.forall(
+        F.slice("same", i.cast("int") + 1, F.col("length")), lambda equal: equal))
+    return same.select("doc_id", F.explode(starts).alias("at"), "first", "length", "item_id").select(
+        "doc_id", (F.col("first") + F.col("at")).cast("int").alias("start"), "length", "item_id")
 
 
 def _covered(spans: Column) -> Column:
