@@ -29,6 +29,14 @@ def word_bytes(text: bytes) -> list[bytes]:
     return text.translate(WORD_BYTES).split()
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores as it takes to be no column of ``df`` (names differ in more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder of ``spark.checkpoint.dir`` and read it back.
 

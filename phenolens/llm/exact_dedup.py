@@ -65,10 +65,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with their columns: one for each different text."""
     kept = exact_dedup(docs, id_col, text_col).filter("kept").select(
-        F.col("keep_id").alias("__id"), F.col("text_sha256").alias("__digest"))
-    keyed = docs.withColumns({"__id": F.col(id_col), "__digest": F.sha2(normalised(F.col(text_col)), 256)})
-    same = (F.col("d.__id").eqNullSafe(F.col("k.__id"))) & (F.col("d.__digest") == F.col("k.__digest"))
+        F.col("keep_id").alias("id"), F.col("text_sha256").alias("digest"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")   # its names can't clash with others
+    keyed = docs.select(whole, F.col(id_col).alias("id"), F.sha2(normalised(F.col(text_col)), 256).alias("digest"))
+    same = (F.col("d.id").eqNullSafe(F.col("k.id"))) & (F.col("d.digest") == F.col("k.digest"))
     rows = keyed.alias("d").join(kept.alias("k"), same, "left_semi")
     # rows that repeat the one that stays, id and text alike
-    one = Window.partitionBy("__digest", "__id").orderBy("__id")
-    return (rows.withColumn("__n", F.row_number().over(one)).filter("__n = 1").select(*docs.columns))
+    one = Window.partitionBy("digest", "id").orderBy("id")
+    return rows.withColumn("n", F.row_number().over(one)).filter("n = 1").select("row.*")

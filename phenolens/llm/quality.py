@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from phenolens.llm.common import free_name
+
 #: Labelled rows of each class from which a dictionary is built, and with which the score is calibrated.
 DICTIONARY_ROWS, CALIBRATION_ROWS = 1000, 3000
 #: Pieces of a sampled text that go into a dictionary (evenly spread over the whole text).
@@ -206,4 +208,5 @@ def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
              threshold: float = THRESHOLD, **options) -> DataFrame:
     """The rows of ``docs`` that score ``threshold`` or more, with their columns."""
     model = train(docs, labels, id_col, text_col, **options)
-    return score(docs, model, text_col, "__score").filter(F.col("__score") >= threshold).drop("__score")
+    name = free_name(docs, "score")
+    return score(docs, model, text_col, name).filter(F.col(name) >= threshold).drop(name)

@@ -91,6 +91,21 @@ def test_lines(spark, docs_of):
     assert got[11] == (201, 200, "") and got[12] == (2, 1, "z") and got[13] == (1, 0, "y" * 25)
 
 
+def test_lines_are_sorted_in_one_range_exchange(spark, docs_of, monkeypatch):
+    """The ordered pass over (line, document, position) is in the plan, on the one exchange of the lines by range."""
+    seen = {}
+    real = line_dedup.shared_table
+    monkeypatch.setattr(line_dedup, "shared_table", lambda df, name: seen.setdefault(name, real(df, name)))
+    docs = docs_of([(i, "a line that all the documents hold\n" * 3 + f"a line of document number {i}") for i in range(40)])
+    df = line_dedup.drop_bitmaps(docs)
+    rows = df.collect()
+    assert seen["frequent_lines"].count() > 0 and {r["n_dropped"] for r in rows} == {3} and len(rows) == 39
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange rangepartitioning") == 1 and "Window" in plan
+    window = plan.index("Window")
+    assert "Sort [h1" in plan[window:] and "hashpartitioning(h1" not in plan
+
+
 def test_lines_of_repeated_ids(spark, docs_of):
     line = "a line that several rows hold"
     rows = line_dedup.dedup_lines(docs_of([(1, line), (1, line), (1, f"x\n{line}"), (2, line)])).collect()
@@ -122,6 +137,14 @@ def test_exact(spark, docs_of):
     assert exact_dedup.exact_dedup(docs_of([])).collect() == []
 
 
+def test_kept_rows_keep_columns_of_any_name(spark):
+    names = ["id", "digest", "n", "row", "__id", "__n", "doc_id", "text"]
+    rows = [("i", "d", "n", 1, "u", "v", 1, "a"), ("i2", "d", "n", 2, "u", "v", 2, "a"), (None, None, "n", 3, "u", "v", 3, "b")]
+    df = spark.createDataFrame(rows, "id string, digest string, n string, row int, __id string, __n string, doc_id long, text string")
+    kept = exact_dedup.keep_one(df)
+    assert kept.columns == names and sorted(map(tuple, kept.collect()), key=str) == sorted(rows[1:], key=str)
+
+
 # ----------------------------------------------------------- decontamination
 
 def test_decontamination(spark, docs_of):
@@ -143,6 +166,57 @@ def test_decontamination(spark, docs_of):
     assert len(none) == len(docs) and not any(r["contaminated"] for r in none)
 
 
+def test_a_shared_span_meets_in_a_fingerprint(spark, docs_of):
+    """Spans of ten words at any place of a document and an item, among repeated words whose hashes tie."""
+    import random
+    rnd, docs, items, want = random.Random(5), [], [], {}
+    for i in range(60):
+        alphabet = ["a", "b"] if i % 2 else [f"x{j}" for j in range(60)]
+        item = [rnd.choice(alphabet) for _ in range(rnd.randint(10, 30))]
+        at = rnd.randint(0, len(item) - 10)
+        doc = [f"d{rnd.randint(0, 99)}" for _ in range(rnd.randint(0, 20))] + item[at:at + rnd.randint(10, 30)] + ["end"] * (i % 3)
+        items.append((i, " ".join(item)))
+        docs.append((i, " ".join(doc)))
+    texts, spans = dict(docs), {}
+    for i, text in items:
+        w = text.split()
+        spans[i] = {tuple(w[j:j + 10]) for j in range(len(w) - 9)}
+    for d, text in docs:
+        w = text.split()
+        found = {(j, i) for j in range(len(w) - 9) for i in spans if tuple(w[j:j + 10]) in spans[i]}
+        want[d] = (len({p for j, _ in found for p in range(j, j + 10)}), sorted({str(i) for _, i in found}))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["items"]) for r in decontamination.decontaminate(docs_of(docs), table).collect()}
+    assert got == want and all(n > 0 for n, _ in want.values())
+
+
+def test_no_text_is_shuffled_with_a_fingerprint(spark, docs_of, monkeypatch):
+    """Beyond a broadcast, documents' fingerprints are exchanged as (document, mark, place)."""
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    plans, real = {}, decontamination.shared_table
+
+    def kept(df, name):
+        out = real(df, name)
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return out
+
+    monkeypatch.setattr(decontamination, "shared_table", kept)
+    text = " ".join(f"w{i}" for i in range(40))
+    items = spark.createDataFrame([(1, text), (2, text + " more")], "item_id long, text string")
+    try:
+        rows = decontamination.decontaminate(docs_of([(1, "x " + text), (2, None)]), items).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r["doc_id"]: r["n_hit"] for r in rows} == {1: 40, 2: 0}
+    for block in plans["alignments"].split("Exchange hashpartitioning(mark")[1:]:
+        below = block.split("Exchange")[0]
+        if "benchmark_fingerprints" not in below:
+            assert "tokens" not in below.split("\n")[1] and "place" in below
+    assert "SortMergeJoin" in plans["alignments"] and "BroadcastHashJoin" not in plans["alignments"]
+
+
 # --------------------------------------------------------------- URL filters
 
 def test_entries_active_at_fetch_time(spark):

@@ -51,3 +51,11 @@ def test_calibrated_to_all_labels_when_both_classes_are_sampled(spark):
     labels = spark.createDataFrame([(i, int(i % 10 != 0)) for i in range(4000)], "doc_id long, quality int")
     scores = quality.classify(docs, labels, dictionary_rows=20, calibration_rows=200).toPandas()["score"]
     assert abs(scores.mean() - 0.9) < 0.04 and (scores >= 0.7).mean() > 0.95
+
+
+def test_accepted_rows_keep_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(i, "good words and more " * 9, "own", "mine") for i in range(6)],
+                                 "doc_id long, text string, Score string, score_ string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(6)], "doc_id long, quality int, toxic int")
+    got = quality.accepted(docs, labels)
+    assert got.columns == docs.columns and {(r[2], r[3]) for r in got.collect()} == {("own", "mine")}
