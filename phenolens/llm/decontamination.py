@@ -39,15 +39,20 @@ def word_hashes(tokens: Column) -> Column:
     return F.transform(tokens, lambda w: F.xxhash64(w))
 
 
+def _window(array: Column, i: Column, length: int) -> list[Column]:
+    """Elements i ... i + length - 1, one by one: slice copies the whole array each time."""
+    return [F.get(array, i + j) for j in range(length)]
+
+
 def placed_hashes(hashes: Column, length: int) -> Column:
     """For each gram of ``length`` words 33 bits of its hash, and below them its position: they sort by hash."""
     return _each(F.size(hashes) - (length - 1), lambda i: F.shiftleft(
-        F.xxhash64(F.slice(hashes, i + 1, F.lit(length))), POSITION_BITS).bitwiseOR(i.cast("long")))
+        F.xxhash64(*_window(hashes, i, length)), POSITION_BITS).bitwiseOR(i.cast("long")))
 
 
 def winnow(placed: Column, width: int) -> Column:
     """The smallest of each ``width`` consecutive hashes, each selected one once."""
-    return F.array_distinct(_each(F.size(placed) - (width - 1), lambda i: F.array_min(F.slice(placed, i + 1, F.lit(width)))))
+    return F.array_distinct(_each(F.size(placed) - (width - 1), lambda i: F.least(*_window(placed, i, width))))
 
 
 def _hash_of(placed: Column) -> Column:
@@ -69,11 +74,11 @@ def fingerprints(rows: DataFrame, length: int, window: int, gram: int, ties: boo
     # columns of their own, used more than once: within a lambda an inlined expression would be computed for each element
     placed = (rows.withColumn("hashes", word_hashes(F.col("tokens")))
               .withColumn("placed", placed_hashes(F.col("hashes"), size)))
-    marks = F.col("placed")
+    marks = marks_of = F.col("placed")
     if width > 1 and ties:
         marks = F.array_distinct(F.flatten(_each(F.size("placed") - (width - 1), lambda i: F.filter(
-            F.slice("placed", i + 1, F.lit(width)),
-            lambda v: _hash_of(v) == _hash_of(F.array_min(F.slice("placed", i + 1, F.lit(width))))), "array<array<long>>")))
+            F.array(*_window(marks_of, i, width)),
+            lambda v: _hash_of(v) == _hash_of(F.least(*_window(marks_of, i, width)))), "array<array<long>>")))
     elif width > 1:
         marks = winnow(marks, width)
     # the outer form: for the plain one Spark infers a filter that computes the marks a second time
@@ -136,8 +141,8 @@ def extended(keyed: DataFrame, aligned: DataFrame, window: int) -> DataFrame:
         return F.struct(
             x["item_id"].alias("item_id"), (x["shift"] + skipped).alias("first"),
             F.least(F.size(x["item_words"]), F.lit(window)).alias("length"),
-            F.slice("tokens", x["shift"] + skipped + 1, F.least(F.greatest(F.size(x["item_words"]) - skipped, F.lit(0)),
-                                                                F.size("tokens"))).alias("own"),
+            _each(F.least(F.size(x["item_words"]) - skipped, F.size("tokens") - x["shift"] - skipped),
+                  lambda j: F.get(F.col("tokens"), x["shift"] + skipped + j), "array<string>").alias("own"),
             F.slice(x["item_words"], skipped + 1, F.size(x["item_words"])).alias("theirs"))
 
     pairs = rows.select("doc_id", F.explode(F.transform("items", laid)).alias("x")).select("doc_id", "x.*")
