@@ -20,7 +20,7 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW, GRAM = 10, 5
 #: Low bits of a placed hash that hold its position; a text has fewer bytes than 2 to this.
 POSITION_BITS = 31
-#: Fingerprints and windows of the benchmark are broadcast up to this size.
+#: Fingerprints of the benchmark, and alignments, are broadcast up to this measured size.
 BROADCAST_BYTES = 64 << 20
 
 
@@ -131,8 +131,10 @@ def extended(keyed: DataFrame, aligned: DataFrame, window: int) -> DataFrame:
     """(doc_id, start, length, item_id): the item windows that stand in a document where an item is laid on it.
 
     ``shift`` is the place in the document of the item's first word; it is negative where the document begins
-    within the item. A document's alignments are no more than its fingerprints times an item's equal ones."""
-    d, a = keyed.alias("d"), aligned.alias("a")
+    within the item. A document's alignments are no more than its fingerprints times an item's equal ones. Documents with
+    alignments are few; while these are small by measure they are broadcast, and the texts stay where they are read."""
+    size = aligned.agg(F.sum(F.size("items") * 64 + 4 * F.octet_length(F.to_json("items")))).first()[0] or 0
+    d, a = keyed.alias("d"), (F.broadcast(aligned) if size <= BROADCAST_BYTES else aligned).alias("a")
     rows = d.join(a, F.col("d.doc_id").eqNullSafe(F.col("a.doc_id")) & (F.col("d.text_hash") == F.col("a.text_hash"))).select(
         "d.doc_id", words(F.col("d.text")).alias("tokens"), "a.items")   # used twice below, so split once
 
