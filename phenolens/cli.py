@@ -1,10 +1,11 @@
 """Command line: the purity report on a folder of clinical extracts.
 
-    python -m phenolens.cli report --data data/ [--out report.parquet] [--master local[8]]
+    python -m phenolens.cli report --data data/ [--out report.parquet] [--rejects rejects.parquet] [--master local[8]]
 
 The folder holds the four CSV extracts and the three candidate lists
 (``sources.csv`` names them). Prints one line per feature set and algorithm
-(5 decimals) and optionally writes the report table as Parquet.
+(5 decimals) and optionally writes the report table, and the rows that the loaders
+drop with their reasons, as Parquet.
 """
 
 from __future__ import annotations
@@ -42,12 +43,15 @@ def main(argv: list[str] | None = None) -> None:
     rep = sub.add_parser("report", help="cohort labels -> features -> clustering purity report")
     rep.add_argument("--data", required=True, help="folder with the clinical CSV extracts and candidate lists")
     rep.add_argument("--out", help="write the report table here as Parquet")
+    rep.add_argument("--rejects", help="write every rejected row of the extracts here as Parquet")
     rep.add_argument("--master", help="Spark master (default: from the environment / spark-submit)")
     args = parser.parse_args(argv)
     builder = SparkSession.builder.appName("phenolens-report")
     if args.master:
         builder = builder.master(args.master)
     spark = builder.getOrCreate()
+    if args.rejects:
+        cs.quarantine(spark, args.data).write.mode("overwrite").parquet(args.rejects)
     table = report(spark, args.data)
     if args.out:
         table.write.mode("overwrite").parquet(args.out)

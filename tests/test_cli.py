@@ -42,3 +42,18 @@ def test_report_from_csv_folder(spark, tmp_path):
     assert len(rows) == 8
     assert all(0 < r["purity"] <= 1 for r in rows)
     assert {r["feature_set"] for r in rows} == {"all", "filtered"}
+
+
+def test_report_writes_its_table_and_the_rejects(spark, tmp_path, monkeypatch, capsys):
+    for name, text in ((cs.MEDICATION_FILE, "Member_ID,Order_Date,Drug_Name\nm,2010-01-01T10:00:00Z,x\nm,bad,y\n"),
+                       (cs.LAB_FILE, "Member_ID,Date_Resulted,Result_Name,Numeric_Result\n"),
+                       (cs.DX_FILE, "Encounter_ID,code\nlost,250.00\n"),
+                       (cs.ENCOUNTER_FILE, "Encounter_ID,Member_ID,Encounter_DateTime\n")):
+        (tmp_path / name).write_text(text)
+    table = spark.createDataFrame([("all", "nmf", 0.5, 1)], "feature_set string, algorithm string, purity double, n_rows long")
+    monkeypatch.setattr(cli, "report", lambda *_: table)
+    cli.main(["report", "--data", str(tmp_path), "--out", str(tmp_path / "out"), "--rejects", str(tmp_path / "rejects")])
+    assert capsys.readouterr().out == "[All feature] purity of NMF is: 0.50000\n"
+    assert spark.read.parquet(str(tmp_path / "out")).collect() == table.collect()
+    got = {(r["source"], r["reason"], r["line"]) for r in spark.read.parquet(str(tmp_path / "rejects")).collect()}
+    assert got == {("medication", "date", "m,bad,y"), ("diagnostic", "orphan", "lost,250.00")}
