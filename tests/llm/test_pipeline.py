@@ -38,4 +38,4 @@ def test_empty_documents(spark):
 
 def test_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact", "near", "decontaminate", "pack"]
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
