@@ -369,7 +369,7 @@ fm AS (
 
 
 def feature_tuples(spark, sf_dir) -> DataFrame:
-    return fe.event_feature_tuples(ss.clinical_event_log(spark, sf_dir))
+    return fe.event_feature_tuples(ss.events_by_patient(spark, sf_dir))
 
 
 @register("feature_tuples", o.with_ctes(o.adapter_ctes(), tuples_sql(), body=(

@@ -516,7 +516,7 @@ def q_clustering_report(spark, sf_dir):
 
 def _report(spark, sf_dir):
     # one pass over the events for the labels and both feature sets
-    summary = materialize(event_summary(ss.clinical_event_log(spark, sf_dir)))
+    summary = materialize(event_summary(ss.events_by_patient(spark, sf_dir)))
     out = ev.report_from_summary(summary, ca.derive_candidates_from_tuples(as_tuples(summary)))
     summary.unpersist()
     return out

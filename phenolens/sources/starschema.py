@@ -31,6 +31,8 @@ MED_ORDER_MOD, MED_ORDER_REMAINDER = 4, 1   # orders with o_orderkey % 4 = 1 use
 MED_OTHER_CODES = 10        # other orders: 'M' || l_suppkey % 10
 LAB_TEST_NAMES = {"click": "Glucose", "view": "Fasting Glucose", "purchase": "HbA1c"}
 LAB_VALUE_SCALE = 10.0
+# Rows of lineitem that a partition of the event log is dealt, and hash buckets per partition by which keys are found heavy.
+PART_ROWS, BUCKETS = 250_000, 16
 # ---------------------------------------------------------------------------
 
 
@@ -97,16 +99,40 @@ def lab(spark: SparkSession, sf_dir: str) -> DataFrame:
             .na.drop())
 
 
+def event_partitions(spark: SparkSession, sf_dir: str) -> int:
+    """Partitions of the event log, from its rows alone: the memory of a task stays the same however large the tables are."""
+    rows = max(read_table(spark, sf_dir, "lineitem").count(), read_table(spark, sf_dir, "events").count())
+    return max(1, -(-rows // PART_ROWS))
+
+
+def _even(df: DataFrame, key: str, partitions: int) -> bool:
+    """Whether no key has more rows than a partition is dealt: the rows of the fullest hash bucket, from one narrow scan."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(F.pmod(F.xxhash64(key), F.lit(partitions * BUCKETS)).alias("b")).count()
+    return (counts.agg(F.max("count")).first()[0] or 0) <= PART_ROWS
+
+
+def _dealt(spark: SparkSession, sf_dir: str) -> bool:
+    """Whether the log is large enough to be dealt by order, and no order too heavy for that."""
+    parts = event_partitions(spark, sf_dir)
+    return parts > 1 and all(_even(read_table(spark, sf_dir, t), key, parts)
+                             for t, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")))
+
+
 def clinical_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three event kinds as one tagged log from ONE lineitem-orders join.
 
     Diagnosis and medication both need lineitem JOIN orders on the order key;
     joining once and emitting two tagged rows per joined line halves the
     shuffle of the biggest table compared with unioning the two frames.
+    Both sides are dealt by order into as many partitions as their rows ask for; with a heavy
+    order key the join is left to AQE, which cuts skewed partitions.
     Columns: patient_id, domain ('dx' | 'med' | 'lab'), event_ts, name, value.
     """
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    if _dealt(spark, sf_dir):
+        parts = event_partitions(spark, sf_dir)
+        li, o = li.repartition(parts, "l_orderkey"), o.repartition(parts, "o_orderkey")
     joined = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     null_value = F.lit(None).cast("double")
     pair = F.array(
@@ -120,3 +146,13 @@ def clinical_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     labs = lab(spark, sf_dir).select("patient_id", F.lit("lab").alias("domain"), "event_ts",
                                      F.col("test_name").alias("name"), "value")
     return enc.unionByName(labs)
+
+
+def events_by_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``clinical_event_log`` dealt by patient into as many partitions as its rows ask for, so that what is grouped
+    by patient and name needs no exchange, and a task's groups are bounded. Where some patient has very many orders or
+    labs the log stays as it is, and aggregates combine its rows before their own exchange."""
+    log, parts = clinical_event_log(spark, sf_dir), event_partitions(spark, sf_dir)
+    heavy = parts == 1 or not all(_even(read_table(spark, sf_dir, t), key, parts)
+                                  for t, key in (("orders", "o_custkey"), ("events", "user_id")))
+    return log if heavy else log.repartition(parts, "patient_id")
