@@ -155,6 +155,9 @@ def assign_clusters(w: DataFrame) -> DataFrame:
 
 #: Entries packed into one block, at most (a row with more is a block of its own).
 BLOCK_ENTRIES = 1 << 17
+BLOCK_SCHEMA = "ids binary, lens binary, cols binary, vals binary"
+#: A block is multiplied as a dense matrix if at least this share of it is entries; otherwise entry by entry.
+DENSE_SHARE = 0.2
 #: Multiplicative rounds before the exact ones.
 PLAIN_ROUNDS = 10
 #: Rounds from which the next H is extrapolated.
@@ -178,13 +181,26 @@ class Block:
     owner: np.ndarray
     cols: np.ndarray
     vals: np.ndarray
+    dense: np.ndarray | None = None
+
+    def matrix(self, n_cols: int) -> np.ndarray | None:
+        """The block as a dense matrix, made once, if it is well filled."""
+        if self.dense is None and len(self.vals) >= DENSE_SHARE * len(self.ids) * n_cols:
+            self.dense = np.bincount(self.owner * n_cols + self.cols, self.vals, len(self.ids) * n_cols).reshape(-1, n_cols)
+        return self.dense
 
     def times(self, h: np.ndarray) -> np.ndarray:
         """V H: one row per row of the block."""
+        dense = self.matrix(len(h))
+        if dense is not None:
+            return dense @ h
         return np.column_stack([np.bincount(self.owner, self.vals * h[self.cols, j], len(self.ids))
                                 for j in range(h.shape[1])])
 
     def transpose_times(self, w: np.ndarray, n_cols: int) -> np.ndarray:
+        dense = self.matrix(n_cols)
+        if dense is not None:
+            return dense.T @ w
         return np.column_stack([np.bincount(self.cols, self.vals * w[self.owner, j], n_cols)
                                 for j in range(w.shape[1])])
 
@@ -234,8 +250,33 @@ def lay_out(v: DataFrame, n_entries: int, row_ids: DataFrame | None = None, bloc
             F.col("row_id").cast("long"), F.lit(None).cast("long").alias("col_id"), F.lit(None).cast("double").alias("value")))
     path = scratch_path(v.sparkSession, "nmf_blocks")
     dealt = entries.repartition(partitions_for(n_entries), "row_id").sortWithinPartitions("row_id", "col_id")
-    dealt.mapInArrow(lambda batches: _pack_rows(batches, block_entries), "ids binary, lens binary, cols binary, vals binary").write.parquet(path)
-    return v.sparkSession.read.schema("ids binary, lens binary, cols binary, vals binary").parquet(path)
+    dealt.mapInArrow(lambda batches: _pack_rows(batches, block_entries), BLOCK_SCHEMA).write.parquet(path)
+    return v.sparkSession.read.schema(BLOCK_SCHEMA).parquet(path)
+
+
+def _pack_arrays(batches: Iterator[pa.RecordBatch], block_entries: int) -> Iterator[pa.RecordBatch]:
+    """Rows (row_id, ids, vals) to blocks of as many whole rows as hold ``block_entries`` entries, or one row."""
+    for batch in batches:
+        lens = np.diff(batch.column(1).offsets.to_numpy())
+        ends = np.concatenate([[0], np.cumsum(lens)])
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + block_entries, side="right")) - 1)
+            part = batch.slice(at, to - at)
+            arrays = (part.column(0).to_numpy().astype(np.int64), lens[at:to].astype(np.int64),
+                      part.column(1).flatten().to_numpy().astype(np.int64), part.column(2).flatten().to_numpy().astype(np.float64))
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in arrays],
+                                             names=["ids", "lens", "cols", "vals"])
+            at = to
+
+
+def lay_out_rows(rows: DataFrame, n_entries: int, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
+    """``lay_out`` of rows (row_id, ids, vals) with sorted ids: whole rows are dealt, not their entries."""
+    path = scratch_path(rows.sparkSession, "nmf_blocks")
+    dealt = rows.select(F.col("row_id").cast("long"), F.col("ids").cast("array<long>"), F.col("vals").cast("array<double>")).repartition(
+        partitions_for(n_entries), "row_id").sortWithinPartitions("row_id")
+    dealt.mapInArrow(lambda batches: _pack_arrays(batches, block_entries), BLOCK_SCHEMA).write.parquet(path)
+    return rows.sparkSession.read.schema(BLOCK_SCHEMA).parquet(path)
 
 
 def least_squares(products: np.ndarray, gram: np.ndarray) -> np.ndarray:
@@ -355,12 +396,17 @@ def run(v_long: DataFrame, k: int, max_iterations: int = 100, tol: float = 1e-4,
     the first plateau, long before the factors settle. ``errors`` holds the start's
     error and that of each round that lowered it.
     """
-    spark = v_long.sparkSession
     v = v_long.select("row_id", "col_id", F.col("value").cast("double"))
     facts = v.agg(F.count("*").alias("n"), F.max("col_id").alias("last"), F.sum(F.col("value") * F.col("value")).alias("sq")).first()
     n_cols = int(facts["last"]) + 1 if n_cols is None else n_cols
-    sq = facts["sq"] or 0.0
-    blocks = lay_out(v, facts["n"], row_ids).persist(StorageLevel.MEMORY_AND_DISK)
+    return factorise(lay_out(v, facts["n"], row_ids), facts["sq"] or 0.0, n_cols, k, max_iterations, tol, seed, plain_rounds)
+
+
+def factorise(blocks: DataFrame, sq: float, n_cols: int, k: int, max_iterations: int = 100, tol: float = 1e-4, seed: int = 8803,
+              plain_rounds: int = PLAIN_ROUNDS) -> NMFResult:
+    """``run`` on V as it was laid out, with the sum ``sq`` of its squares."""
+    spark = blocks.sparkSession
+    blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
     share = spark.sparkContext.broadcast
     start = Weights(k, seed)
     h = init_matrix(np.arange(n_cols), k, seed + H_SALT)

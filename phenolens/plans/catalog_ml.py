@@ -251,9 +251,7 @@ wd_{t} AS (SELECT f.row_id, g.a AS j, SUM(f.w * g.g) AS d FROM {w} f JOIN hht_{t
 
 def nmf_rounds(spark, sf_dir, rounds: int) -> nmf.NMFResult:
     """The shipped iteration, stopped after ``rounds``."""
-    inp = matrix_inputs(spark, sf_dir)
-    v, rid = ev.nmf_input(inp)
-    return nmf.run(v, K, rounds, 0.0, SEED, row_ids=rid.select("row_id"), n_cols=inp.n_features)
+    return ev.nmf_fit(matrix_inputs(spark, sf_dir), K, rounds, 0.0, SEED)[0]
 
 
 @register("nmf_step_h", _nmf_sql(f"SELECT col_id, j AS comp, ROUND(h, {o.ROUND}) AS value FROM h1"))
@@ -280,11 +278,10 @@ FROM z JOIN zq USING (patient_id) GROUP BY z.feature_id, zq.j"""))
 def q_covariance_product(spark, sf_dir):
     """The covariance of the standardised features times a fixed matrix: what the components are found by."""
     inp = matrix_inputs(spark, sf_dir)
-    rows = materialize(fe.sparse_feature_arrays(inp.long))
+    rows = inp.rows
     stats = rd.column_stats(inp.long, rows.count(), inp.n_features)
     q = nmf.init_matrix(np.arange(inp.n_features), K, SEED + nmf.H_SALT)
     product = rd.covariance_times(rows, stats, q)
-    rows.unpersist()
     return _long(spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(product)],
                                        "col_id long, vec array<double>"), "col_id")   # features x 3
 
@@ -305,11 +302,10 @@ FROM rv JOIN s USING (component)"""))
 def q_pca_step(spark, sf_dir):
     """A Rayleigh-Ritz step from a fixed block of two directions: variances along the rotated ones, and these."""
     inp = matrix_inputs(spark, sf_dir)
-    rows = materialize(fe.sparse_feature_arrays(inp.long))
+    rows = inp.rows
     stats = rd.column_stats(inp.long, rows.count(), inp.n_features)
     block = nmf.init_matrix(np.arange(inp.n_features), 2, SEED + nmf.H_SALT)
     values, vectors = rd.rayleigh_ritz(lambda q: rd.covariance_times(rows, stats, q), block)
-    rows.unpersist()
     out = [(c + 1, i, float(values[c]), float(vectors[i, c])) for c in range(len(values)) for i in range(inp.n_features)]
     return spark.createDataFrame(out, "component int, col_id long, variance double, value double").select(
         "component", "col_id", _r("variance"), _r("value"))   # features x 2

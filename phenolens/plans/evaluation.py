@@ -36,25 +36,34 @@ STREAM_BATCHES = 4            # micro-batches of the replayed stream, dealt by p
 
 @dataclass
 class ClusteringInputs:
-    long: DataFrame          # (patient_id, feature_id, value)
+    long: DataFrame          # (patient_id, feature_id, value), from the kept rows
     dictionary: DataFrame    # (domain, feature, feature_id)
     n_features: int
     reduced: DataFrame | None   # (patient_id, pca); None if there is nothing to reduce
+    rows: DataFrame          # (patient_id, ids, vals), kept: dealt by patient and sorted
+    n_entries: int
 
     def release(self) -> None:
-        for df in (self.long, self.dictionary, self.reduced):
+        for df in (self.rows, self.dictionary, self.reduced):
             if df is not None:
                 df.unpersist()
 
 
 def feature_inputs(tuples: DataFrame) -> ClusteringInputs:
-    """The feature matrix alone, which is all that NMF needs."""
+    """The feature matrix alone, which is all that NMF needs: one row of sorted entries per patient, kept in memory.
+
+    Rows are dealt by patient into partitions whose number follows from the
+    matrix's entries alone and sorted in them."""
     own = not tuples.is_cached
-    long, dictionary, n = fe.feature_matrix(tuples)
-    inputs = ClusteringInputs(long=materialize(long), dictionary=dictionary, n_features=n, reduced=None)
+    entries, dictionary, n = fe.feature_matrix(tuples)
+    n_entries = tuples.count()   # each tuple's key is in the dictionary
+    rows = materialize(fe.sparse_feature_arrays(entries).repartition(partitions_for(n_entries), "patient_id")
+                       .sortWithinPartitions("patient_id"))
+    long = rows.select("patient_id", F.explode(F.arrays_zip("ids", "vals")).alias("e")).select(
+        "patient_id", F.col("e.ids").alias("feature_id"), F.col("e.vals").alias("value"))
     if own:
         tuples.unpersist()
-    return inputs
+    return ClusteringInputs(long=long, dictionary=dictionary, n_features=n, reduced=None, rows=rows, n_entries=n_entries)
 
 
 def prepare(tuples: DataFrame, sparse: bool = True) -> ClusteringInputs:
@@ -65,25 +74,22 @@ def prepare(tuples: DataFrame, sparse: bool = True) -> ClusteringInputs:
     dictionary width and fits the library's models, as the textbook formulation
     does. Both give the same components up to the sign of each principal axis.
 
-    Rows are dealt by patient into partitions whose number follows from the
-    matrix's entries alone and sorted in them: fits that sample per partition then give
+    Rows lie as ``feature_inputs`` dealt them: fits that sample per partition then give
     the same model on any number of cores.
     """
     inputs = feature_inputs(tuples)
     n = inputs.n_features
     if not n:
         return inputs
-    patients = inputs.long.select("patient_id").distinct().count()
-    parts = partitions_for(inputs.long.count())
-    rows = fe.sparse_feature_arrays(inputs.long) if sparse else fe.dense_feature_vectors(inputs.long, n)
-    rows = materialize(rows.repartition(parts, "patient_id")
-                       .sortWithinPartitions("patient_id"))
     if sparse:
-        reduced, _ = rd.sparse_pca(rows, rd.column_stats(inputs.long, patients, n))
+        reduced, _ = rd.sparse_pca(inputs.rows, rd.column_stats(inputs.long, inputs.rows.count(), n))
+        inputs.reduced = materialize(reduced.select("patient_id", "pca"))
     else:
+        rows = materialize(fe.dense_feature_vectors(inputs.long, n).repartition(inputs.rows.rdd.getNumPartitions(), "patient_id")
+                           .sortWithinPartitions("patient_id"))
         reduced, _ = rd.principal_components(rd.standardize(rows)[0], n)
-    inputs.reduced = materialize(reduced.select("patient_id", "pca"))
-    rows.unpersist()
+        inputs.reduced = materialize(reduced.select("patient_id", "pca"))
+        rows.unpersist()
     return inputs
 
 
@@ -107,18 +113,31 @@ def streaming_kmeans_clusters(inputs: ClusteringInputs, batches: int = STREAM_BA
     return sk.assign(arr, "x", state).select("patient_id", "cluster")
 
 
+def row_numbers(inputs: ClusteringInputs) -> DataFrame:
+    """(patient_id, row_id): the patients numbered in their order."""
+    return dense_index(inputs.rows.select("patient_id"), ["patient_id"], "row_id")
+
+
 def nmf_input(inputs: ClusteringInputs) -> tuple[DataFrame, DataFrame]:
     """V = |features| keyed by dense ids: (row_id, col_id, value) and the id map (patient_id, row_id)."""
-    rid = dense_index(inputs.long.select("patient_id").distinct(), ["patient_id"], "row_id")
+    rid = row_numbers(inputs)
     v = (fe.abs_features(inputs.long).join(rid, "patient_id")
          .select("row_id", F.col("feature_id").alias("col_id"), "value"))
     return v, rid
 
 
+def nmf_fit(inputs: ClusteringInputs, k: int, max_iterations: int, tol: float, seed: int = cl.SEED):
+    """(factors, id map): NMF of ``nmf_input``'s V, whose rows stay whole: a row is joined with its number and dealt by it."""
+    rid = row_numbers(inputs)
+    sq = inputs.long.agg(F.sum(F.col("value") * F.col("value"))).first()[0] or 0.0
+    rows = inputs.rows.join(rid, "patient_id").select("row_id", "ids", F.transform("vals", lambda x: F.abs(x)).alias("vals"))
+    blocks = nmf.lay_out_rows(rows, inputs.n_entries)
+    return nmf.factorise(blocks, sq, inputs.n_features, k, max_iterations, tol, seed), rid
+
+
 def nmf_clusters(inputs: ClusteringInputs, k: int = NMF_K, max_iterations: int = NMF_MAX_ITERATIONS,
                  tol: float = NMF_TOL):
-    v, rid = nmf_input(inputs)
-    res = nmf.run(v, k, max_iterations, tol, row_ids=rid.select("row_id"), n_cols=inputs.n_features)
+    res, rid = nmf_fit(inputs, k, max_iterations, tol)
     clusters = nmf.assign_clusters(res.w).join(rid, "row_id").select("patient_id", "cluster")
     return clusters, res
 

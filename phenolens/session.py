@@ -85,13 +85,14 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 #: Entries of a partition while there are few partitions, the most partitions of that size, and entries of larger ones.
-SMALL_PARTITION, SMALL_PARTITIONS, LARGE_PARTITION = 100_000, 4096, 10_000_000
+SMALL_PARTITION, SMALL_PARTITIONS, LARGE_PARTITION = 100_000, 64, 2_000_000
 
 
 def partitions_for(entries: int) -> int:
     """Partitions for a matrix of so many entries: from the data alone, so that
     what is fitted on them is the same on any number of cores. Partitions stay
-    small (short tasks for every core) until there are thousands of them, and grow then."""
+    small (short tasks for every core) until there are enough for a few executors, and grow then
+    to a bounded size: a pass of an iterative fit pays for each task's start."""
     return max(1, min(-(-entries // SMALL_PARTITION), max(SMALL_PARTITIONS, -(-entries // LARGE_PARTITION))))
 
 
